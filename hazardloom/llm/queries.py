@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from hazardloom.llm import toxicity
 from hazardloom.llm.common import load
 from hazardloom.llm.exact_dedup import exact_groups
 from hazardloom.llm.mixing import mix_plan
@@ -25,7 +27,22 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op6_exact_dedup, op7_mixing)}
+def fold(id_col: str, folds: int) -> Column:
+    """The fold of a document: CRC-32 of its id as text, modulo ``folds``."""
+    return F.crc32(F.col(id_col).cast("string")) % folds
+
+
+def fit_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
+    return toxicity.fit(docs, load(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    scored = toxicity.score(docs.select("doc_id", "text"), fit_toxicity(spark, docs, sf_dir))
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op6_exact_dedup, op7_mixing, op10_toxicity)}
 
 ORACLE = {
     "op1_url_filter": r"""
