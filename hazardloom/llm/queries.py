@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardloom.llm import toxicity
+from hazardloom.llm import packing, toxicity
 from hazardloom.llm.common import load
 from hazardloom.llm.exact_dedup import exact_groups
 from hazardloom.llm.mixing import mix_plan
@@ -42,7 +42,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op6_exact_dedup, op7_mixing, op10_toxicity)}
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op6_exact_dedup, op7_mixing, op9_packing, op10_toxicity)}
 
 ORACLE = {
     "op1_url_filter": r"""
