@@ -9,6 +9,7 @@ from hazardloom.llm import packing, toxicity
 from hazardloom.llm.common import load
 from hazardloom.llm.exact_dedup import exact_groups
 from hazardloom.llm.mixing import mix_plan
+from hazardloom.llm.ngram_join import similar_groups
 from hazardloom.llm.url_filter import filter_urls
 
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("allow", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -19,6 +20,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(load(spark, sf_dir, "pages"), rules)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(load(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(load(spark, sf_dir, "documents"))
 
@@ -52,7 +57,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op6_exact_dedup, op7_mixing, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op4_ngram_join, op6_exact_dedup, op7_mixing, op9_packing, op10_toxicity)}
 
 ORACLE = {
     "op1_url_filter": r"""
