@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardloom.llm import packing, toxicity
-from hazardloom.llm.common import load
+from hazardloom.llm import packing, toxicity, warc
+from hazardloom.llm.common import load, shared_dir
 from hazardloom.llm.exact_dedup import exact_groups
 from hazardloom.llm.mixing import mix_plan
 from hazardloom.llm.ngram_join import similar_groups
@@ -24,6 +26,12 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(load(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(load(spark, sf_dir, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
+    found = warc.read_archives(archives.repartition(spark.sparkContext.defaultParallelism * 4), payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(load(spark, sf_dir, "documents"))
 
@@ -57,7 +65,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_ngram_join, op6_exact_dedup, op7_mixing, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op9_packing, op10_toxicity)}
 
 ORACLE = {
     "op1_url_filter": r"""
@@ -74,6 +82,14 @@ best as (
   select page_id, max_by(rhost || rpath, length(rhost || rpath)) as rule, max_by(action, length(rhost || rpath)) as action
   from cut join rules on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath) group by page_id)
 select cut.page_id, host, path, rule, coalesce(action, 'allow') as verdict from cut left join best using (page_id)""",
+    "op5_warc": r"""
+with p as (select page_id, coalesce(html, '') as t from pages),
+d as (select page_id, octet_length(encode(t)) as n, sha1(t) as h from p),
+m as (select h, n, max(page_id) as first from d where n >= 1000 group by h, n having count(*) > 1)
+select page_id, d.n::bigint as payload_bytes, d.h as payload_digest,
+  case when first is not null and first != page_id then 'revisit' else 'response' end as record_type,
+  case when first != page_id then first end as refers_to
+from d left join m on d.h = m.h and d.n = m.n""",
     "op6_exact_dedup": r"""
 with d as (
   select doc_id, length(coalesce(text, '')) as n, sha256(translate(coalesce(text, ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) as h
