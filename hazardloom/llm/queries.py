@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardloom.llm import ann, packing, toxicity, warc
+from hazardloom.llm import ann, lm, packing, toxicity, warc
 from hazardloom.llm.common import load, shared_dir
 from hazardloom.llm.exact_dedup import exact_groups
 from hazardloom.llm.mixing import mix_plan
@@ -26,6 +26,10 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(load(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(load(spark, sf_dir, "documents"))
 
@@ -69,7 +73,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest, op3_lm_scoring, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op9_packing, op10_toxicity)}
 
 ORACLE = {
     "op1_url_filter": r"""
