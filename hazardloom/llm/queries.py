@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hazardloom.llm import ann, lm, packing, toxicity, warc
 from hazardloom.llm.common import load, shared_dir
 from hazardloom.llm.exact_dedup import exact_groups
+from hazardloom.llm.line_dedup import line_decisions
 from hazardloom.llm.mixing import mix_plan
 from hazardloom.llm.ngram_join import similar_groups
 from hazardloom.llm.url_filter import filter_urls
@@ -48,6 +49,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, those dropped, and the normalised characters that stay."""
+    lines = line_decisions(load(spark, sf_dir, "documents")).groupBy("row", "doc_id")
+    drop = F.count_if(~F.col("keep"))
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"), drop.alias("n_dropped"), F.sum(F.when(F.col("keep"), F.col("chars")).otherwise(0)).alias("kept_chars")).drop("row")
+
+
 def fold(id_col: str, folds: int) -> Column:
     """The fold of a document: CRC-32 of its id as text, modulo ``folds``."""
     return F.crc32(F.col(id_col).cast("string")) % folds
@@ -73,7 +81,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest, op3_lm_scoring, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest, op3_lm_scoring, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op8_line_dedup, op9_packing, op10_toxicity)}
 
 ORACLE = {
     "op1_url_filter": r"""
