@@ -58,12 +58,12 @@ def number(text: Column) -> Column:
 def top_split(text: Column) -> Column:
     """Parts between commas, semicolons and ``and`` that stand outside parentheses (which do not nest)."""
     parts = F.split(text, r"(?:[,;]|\band\b)(?![^()]*\))")
-    return F.filter(F.transform(parts, F.trim), lambda x: x != "")
+    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
 def inner_parts(area: Column) -> Column:
     """What stands in an area's first parentheses, in parts; an area without is whole (empty array)."""
-    return F.filter(F.transform(F.split(F.regexp_extract(area, r"\(([^)]*)\)", 1), r",|\band\b"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.regexp_extract(area, r"\(([^)]*)\)", 1), r",|\band\b"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def area_sentences(text: Column) -> Column:

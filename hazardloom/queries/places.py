@@ -1 +1,96 @@
+"""Place resolution, areas and distances, with suppliers as towns and nations as provinces."""
 
+from pyspark.sql import functions as F
+
+from hazardloom.functions.geo import haversine
+from hazardloom.operators import places as P
+from hazardloom.queries import query
+from hazardloom.sources.gazetteer import of_suppliers
+from hazardloom.sources.tables import spot, table
+
+_G = """g as (select s_suppkey as code, 'Town ' || (s_suppkey % 40) as name, case when s_suppkey % 9 = 0 then 'SubMun' else 'City' end as level, s_nationkey as province, n_regionkey as region,
+  (s_suppkey * 7919 % 14000) / 1000.0::double + 5 as lat, (s_suppkey * 104729 % 9000) / 1000.0::double + 117 as lon from supplier join nation on n_nationkey = s_nationkey),
+m as (select c_custkey as mention, 'Town ' || (c_custkey % 45) as name, case when c_custkey % 3 != 0 then c_nationkey end as province, case when c_custkey % 4 != 0 then n_regionkey end as region,
+  (c_custkey * 7919 % 14000) / 1000.0::double + 5 as lat, (c_custkey * 104729 % 9000) / 1000.0::double + 117 as lon from customer join nation on n_nationkey = c_nationkey)"""
+_KM = """2 * 6371.0 * asin(sqrt(pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2)))"""
+
+
+def _mentions(spark, d):
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    k = F.col("c_custkey")
+    m = c.select(k.alias("mention"), F.concat(F.lit("Town "), (k % 45).cast("string")).alias("name"), F.when(k % 3 != 0, F.col("c_nationkey")).alias("province"), F.when(k % 4 != 0, F.col("n_regionkey")).alias("region"))
+    return spot(m, "mention")
+
+
+@query(f"""with {_G}, x as (select m.mention, m.province, m.region, g.code, g.level, g.province as gp, g.region as gr, {_KM.format(a="m", b="g")} as km from m left join g on m.name = g.name),
+f as (select mention, any_value(province) as province, any_value(region) as region, min(case when gp = province then code end) as a,
+  min_by(code, km) filter (gr = region and level != 'SubMun' and km <= 120) as b, count(*) filter (gr = region and level != 'SubMun') as nr, min(code) filter (gr = region and level != 'SubMun') as c,
+  count(*) filter (level != 'SubMun') as na, min(code) filter (level != 'SubMun') as d from x group by mention)
+select mention, coalesce(a, b, case when nr = 1 then c end, case when province is null and region is null and na = 1 then d end) as code,
+  case when a is not null then 'province' when b is not null then 'near' when nr = 1 then 'region' when province is null and region is null and na = 1 then 'only' end as how from f""")
+def resolve_places(spark, d):
+    return P.resolve(_mentions(spark, d), of_suppliers(spark, d), fuzzy=False)
+
+
+@query()
+def resolve_places_fuzzy(spark, d):
+    """Misspelt names, found by likeness within their province (difflib's ratio has no SQL twin)."""
+    k = F.col("c_custkey")
+    c = table(spark, d, "customer").select(k.alias("mention"), F.concat(F.lit("Townn "), (k % 40).cast("string")).alias("name"), F.col("c_nationkey").alias("province"), F.lit(None).cast("int").alias("region"))
+    return P.resolve(c, of_suppliers(spark, d))
+
+
+@query(f"""with {_G} select m.mention, min(round({_KM.format(a="m", b="g")}, 4))::double as km, min_by(g.code, ({_KM.format(a="m", b="g")}, g.code)) as code from m join g on m.name = g.name group by m.mention""")
+def nearest_same_name(spark, d):
+    g = of_suppliers(spark, d).select("name", "code", F.col("lat").alias("g_lat"), F.col("lon").alias("g_lon"))
+    km = haversine(F.col("lat"), F.col("lon"), F.col("g_lat"), F.col("g_lon"))
+    met = _mentions(spark, d).join(g, "name").withColumn("km", km)
+    best = met.groupBy("mention").agg(F.min(F.struct("km", "code")).alias("b"))
+    return best.select("mention", F.round("b.km", 4).alias("km"), "b.code")
+
+
+@query(f"""with {_G}, a as (select r_regionkey::bigint as area, 'region' as kind, r_regionkey as place, 'watch' as status from region union all select n_regionkey, 'province', n_nationkey, case when n_nationkey % 2 = 0 then 'occurring' else 'expected' end from nation),
+x as (select a.area, g.code, a.status from a join g on (kind = 'province' and a.place = g.province) or (kind = 'region' and a.place = g.region and g.level != 'SubMun'))
+select area, code, max_by(status, list_position(['watch', 'expected', 'occurring'], status)) as status from x group by area, code""")
+def expand_areas(spark, d):
+    r = table(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("area"), F.lit("region").alias("kind"), F.col("r_regionkey").alias("place"), F.lit("watch").alias("status"))
+    status = F.when(F.col("n_nationkey") % 2 == 0, "occurring").otherwise("expected")
+    n = table(spark, d, "nation").select(F.col("n_regionkey").cast("long").alias("area"), F.lit("province").alias("kind"), F.col("n_nationkey").alias("place"), status.alias("status"))
+    return P.expand_areas(r.unionByName(n), of_suppliers(spark, d))
+
+
+@query(f"""with {_G}, s as (select n_nationkey as place, 'province' as kind, 'N' as area, 1 + n_nationkey % 3 as signal from nation where n_nationkey % 4 = 0
+  union all select n_nationkey, 'portion', case when n_nationkey % 2 = 0 then 'the rest of N' else 'northern N' end, 2 from nation where n_nationkey % 3 = 0
+  union all select s_suppkey, 'city', 'C', 3 + s_suppkey % 3 from supplier where s_suppkey % 10 = 0)
+select code, max(signal)::int as signal from g join s on (kind = 'city' and place = code) or (place = province and (kind = 'province' or (kind = 'portion' and starts_with(area, 'the rest of')))) group by code""")
+def town_signals(spark, d):
+    n, s = table(spark, d, "nation"), table(spark, d, "supplier")
+    k = F.col("n_nationkey")
+    row = lambda df, place, kind, area, signal: df.select(place.cast("long").alias("place"), F.lit(kind).alias("kind"), area.alias("area"), signal.cast("int").alias("signal"))
+    signals = row(n.where(k % 4 == 0), k, "province", F.lit("N"), k % 3 + 1).unionByName(row(n.where(k % 3 == 0), k, "portion", F.when(k % 2 == 0, "the rest of N").otherwise("northern N"), F.lit(2)))
+    signals = signals.unionByName(row(s.where("s_suppkey % 10 = 0"), F.col("s_suppkey"), "city", F.lit("C"), F.col("s_suppkey") % 3 + 3))
+    return P.town_signals(signals, of_suppliers(spark, d))
+
+
+@query("""with r as (select p_partkey, p_brand, p_name, p_type, row_number() over (partition by p_brand, p_name order by p_partkey) as k from part)
+select p_partkey, p_brand, case when k = 2 then p_name || ', ' || p_type else p_name end as p_name from r where k <= 2""")
+def numbered_names(spark, d):
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_name", "p_type")
+    return P.numbered_names(p, ["p_brand"], "p_name", "p_type", "p_partkey").drop("p_type")
+
+
+@query("""select event_id, (event_id % 90)::int as km, 'N 33 E' as bearing, 'Town ' || user_id as town, case when event_id % 2 = 0 then 2 else 1 end::int as n_groups, 'P' || (user_id % 7) as province from events""")
+def quake_locations(spark, d):
+    k, u = F.col("event_id"), F.col("user_id")
+    s = lambda c: c.cast("string")
+    text = F.concat(F.lpad(s(k % 90), 3, "0"), F.lit(" km N 33 E of Town "), s(u), F.when(k % 2 == 0, " (Old Name)").otherwise(""), F.lit(" (P"), s(u % 7), F.lit(")"))
+    part = P.quake_location(text)
+    return table(spark, d, "events").select("event_id", part["km"].alias("km"), part["bearing"].alias("bearing"), part["town"].alias("town"), F.size(part["groups"]).alias("n_groups"), part["province"].alias("province"))
+
+
+@query("""select d.doc_id, coalesce(l.quality, -1) as code, case when l.doc_id is not null then 'label' when d.lang = 'en' then 'default' end as how from documents d left join labels l using (doc_id) where l.doc_id is not null or d.lang = 'en'""")
+def conditional_lookup(spark, d):
+    """A code by one of several lookups; rows that none knows are not emitted."""
+    both = table(spark, d, "documents").select("doc_id", "lang").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    how = F.when(F.col("quality").isNotNull(), "label").when(F.col("lang") == "en", "default")
+    return both.select("doc_id", F.coalesce("quality", F.lit(-1)).alias("code"), how.alias("how")).where("how is not null")

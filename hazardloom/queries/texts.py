@@ -1 +1,184 @@
+"""Text operators on pages, documents and derived bulletins."""
 
+from pyspark.sql import functions as F
+
+from hazardloom.functions import dates as D
+from hazardloom.functions import text as T
+from hazardloom.queries import query
+from hazardloom.sources.tables import table
+
+FMT = "'%Y-%m-%d %H:%M:%S'"
+_UNESCAPE = "replace(replace(replace(replace(replace(replace({}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+
+
+@query(f"""select page_id, trim(regexp_replace({_UNESCAPE.format("regexp_replace(html, '<[^>]*>', ' ', 'g')")}, '[ \\t\\n\\v\\f\\r\\x{{A0}}]+', ' ', 'g')) as text from pages""")
+def html_cell_text(spark, d):
+    return table(spark, d, "pages").select("page_id", T.cell_text(F.col("html")).alias("text"))
+
+
+@query(f"""with a as (select page_id, {_UNESCAPE.format("regexp_replace(regexp_replace(html, '(?i)<br ?/?>|</p>', chr(10), 'g'), '<[^>]*>', ' ', 'g')")} as t from pages),
+b as (select page_id, array_to_string(list_transform(string_split(t, chr(10)), lambda x: trim(regexp_replace(x, '[ \\t\\r\\x{{A0}}]+', ' ', 'g'))), chr(10)) as t from a)
+select page_id, regexp_replace(regexp_replace(t, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\n+|\\n+$', '', 'g') as text from b""")
+def html_block_text(spark, d):
+    return table(spark, d, "pages").select("page_id", T.block_text(F.col("html")).alias("text"))
+
+
+@query("""select page_id, md5(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<script[^>]*>.*?</script>', '', 'g'), '(?s)<style[^>]*>.*?</style>', '', 'g')) as h from pages""")
+def html_without_hidden(spark, d):
+    return table(spark, d, "pages").select("page_id", F.md5(T.without_hidden(F.col("html"))).alias("h"))
+
+
+@query("""with l as (select page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)) as link, generate_subscripts(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1), 1) as pos from pages)
+select page_id, (pos - 1)::int as pos, regexp_replace(replace(link, '\\', '/'), '^(\\./)+', '') as link from l""")
+def html_links(spark, d):
+    """List links in order, their paths cleaned."""
+    links = F.regexp_extract_all("html", F.lit(r'<li><a href="([^"]*)">([^<]*)</a></li>'), F.lit(1))
+    rows = table(spark, d, "pages").select("page_id", F.posexplode(links).alias("pos", "link"))
+    return rows.select("page_id", "pos", F.regexp_replace(F.replace("link", F.lit("\\"), F.lit("/")), r"^(\./)+", "").alias("link"))
+
+
+@query("""with r as (select page_id, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) as c from pages)
+select page_id, c[1] as first, try_cast(c[2] as double) as level, len(c)::int as cells from r where len(c) >= 3 and c[1] is not null""")
+def html_cells_positional(spark, d):
+    """Cells of a page decoded by position; too short rows are dropped."""
+    cells = F.regexp_extract_all("html", F.lit(r'<li><a href="([^"]*)">([^<]*)</a></li>'), F.lit(2))
+    rows = table(spark, d, "pages").select("page_id", cells.alias("c")).where("size(c) >= 3 and c[0] is not null")
+    return rows.select("page_id", F.get("c", 0).alias("first"), F.get("c", 1).try_cast("double").alias("level"), F.size("c").alias("cells"))
+
+
+@query("""with p as (select doc_id, unnest(string_split(text, chr(10))) as p, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents)
+select doc_id, (pos - 1)::int as pos, length(trim(p, ' ')) as n from p where length(trim(p, ' ')) >= 40 and not regexp_matches(substr(lower(p), 1, 200), 'there is no .*issued')""")
+def advisory_split(spark, d):
+    """Paragraphs that are warnings: long enough and not a note that there is none."""
+    p = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "p"))
+    return p.select("doc_id", "pos", F.length(F.trim("p")).alias("n"), "p").where((F.col("n") >= 40) & ~F.substring(F.lower("p"), 1, 200).rlike("there is no .*issued")).drop("p")
+
+
+@query("""with l as (select doc_id, string_split(text, chr(10)) as a from documents)
+select doc_id, len(a) as n_lines, len(list_filter(a, lambda x, i: i = 1 or x is distinct from a[i - 1])) as n_kept, md5(array_to_string(list_filter(a, lambda x, i: i = 1 or x is distinct from a[i - 1]), chr(10))) as h from l""")
+def clean_runs(spark, d):
+    """Texts without lines that repeat the line before."""
+    a = F.split("text", "\n")
+    kept = T.distinct_runs(a)
+    return table(spark, d, "documents").select("doc_id", F.size(a).cast("long").alias("n_lines"), F.size(kept).cast("long").alias("n_kept"), F.md5(F.array_join(kept, "\n")).alias("h"))
+
+
+@query("""with recursive names as (select p_partkey, case p_partkey % 4 when 0 then 'City of ' || p_name when 1 then 'Sto. ' || p_name || ' City' when 2 then 'Mt' || upper(substr(p_name, 1, 1)) || substr(p_name, 2) || ' (cap.)' else 'Ñuñez ' || p_name end as name from part),
+a as (select p_partkey, name, regexp_replace(name, '([a-z])([A-Z])', '\\1 \\2', 'g') as s from names),
+b as (select p_partkey, name, translate(lower(s), 'áàâäãåéèêëíìîïóòôöõúùûüñç', 'aaaaaaeeeeiiiiooooouuuunc') as s from a),
+c as (select p_partkey, name, regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(s, '\\([^)]*\\)', ' ', 'g'), 'city of|municipality of', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')), ' city$', '') as s from b)
+select p_partkey, name, array_to_string(list_transform(string_split(s, ' '), lambda w: case w when 'gen' then 'general' when 'sto' then 'santo' when 'sta' then 'santa' when 'pres' then 'president' when 'mt' then 'mount' when 'st' then 'saint' else w end), '') as key from c""")
+def name_keys(spark, d):
+    p, n = table(spark, d, "part"), F.col("p_name")
+    big = F.concat(F.upper(F.substring(n, 1, 1)), F.expr("substring(p_name, 2)"))
+    name = F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("City of "), n)).when(F.col("p_partkey") % 4 == 1, F.concat(F.lit("Sto. "), n, F.lit(" City"))).when(F.col("p_partkey") % 4 == 2, F.concat(F.lit("Mt"), big, F.lit(" (cap.)"))).otherwise(F.concat(F.lit("Ñuñez "), n))
+    return p.select("p_partkey", name.alias("name")).withColumn("key", T.name_key(F.col("name")))
+
+
+@query("""with t as (select event_id, case event_id % 4 when 0 then 'expected within ' || (1 + event_id % 3) || ' to ' || (3 + event_id % 5) || ' hours' when 1 then 'for an hour' when 2 then 'in ' || (event_id % 9) || ' hours or 2 hours' else 'soon' end as t, ts from events)
+select event_id, strftime(ts + to_hours((case event_id % 4 when 0 then 3 + event_id % 5 when 1 then 1 when 2 then greatest(event_id % 9, 2) else 3 end)::int), '%Y-%m-%d %H:%M:%S') as expires_at from t""")
+def hours_expiry(spark, d):
+    k = F.col("event_id")
+    s = lambda c: c.cast("string")
+    text = F.when(k % 4 == 0, F.concat(F.lit("expected within "), s(k % 3 + 1), F.lit(" to "), s(k % 5 + 3), F.lit(" hours"))).when(k % 4 == 1, "for an hour").when(k % 4 == 2, F.concat(F.lit("in "), s(k % 9), F.lit(" hours or 2 hours"))).otherwise("soon")
+    e = table(spark, d, "events").select("event_id", "ts", D.valid_hours(text).alias("h"))
+    return e.select("event_id", D.stamp(F.col("ts") + F.make_dt_interval(hours=F.col("h"))).alias("expires_at"))
+
+
+@query(f"select event_id, strftime(time_bucket(interval 10 minute, ts - interval 10 minute), {FMT}) as slot from events")
+def slot_floor(spark, d):
+    return table(spark, d, "events").select("event_id", D.stamp(D.slot(F.col("ts"))).alias("slot"))
+
+
+@query(f"select event_id, strftime(date_trunc('minute', ts), {FMT}) as at from events")
+def long_date_parse(spark, d):
+    """Times written out in words and read again."""
+    text = F.date_format("ts", "d MMMM yyyy - hh:mm a")
+    return table(spark, d, "events").select("event_id", D.stamp(D.long_date(text)).alias("at"))
+
+
+@query(f"select event_id, strftime(date_trunc('minute', ts), {FMT}) as at from events")
+def loose_date_parse(spark, d):
+    """The same with a comma or ``Sept``, or with the time first."""
+    text = F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "d MMM, yyyy h:mm a")).otherwise(F.date_format("ts", "h:mm a d MMMM yyyy"))
+    return table(spark, d, "events").select("event_id", D.stamp(D.loose_date(text)).alias("at"))
+
+
+@query(f"""select event_id, case when event_id % 14 between 1 and 12 and event_id % 70 < 60 then strftime(make_timestamp(2024, 1 + event_id % 12, 1 + event_id % 28, ((event_id % 14) % 12 + case when event_id % 3 = 0 then 12 else 0 end), event_id % 70, 0), {FMT}) end as at from events""")
+def clock12_parse(spark, d):
+    k = F.col("event_id")
+    half = F.when(k % 3 == 0, "pm").otherwise("AM")
+    return table(spark, d, "events").select("event_id", D.stamp(D.clock12(F.lit(2024), k % 12 + 1, k % 28 + 1, k % 14, k % 70, half)).alias("at"))
+
+
+@query("""with t as (select event_id, make_date(2024, month(ts)::bigint, day(ts)::bigint) as this, date '2024-01-10' as today from events)
+select event_id, strftime(case when date_diff('day', today, this) > 2 then this - interval 12 month else this end, '%Y-%m-%d') as day from t""")
+def year_infer(spark, d):
+    e = table(spark, d, "events")
+    day = D.assumed_year(F.dayofmonth("ts"), F.month("ts"), F.lit("2024-01-10").cast("date"))
+    return e.select("event_id", F.date_format(day, "yyyy-MM-dd").alias("day"))
+
+
+@query("select o_orderkey, strftime(date_trunc('month', o_orderdate) + to_months((o_orderkey % 30 - 15)::int), '%Y-%m') as month from orders")
+def month_arithmetic(spark, d):
+    moved = F.date_format(F.add_months(F.to_date(F.concat(F.date_format("o_orderdate", "yyyy-MM"), F.lit("-01"))), (F.col("o_orderkey") % 30 - 15).cast("int")), "yyyy-MM")
+    return table(spark, d, "orders").select("o_orderkey", moved.alias("month"))
+
+
+@query("select event_id, user_id, json_extract(props, '$.k')::bigint as k, json_extract(props, '$.none')::bigint is null as absent from events")
+def json_fields(spark, d):
+    p = F.from_json("props", "struct<k: bigint, none: bigint>")
+    return table(spark, d, "events").select("event_id", "user_id", p.alias("p")).select("event_id", "user_id", "p.k", F.col("p.none").isNull().alias("absent"))
+
+
+@query("""with s as (select r_regionkey, n_nationkey, r_name, n_name from region join nation on n_regionkey = r_regionkey)
+select n_nationkey, unnest([r_name || ' (' || n_name || ', X and Y)', n_name, 'east of ' || n_name]) as part, unnest([3, 0, 0]) as towns from s""")
+def top_split(spark, d):
+    """A sentence of areas, split outside parentheses, with the number of towns inside."""
+    s = table(spark, d, "region").join(table(spark, d, "nation"), F.col("n_regionkey") == F.col("r_regionkey"))
+    text = F.concat("r_name", F.lit(" ("), "n_name", F.lit(", X and Y), "), "n_name", F.lit(" and east of "), "n_name")
+    parts = s.select("n_nationkey", F.explode(T.top_split(text)).alias("part"))
+    return parts.select("n_nationkey", "part", F.size(T.inner_parts(F.col("part"))).alias("towns"))
+
+
+@query("""select n_nationkey, unnest([n_name || ' (A, B)', 'R' || n_regionkey]) as area, unnest([0, 1])::int as pos from nation""")
+def area_sentences(spark, d):
+    """Areas named between an expecting phrase and the sentence's time."""
+    text = F.concat(F.lit("Heavy rain is expected over\n"), "n_name", F.lit(" (A, B) within 2 hours. Rain affecting R"), F.col("n_regionkey").cast("string"), F.lit(" which may persist."))
+    return table(spark, d, "nation").select("n_nationkey", F.posexplode(T.area_sentences(text)).alias("pos", "area"))
+
+
+@query("""select doc_id, case when regexp_matches(text, '(?i)licen[sc]e|copyright') then 'licence' when regexp_matches(text, '[^ ]+@[^ ]+') then 'mail' when regexp_matches(text, '[0-9]{3}') then 'number' else 'plain' end as kind,
+  try_cast(nullif(regexp_extract(text, '([0-9]+)', 1), '') as double) as first_number from documents""")
+def rule_classify(spark, d):
+    rules = [("(?i)licen[sc]e|copyright", "licence"), ("[^ ]+@[^ ]+", "mail"), ("[0-9]{3}", "number")]
+    first = F.nullif(F.regexp_extract("text", "([0-9]+)", 1), F.lit("")).try_cast("double")
+    return table(spark, d, "documents").select("doc_id", T.rule_class(F.col("text"), rules, "plain").alias("kind"), first.alias("first_number"))
+
+
+@query("""with a as (select p_partkey, (p_partkey % 23)::double as h, (p_partkey % 17)::double as m, (p_partkey % 3) / 30.0::double as l from part)
+select p_partkey, case when h >= 10 then 'high' when h >= 2 or h + m >= 10 then 'medium' when greatest(h, m, l) >= 0.05 then 'low' else 'none' end as label from a""")
+def susceptibility_label(spark, d):
+    k = F.col("p_partkey")
+    return table(spark, d, "part").select("p_partkey", T.susceptibility((k % 23).cast("double"), (k % 17).cast("double"), (k % 3) / F.lit(30.0)).alias("label"))
+
+
+@query("""select doc_id, replace(substr(text, 1, 80), 'ation', 'ation') as head, length(replace(text, 'thousing1', '***')) as n from documents""")
+def scrub_secrets(spark, d):
+    """Secrets struck out; ``ation`` is too short to be one."""
+    return table(spark, d, "documents").select("doc_id", F.substring(T.scrub(F.col("text"), ["ation"]), 1, 80).alias("head"), F.length(T.scrub(F.col("text"), ["thousing1"])).alias("n"))
+
+
+@query("""select o_orderkey, try_cast(substr(o_orderpriority, 1, 1) as int) as urgency, case when regexp_matches(o_orderstatus, '^-?[0-9]+(\\.[0-9]+)?$') then 1.0::double end as number from orders where try_cast(substr(o_orderpriority, 1, 1) as int) <= 2""")
+def null_tolerant_filter(spark, d):
+    """Rows whose text is a number in range; what does not parse is dropped."""
+    o = table(spark, d, "orders").withColumn("urgency", F.substring("o_orderpriority", 1, 1).try_cast("int"))
+    return o.where("urgency <= 2").select("o_orderkey", "urgency", T.number(F.col("o_orderstatus")).alias("number"))
+
+
+@query("""select conv_id, string_agg(role, ',' order by turn) as roles, count(*) as turns, max(case when turn = 0 then length(text) end) as first_length from conversations group by conv_id""")
+def nested_turns(spark, d):
+    """Nested records built and taken apart again."""
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.length("text").alias("n")))).alias("t"))
+    first = F.get(F.filter("t", lambda x: x["turn"] == 0), 0)
+    return c.select("conv_id", F.array_join(F.col("t.role"), ",").alias("roles"), F.size("t").cast("long").alias("turns"), first["n"].alias("first_length"))
