@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a Parquet table in the shared folder: smaller than a checkpoint for many rows; it stays there until ``discard``."""
+    path = f"{shared_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(kept: DataFrame) -> None:
+    """Deletes the files of a table from ``keep``, when nothing will read it any more."""
+    spark = kept.sparkSession
+    for name in {f.rpartition("/")[0] for f in kept.inputFiles()[:1]}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Arrow batches of whole texts of at most ``rows`` rows, so that Python workers stay small, unless the session has its own limit."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name, "10000")) == 10_000:
+        spark.conf.set(name, str(rows))
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

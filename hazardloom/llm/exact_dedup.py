@@ -70,9 +70,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat id and text one stays."""
-    groups = exact_groups(docs, id_col, text_col, salts).where("kept")
-    stay = groups.select(F.col("keep_id").alias("__keep_id"), F.col("text_sha256").alias("__digest")).distinct()
+    kept_rows = exact_groups(docs, id_col, text_col, salts).where("kept").groupBy(F.col("keep_id").alias("__keep_id"), F.col("text_sha256").alias("__digest"))
+    stay = cut(kept_rows.agg(F.count(F.lit(1)).alias("__times")))
     digest = F.sha2(F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), WHITE, ""), 256)
     rows = docs.withColumn("__own_digest", digest)
     kept = rows.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("__keep_id")) & (F.col("__own_digest") == F.col("__digest")), "left_semi")
-    return kept.dropDuplicates([id_col, "__own_digest"]).drop("__own_digest")
+    if not stay.where("__times > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col, "__own_digest"])
+    return kept.drop("__own_digest")
