@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardloom.llm.common import cut
+from hazardloom.llm.common import cut, small_batches
 
 WINDOW, END_ID = 4096, 2
 #: Windows of rest pieces in a batch, about; words that a worker's cache holds at most.
@@ -169,6 +169,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     ``batch_windows`` windows whatever the table's size, so no task packs more than that. An empty table gives an
     empty result; extra columns are ignored.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     pieces = cut(texts.mapInPandas(document_pieces(path, window, rest_piece, end_id), _PIECE))
     total = pieces.agg(F.sum("length")).first()[0] or 0
