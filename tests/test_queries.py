@@ -55,3 +55,18 @@ def test_repository_needs_no_llm_folder(tmp_path):
     shutil.copy(f"{here}/__spark_entry__.py", tmp_path)
     out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') for n in e.queries()))"], cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, text=True, check=True)
     assert out.stdout.split() == [str(len(registry.QUERIES)), "False"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = _plan(registry.QUERIES["range_read"](spark, SF))
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "o_orderpriority" not in plan
+    assert "EqualTo(user_id,7)" in _plan(registry.QUERIES["by_key_read"](spark, SF))
+
+
+def test_radius_join_is_an_equi_join(spark):
+    plan = _plan(registry.QUERIES["radius_rates"](spark, SF))
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
