@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import string
 
 import pytest
 import xxhash
@@ -127,8 +128,7 @@ def _brute_lines(rows):
     norm, seen = {}, {}
     for i, t in rows:
         for k, line in enumerate((t or "").split("\n")):
-            n = re.sub(r"[^\w]|_", " ", _lower(line))
-            n = re.sub(" +", " ", n).strip()
+            n = re.sub("[\\s" + re.escape(string.punctuation) + "]+", " ", line.lower(), flags=re.ASCII).strip(" ")
             norm[i, k] = n
             if n:
                 seen.setdefault(n, []).append((i, k))

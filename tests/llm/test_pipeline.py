@@ -1,3 +1,5 @@
+import re
+
 import corpus_pipeline
 from hazardloom.llm.queries import ORACLE, QUERIES
 
@@ -28,6 +30,37 @@ def test_stages_take_awkward_rows(spark):
         assert (kept.count() > 0) == (table.count() > 0)
 
 
+def test_deduplicating_stages_match_brute_force(spark):
+    """What stays after exact and near deduplication of the smallest table, by comparing all texts in Python."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    best: dict = {}
+    for i, t in rows:
+        norm = re.sub("[\x20\x09-\x0d]", "", t)
+        best[norm] = min(best.get(norm, (1, 0, "")), (-len(t), i, t))
+    exact = {i: t for _, i, t in best.values()}
+    kept = stages["exact_dedup"](spark, docs, SF)
+    assert {r.doc_id for r in kept.collect()} == set(exact)
+
+    lower = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    words = {i: t.encode().translate(lower).split() for i, t in exact.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for i, w in words.items()}
+    root = {i: i for i in sets}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            common = len(sets[a] & sets[b]) if a < b else 0
+            if common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                root[max(top(a), top(b))] = min(top(a), top(b))
+    assert {r.doc_id for r in stages["ngram_join"](spark, kept, SF).collect()} == {top(i) for i in sets}
+
+
 def test_every_operator_is_registered():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
     assert set(ORACLE) <= set(QUERIES)
