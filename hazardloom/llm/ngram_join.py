@@ -310,8 +310,10 @@ def _lists(texts: DataFrame, reps: DataFrame, hot: list[int], words: int, percen
     flat = lambda bucket: postings.where(F.col("bucket") == bucket).select(F.explode(F.arrays_zip("shingles", "docs")).alias("x")).select(F.col("x.shingles").alias("shingle"), F.col("x.docs").alias("doc_id"))
     shared = postings.where("bucket >= 0").groupBy("bucket").applyInPandas(_shared, "shingle long, doc_id long, df long")
     sizes = flat(-2).groupBy("doc_id").agg(F.max("shingle").alias("sizes"))
-    whole = reps.where("doc_id = rep").groupBy("doc_id").agg(F.max("n").alias("n")).join(sizes, "doc_id")
-    held = shared.unionByName(flat(-1).withColumn("df", F.lit(_HOT).cast("long"))).join(whole, "doc_id")
+    # A partition emits the copy that it meets first; of a class's emitted copies one counts, under the representative's id.
+    one_of = F.min(F.struct("doc_id", (-F.col("n")).alias("minus_n"), "sizes")).alias("x")
+    whole = reps.join(sizes, "doc_id").groupBy("rep").agg(one_of).select("rep", "x.doc_id", (-F.col("x.minus_n")).alias("n"), "x.sizes")
+    held = shared.unionByName(flat(-1).withColumn("df", F.lit(_HOT).cast("long"))).join(whole, "doc_id").drop("doc_id").withColumnRenamed("rep", "doc_id")
     group = F.when(F.col("df") == _HOT, 2).when(F.col("shingle").bitwiseAND(3) != 0, 1).otherwise(0)
     held = held.withColumns({"group": group, "n_first": F.col("sizes").bitwiseAND(F.lit((1 << 32) - 1)), "n_other": F.shiftright("sizes", 32)})
     own = Window.partitionBy("doc_id", "group")

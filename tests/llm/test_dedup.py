@@ -82,6 +82,19 @@ def test_similar_groups_match_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("order", ["descending", "shuffled"])
+def test_similar_groups_do_not_depend_on_row_order(spark, order):
+    rng = random.Random(7)
+    rows = []
+    for k in range(8):
+        base = rng.choices([f"w{i}" for i in range(400)], k=40)
+        for copy in range(3):  # exact copies of two texts that link, by one word at the end
+            rows += [(100 * k + 10 * copy, " ".join(base)), (100 * k + 10 * copy + 1, " ".join([*base[:-1], "other"]))]
+    rows = sorted(rows, reverse=True) if order == "descending" else rng.sample(rows, len(rows))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(_docs(spark, rows).coalesce(1)).collect()}
+    assert got == _brute_groups(rows)
+
+
 def test_similarity_of_exactly_four_fifths_links(spark):
     # nine shingles each, eight shared: union 10, similarity 0.8
     a, b = "s1 s2 s3 s4 s5 s6 s7 s8 s9 s10 s11 s12 A".split(), "s1 s2 s3 s4 s5 s6 s7 s8 s9 s10 s11 s12 B".split()
