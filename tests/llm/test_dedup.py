@@ -192,3 +192,18 @@ def test_line_decisions_match_brute_force(spark):
 def test_first_occurrence_of_a_line_stays(spark, rows):
     kept = [r.doc_id for r in line_dedup.line_decisions(_docs(spark, rows)).where("keep").collect()]
     assert kept == [min(i for i, _ in rows if i is not None)]
+
+
+@pytest.mark.parametrize(("few", "more"), [(["a1 b1 c1"] * 34, ["a1 b1 c1"] * 35), (["q"] * 16_500, ["q"] * 16_501)])
+def test_near_lines_of_other_word_counts_and_of_any_length_meet(spark, few, more):
+    rows = [(1, " ".join(few)), (2, " ".join(more)), (3, "x y")]
+    kept = {r.doc_id for r in line_dedup.line_decisions(_docs(spark, rows)).where("keep").collect()}
+    assert kept == {1, 3}
+
+
+def test_long_lines_have_the_same_simhash(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MAX_WORDS", 6)
+    rng = random.Random(3)
+    lines = [" ".join(rng.choices([f"w{i}" for i in range(30)], k=k)) for k in (7, 8, 40)]
+    got = {bytes(r.line): r.long_sim for r in line_dedup._long_sims(_docs(spark, [(1, "\n".join([*lines, lines[0], "a b c"]))]), "doc_id", "text").collect()}
+    assert got == {hashlib.md5(n.encode()).digest(): (_sim(n)[0] ^ 1 << 63) - (1 << 63) for n in lines}
