@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazardloom.functions.folds import fold_sorted
 from hazardloom.functions.text import row_hash
 
 
@@ -75,13 +76,14 @@ def statement_batches(rows: DataFrame, group: str, order: str, text: str, most:
 
     The fold goes over the lengths of one group, as each batch begins where the one before was full.
     """
-    sizes = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(order, F.octet_length(text).alias("size")))).alias("all"))
-    start = F.struct(F.lit(0).alias("batch"), F.lit(0).alias("held"), F.array().cast("array<int>").alias("out"))
+    sizes = rows.select(group, order, F.octet_length(text).alias("__size"))
+    schema = sizes.drop("__size").withColumn("batch", F.lit(0)).schema
 
-    def step(acc: Column, x: Column) -> Column:
-        fits = (acc["held"] + x["size"] <= most) | (acc["held"] == 0)
-        batch = F.when(fits, acc["batch"]).otherwise(acc["batch"] + 1)
-        return F.struct(batch.alias("batch"), F.when(fits, acc["held"] + x["size"]).otherwise(x["size"]).alias("held"), F.concat(acc["out"], F.array(batch)).alias("out"))
+    def step(state: list, row: dict) -> list[dict]:
+        batch, held = state
+        size = row["__size"]
+        fits = held is not None and (held == 0 or size is not None and held + size <= most)
+        state[:] = (batch, None if size is None else held + size) if fits else (batch + 1, size)
+        return [{group: row[group], order: row[order], "batch": state[0]}]
 
-    dealt = sizes.select(group, "all", F.aggregate("all", start, step, lambda a: a["out"]).alias("batches"))
-    return dealt.select(group, F.explode(F.arrays_zip(F.col(f"all.{order}").alias(order), "batches")).alias("x")).select(group, f"x.{order}", F.col("x.batches").alias("batch"))
+    return fold_sorted(sizes, group, [order, "__size"], schema, lambda: [0, 0], step)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from hazardloom.functions.folds import fold_sorted
+
 KEEPALIVE_S = 3600
 
 
@@ -17,17 +19,16 @@ def emitted(df: DataFrame, key: str, at: str, level: str, tie: str, keepalive_s:
 
     ``at`` is in whole seconds. The fold runs over one key's rows; what is last emitted cannot be told from neighbours.
     """
-    rows = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(at).alias("at"), F.col(tie).alias("tie"), F.col(level).alias("level")))).alias("rows"))
-    item = "struct<at: bigint, tie: bigint, level: string>"
-    start = F.struct(F.lit(None).cast("bigint").alias("at"), F.lit(None).cast("string").alias("level"), F.array().cast(f"array<{item}>").alias("out"))
+    rows = df.select(key, F.col(at).cast("long").alias(at), F.col(tie).cast("long").alias(tie), F.col(level).cast("string").alias(level))
 
-    def step(acc: Column, x: Column) -> Column:
-        send = acc["at"].isNull() | ~acc["level"].eqNullSafe(x["level"]) | (x["at"] - acc["at"] >= keepalive_s)
-        keep = lambda new, old, name: F.when(send, new).otherwise(old).alias(name)
-        return F.struct(keep(x["at"], acc["at"], "at"), keep(x["level"], acc["level"], "level"), keep(F.concat(acc["out"], F.array(x)), acc["out"], "out"))
+    def step(last: list, row: dict) -> list[dict]:
+        now, value = row[at], row[level]
+        if last[0] is None or value != last[1] or now is not None and now - last[0] >= keepalive_s:
+            last[:] = now, value
+            return [row]
+        return []
 
-    out = rows.select(key, F.explode(F.aggregate("rows", start, step, lambda a: a["out"])).alias("x"))
-    return out.select(key, F.col("x.at").alias(at), F.col("x.tie").alias(tie), F.col("x.level").alias(level))
+    return fold_sorted(rows, key, [at, tie, level], rows.schema, lambda: [None, None], step)
 
 
 def emitted_stream(stream: DataFrame, key: str, at: str, level: str, tie: str, keepalive_s: int = KEEPALIVE_S) -> DataFrame:
