@@ -9,7 +9,7 @@ from hazardloom.functions.dates import loose_date
 from hazardloom.functions.text import cell_text
 from hazardloom.sources.pages import embedded_json
 
-# The page format of forecasts - head, end and extent of the block, and the patterns of its values.
+# The page format of forecasts - head, end and extent (where no end is found) of the block, and the patterns of its values.
 HEAD, LONGEST, ISSUED_WITHIN = "Extended Weather Outlook", 20_000, 600
 END = r'(?is)(?:<ul class="nav|id="rainfalls"|<script).*'
 ISSUED = r"(?i)Issued\s+at\s*:?\s*(\d{1,2}\s*:\s*\d{2}\s*[AP]\.?M\.?\s*,?\s*(?:\d{1,2}\s+[A-Za-z]+\.?|[A-Za-z]+\.?\s+\d{1,2})\s*,?\s*\d{4})"
@@ -38,8 +38,8 @@ def region_days(pages: DataFrame, html: str) -> DataFrame:
     """
     kept = [c for c in pages.columns if c != html]
     at = F.locate(HEAD, F.col(html))
-    tail = F.when(at > 0, F.substring(html, at, F.lit(LONGEST)))
-    block = F.regexp_replace(tail, END, "")
+    tail = F.when(at > 0, F.substring(html, at, F.length(html)))
+    block = F.when(F.regexp_like(tail, F.lit(END)), F.regexp_replace(tail, END, "")).otherwise(F.substring(tail, 1, LONGEST))
     said = F.regexp_replace(_found(cell_text(F.substring(block, 1, ISSUED_WITHIN)), ISSUED), r"\s*:\s*", ":")
     ordered = F.regexp_replace(said, r"([A-Za-z]{3,})\.? (\d{1,2}),? (\d{4})$", "$2 $1 $3")
     items = F.slice(F.split(block, ITEM), 2, 1_000)

@@ -20,3 +20,11 @@ def test_outlook_pages(spark):
     assert got == [("a", "2026-09-26 09:00:00", 0, "Sunday", *day), ("a", "2026-09-26 09:00:00", 1, "Monday", *day), ("b", "2026-09-26 17:00:00", 0, "Sunday", *day)]
     provinces = outlook.province_days(pages, "html", days, "region").where("region = 'a'").orderBy("day_index").collect()
     assert [(r.province, r.province_name, r.day, r.tmin, r.tmax) for r in provinces] == [("0100", "North", "Sunday", 21, 26), ("0100", "North", "Monday", 22, 27), ("0100", "North", "", 23, 28)]
+
+
+def test_long_blocks_end_at_their_mark(spark):
+    day = '<div class="outlook-item"><span style="font-weight: bold;">{}</span><i class="low">20</i>{}</div>'
+    head, body = "<h1>Extended Weather Outlook</h1><span>Issued at: 5:00 PM, 20 July 2026</span>", day.format("Monday", " " * 30_000) + day.format("Tuesday", "")
+    pages = spark.createDataFrame([("marked", f'{head}{body}<ul class="nav">{day.format("Later", "")}'), ("unmarked", head + body)], "region string, html string")
+    got = {(r.region, r.name, r.tmin) for r in outlook.region_days(pages, "html").collect()}
+    assert got == {("marked", "Monday", 20), ("marked", "Tuesday", 20), ("unmarked", "Monday", 20)}
