@@ -179,6 +179,15 @@ def test_lm_probabilities_add_up(spark):
     assert (10 ** model.log10(context, np.arange(lm.CLASSES))).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_lm_start_sample_is_picked_in_parallel_whatever_the_ids(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(lm, "START_DOCS", 10)
+    monkeypatch.setattr(lm, "_averaged", lambda df, shared, flat, *steps: (taken.append(df), flat)[1])
+    lm.score_texts(_docs(spark, [(None, f"a b c{i}", "s") for i in range(100)]), F.lit(False))
+    assert taken[0].rdd.getNumPartitions() == 1 and "Exchange" in taken[0]._jdf.queryExecution().executedPlan().toString()
+    assert 0 < taken[0].count() < 50
+
+
 def test_lm_without_training_rows(spark):
     got = lm.score_texts(_docs(spark, [(1, "a b", "s")]), F.lit(True)).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got] == [(3, 0, 0, 0.0, 0.0)]
