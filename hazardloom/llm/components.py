@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by alternating large and small stars over DataFrames."""
+"""Connected components of an edge table, as joins and minima over DataFrames."""
 
 from __future__ import annotations
 
@@ -8,29 +8,35 @@ from pyspark.sql import functions as F
 from hazardloom.llm.common import cut
 
 
-def _state(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a root or has one edge, to a root."""
+    one, none = F.lit(1), F.lit(0)
+    ends = edges.select(F.col("u").alias("node"), one.alias("up"), none.alias("down")).unionByName(edges.select(F.col("v").alias("node"), none.alias("up"), one.alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up + down > 1").isEmpty()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``node, root`` for every node with an edge; ``root`` is the smallest node that it can reach.
 
-    Each round aggregates minima, which combine before the shuffle, and joins them back, so that a node with very many
-    edges is no heavier than others; the number of rounds grows with the logarithm of the longest chain. Rounds end in
-    the shared folder.
+    ``edges`` is read several times, so it should be kept. First each node notes its least neighbour below; its other
+    neighbours are linked with that one instead. Nodes that lie below no other are done with that, so the rounds work
+    only on what connects hubs, and a hub's own leaves are never gathered: they meet their hub in joins of two plain
+    tables, which Spark splits where one key is large. Rounds halve the way up, so their number grows with the logarithm
+    of the longest chain; they end in the shared folder.
     """
-    pairs = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    now = cut(pairs)
-    state = _state(now)
-    while state[0]:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        before, state = state, _state(now)
-        if state == before:
-            break
-    roots = now.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    pairs = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    least = cut(pairs.groupBy("u").agg(F.min("v").alias("m")))
+    others = pairs.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    inner = least.join(pairs.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u", F.col("m").alias("v"))
+    now = cut(others.unionByName(inner).distinct())
+    while not _is_stars(now):
+        up = now.groupBy("u").agg(F.min("v").alias("m"))
+        met = now.join(up.withColumnRenamed("u", "v"), "v", "left")
+        jumped = met.select("u", F.coalesce("m", "v").alias("v")).unionByName(met.where("m is not null").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        low = jumped.groupBy("u").agg(F.min("v").alias("m"))
+        rest = jumped.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = cut(low.select("u", F.col("m").alias("v")).unionByName(rest).distinct())
+    tops = now.select(F.col("u").alias("m"), F.col("v").alias("root"))
+    found = least.join(tops, "m", "left").select(F.col("u").alias("node"), F.coalesce("root", "m").alias("root"))
+    found = found.unionByName(tops.withColumnRenamed("m", "node"))
+    return found.unionByName(found.select(F.col("root").alias("node"), "root")).distinct()
