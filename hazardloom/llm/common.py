@@ -47,6 +47,11 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_few_tasks(df: DataFrame, rows: int, per_task: int = 25_000, least: int = 8) -> DataFrame:
+    """``df``, of about ``rows`` rows, read by as many tasks as that needs and not by one for each shuffle partition."""
+    return df.coalesce(max(least, -(-rows // per_task)))
+
+
 def discard(kept: DataFrame) -> None:
     """Deletes the files of a table from ``keep``, when nothing will read it any more."""
     spark = kept.sparkSession
