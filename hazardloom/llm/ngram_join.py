@@ -8,8 +8,8 @@ passage that many documents share brings none together.
 
 Lists are worked off in two rounds. First every list's pivot (its smallest hash) is tested against the list's other
 documents, about one test a document; a list that one component now holds is done, however many alike documents it
-has. The documents of the other lists fall into families (what lists connect), and in a family every document is
-tested against every other one, by pairs of blocks. So no link is lost and no pair is ever written down but a link.
+has. In the other lists every document is tested against every other one, by pairs of blocks of the list. So no link is
+lost and no pair is ever written down but a link.
 
 Tests run in a prefix tree: sets of a block are stored in one order of their shingles (most frequent first), so that
 documents that begin alike share a path, and a block of probes walks the tree at once, sharing the partial overlaps
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hazardloom.llm.common import cut, discard, keep, shuffle_partitions, small_batches
+from hazardloom.llm.common import cut, discard, in_few_tasks, keep, shuffle_partitions, small_batches
 from hazardloom.llm.components import components
 from hazardloom.llm.shingles import mix, shingle_set
 
@@ -272,7 +272,7 @@ def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _links(docs: DataFrame, tasks: DataFrame, words: int, percent: int) -> DataFrame:
     """Links among the documents of ``tasks`` (``g, i, j`` name a task; ``side``; ``doc``), whole sets compared."""
-    texts = _among(docs, tasks.select("doc").distinct()).withColumnRenamed("doc_id", "doc")
+    texts = _among(docs, tasks.select("doc")).withColumnRenamed("doc_id", "doc")
     sets = tasks.join(texts, "doc").select("g", "i", "j", "side", "doc", "text")
     dealt = sets.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side", "doc")
     return cut(dealt.mapInPandas(_verify(words, percent), "a long, b long").distinct())
@@ -281,7 +281,8 @@ def _links(docs: DataFrame, tasks: DataFrame, words: int, percent: int) -> DataF
 def _pivot_tasks(lists: DataFrame, percent: int) -> DataFrame:
     """Each list's pivot against its other documents, those of one pivot together."""
     coded = lists.withColumn("code", F.xxhash64("doc_id"))
-    lowest = coded.groupBy("shingle").agg(F.min_by("doc_id", "code").alias("a"), F.min_by("n", "code").alias("m"))
+    # Kept, so that the join meets two plain tables and Spark can split a long list.
+    lowest = cut(coded.groupBy("shingle").agg(F.min_by("doc_id", "code").alias("a"), F.min_by("n", "code").alias("m")))
     fits = (100 * F.col("n") >= percent * F.col("m")) & (100 * F.col("m") >= percent * F.col("n"))
     pairs = cut(lists.join(lowest, "shingle").where(fits & (F.col("a") != F.col("doc_id"))).select("a", F.col("doc_id").alias("b")).distinct())
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
@@ -291,14 +292,12 @@ def _pivot_tasks(lists: DataFrame, percent: int) -> DataFrame:
     return others.unionByName(pivots)
 
 
-def _family_tasks(open_lists: DataFrame) -> DataFrame:
-    """All documents of a family against each other, by pairs of blocks of about ``BLOCK`` documents."""
-    low = open_lists.groupBy("shingle").agg(F.min("doc_id").alias("low"))
-    members = components(open_lists.join(low, "shingle"), "doc_id", "low").withColumnRenamed("root", "g")
-    blocks = members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    dealt = members.join(blocks, "g").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return dealt.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), F.col("node").alias("doc"))
+def _block_tasks(open_lists: DataFrame) -> DataFrame:
+    """All documents of a list against each other, by pairs of blocks of about ``BLOCK`` documents."""
+    blocks = F.ceil(F.col("docs") / BLOCK)
+    own = F.pmod(F.xxhash64("doc_id"), blocks)
+    dealt = open_lists.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return dealt.select(F.col("shingle").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), F.col("doc_id").alias("doc"))
 
 
 def _lists(texts: DataFrame, reps: DataFrame, hot: list[int], words: int, percent: int) -> DataFrame:
@@ -351,19 +350,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hot = locally.groupBy("x.hot").agg(F.sum("x.hot_docs").alias("n")).where(F.col("n") >= max(32, HOT_SHARE * count)).collect()
     lists = _lists(texts, reps, [r["hot"] for r in hot], words, percent)
 
-    nodes = lists.select("doc_id").distinct()
-    rooted = lambda links: nodes.join(components(links, "a", "b").withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("root", "doc_id").alias("root"))
     links = _links(texts, cut(_pivot_tasks(lists, percent)), words, percent)
-    roots = cut(rooted(links))
+    roots = cut(components(links, "a", "b"))
     # A list of two has no other pair than the one that was tested.
-    placed = cut(lists.where("docs > 2").join(roots, "doc_id"))
-    state = placed.groupBy("shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("shingle")
-    open_lists = cut(placed.join(state, "shingle").select("shingle", "doc_id"))
-    if not open_lists.isEmpty():
-        more = _links(texts, cut(_family_tasks(open_lists)), words, percent)
+    rooted = lists.where("docs > 2").join(roots, F.col("doc_id") == F.col("node"), "left")
+    placed = cut(rooted.select("shingle", "doc_id", "docs", F.coalesce("root", "doc_id").alias("root")))
+    state = cut(placed.groupBy("shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("shingle"))
+    if not state.isEmpty():
+        more = _links(texts, cut(_block_tasks(placed.join(state, "shingle"))), words, percent)
         if not more.isEmpty():
-            roots = cut(rooted(links.unionByName(more)))
-    out = reps.join(roots.select(F.col("doc_id").alias("rep"), "root"), "rep", "left")
+            roots = cut(components(links.unionByName(more), "a", "b"))
+    out = reps.join(roots, F.col("rep") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("component_id"))
 
 
