@@ -6,6 +6,8 @@ tells them apart. Three stages combine equal texts, and each groups by digest *a
 1. within each input partition (the map side of the first aggregation),
 2. per (digest, content, salt), so that a group that holds a third of all rows is merged by many tasks,
 3. per (digest, content) over the at most ``salts`` winners that stage 2 left.
+
+On the way back rows meet their group's winner by digest; the few groups that hold a large share of all rows are broadcast.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 from hazardloom.llm.common import WHITE, cut
 
 SALTS = 16
+#: Groups of at least one in so many of all rows are hot on the way back to their rows.
+HOT = 500
 _TOP = (1 << 63) - 1
 _STEP = Decimal(10**20)
 
@@ -37,7 +41,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Of equal texts the one with the most code points stays, then the smallest id. Null texts count as empty and
     equal each other. An empty table gives an empty result. A null id ranks behind every other id. Rows that repeat
-    id and text count in ``group_size`` each, and all rows with the winning id are marked kept. Extra columns are ignored.
+    id and text count in ``group_size`` each, and all rows with the winning id are marked kept. Texts may be of any
+    length: each is compared whole. Extra columns, of whatever names, are ignored.
     """
     keyed = _keyed(docs, id_col, text_col)
     best = lambda n: (F.max("rank").alias("rank"), n.alias("group_size"))
@@ -58,7 +63,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     # The digest alone leads back to the winner, unless two contents share one digest: then content decides.
     alone = winners.where(F.col("other").isNull()).drop("other")
-    out = keyed.select("doc_id", "digest").join(alone, "digest")
+    # At most HOT groups can hold a HOT-th of the rows: those are broadcast, and their rows are dealt by id instead.
+    hot = alone.where(F.col("group_size") * HOT >= (winners.agg(F.sum("group_size")).first()[0] or 1))
+    hot = hot.select("digest", F.col("keep_id").alias("hot_id"), F.col("group_size").alias("hot_size"))
+    rows = keyed.select("doc_id", "digest").join(F.broadcast(hot), "digest", "left")
+    rows = rows.withColumn("way", F.when(F.col("hot_size").isNotNull(), F.concat(F.lit("#"), F.coalesce("doc_id", F.lit(0)))).otherwise(F.col("digest")))
+    met = rows.join(alone.withColumnRenamed("digest", "way"), "way", "left").where("hot_size is not null or group_size is not null")
+    out = met.select("doc_id", "digest", F.when(F.col("hot_size").isNotNull(), F.col("hot_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("hot_size", "group_size").alias("group_size"))
     shared = winners.where(F.col("other").isNotNull())
     if not shared.isEmpty():
         twice = keyed.join(shared, "digest").where(F.col("content") == F.col("other"))
