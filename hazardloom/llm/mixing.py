@@ -52,7 +52,8 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     the rounded target exactly, the document at the cut being taken in part. ``copies`` is the same in whole documents:
     the one at the cut is in if its middle is. No document is taken more than ``most`` times.
     Null and empty texts have size 0; a null source is a source of its own; an empty table gives an empty result. Ties
-    of the hash key go by id; rows that repeat an id are documents each, in any order. Reruns agree.
+    of the hash key go by id, then size, then a hash of the text; rows that repeat both id and text are documents each and
+    interchangeable. Texts may be of any length. Reruns agree.
     """
     docs = docs.drop("size", "source_size", "target", "taken", "copies")
     key = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col(id_col).cast("string"), F.lit("-"))))
@@ -69,7 +70,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     offsets = counted.select(F.col("__source").alias("__os"), F.col("__range").alias("__or"), F.coalesce(F.sum("__words").over(earlier), F.lit(0)).alias("__offset"))
 
     named = keyed.withColumn("__source", F.col(source_col)).join(sources.withColumnRenamed("__source", "__s"), same).withColumn("__range", at)
-    inside = Window.partitionBy("__source", "__range").orderBy("__key", F.col(id_col).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__source", "__range").orderBy("__key", F.col(id_col).asc_nulls_last(), "size", F.xxhash64(F.col(text_col).cast("string"))).rowsBetween(Window.unboundedPreceding, -1)
     placed = named.withColumn("__inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(offsets, F.col("__source").eqNullSafe(F.col("__os")) & (F.col("__range") == F.col("__or")))
     budget = F.floor(F.col("target") + 0.5)
     epochs = F.coalesce(F.floor(budget / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
