@@ -6,7 +6,7 @@ the two halves of its CRC-32, so two words are confused only where both halves a
 slide over the words, each is max-pooled over the whole document, and a logistic unit reads the pooled values. As a
 filter is linear, its response is kept per hash bucket after training: scoring a word is a few table look-ups.
 
-The model is fitted on the driver on a bounded sample of labelled rows (``SAMPLE``); scoring reads every whole text.
+The model is fitted on the driver on a bounded sample of labelled rows (``SAMPLE`` rows and ``SAMPLE_CHARS`` characters of each class); scoring reads every whole text.
 Decision thresholds are calibrated by language on a part of the sample that training has not seen. The language only
 picks the threshold; it is no input of a score, nor are labels, source and id.
 """
@@ -20,13 +20,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardloom.llm.common import small_batches
 
-#: Most labelled rows of each class to learn from, and the most characters of such a row (longer ones are passed over).
-SAMPLE, SAMPLE_CHARS = 4_000, 30_000
+#: Most labelled rows of each class to learn from, and the most characters that they may have together.
+SAMPLE, SAMPLE_CHARS = 4_000, 20_000_000
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 16, 8, (1, 2, 3), 4
 STEPS, BATCH, RATE = 150, 64, 0.05
 LEAST_DOCS = 3
@@ -199,26 +199,32 @@ def _best_cut(scores: np.ndarray, labels: np.ndarray, default: float) -> float:
     return float(found)
 
 
-def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", label_col: str = "toxic", sample: int = SAMPLE) -> ToxicityModel:
-    """The model, from at most ``sample`` labelled rows of each class for which ``may_learn`` (on the id) holds.
+def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", label_col: str = "toxic", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> ToxicityModel:
+    """The model, from labelled rows for which ``may_learn`` (on the id) holds: a bounded sample.
 
-    The sampled ids, at most ``2 * sample`` of them, are broadcast; texts are never shuffled. Near copies within the
-    sample (equal smallest word hashes and label) count once. Rows without a label do not count; an id that is
-    labelled twice counts as its largest label; with rows of one class alone every score is 0.
+    Of each class rows are taken in the order of a hash of the id, whatever their length, up to ``sample`` rows that have
+    together at most ``sample_chars`` characters; so at most twice that much reaches the driver, however many labels
+    there are. Of rows that repeat an id one is taken (of the smallest text hash); rows of equal label and equal sets of
+    words count once. Rows without a label or text do not count; an id that is labelled twice counts as its largest
+    label; with rows of one class alone, or none, every score is 0.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where(may_learn & F.col("y").isin(0, 1))
     marked = marked.groupBy("doc_id").agg(F.max("y").alias("y"))
-    present = docs.where(F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)).select(F.col(id_col).cast("long").alias("doc_id"))
-    marked = marked.join(present, "doc_id", "left_semi")
+    text = F.col(text_col).cast("string")
+    code = F.xxhash64(text)
+    present = docs.where(text.isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.min_by(F.length(text), code).alias("chars"), F.min(code).alias("code"))
+    marked = marked.join(present, "doc_id")
     pick = lambda y: marked.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    chosen = pick(0).unionByName(pick(1)).select(F.col("doc_id").alias("__id"), F.col("y").alias("__y"))
+    # The window goes over the at most 2 * sample rows that are left.
+    so_far = F.sum("chars").over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    chosen = pick(0).unionByName(pick(1)).withColumn("so_far", so_far).where(F.col("so_far") <= sample_chars)
+    chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("y").alias("__y"), F.col("code").alias("__code"))
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    rows = docs.join(F.broadcast(chosen), F.col(id_col).cast("long") == F.col("__id")).select("__id", F.col(text_col).alias("text"), lang.alias("lang"), "__y").toPandas()
-    rows = rows[rows.text.str.len() <= SAMPLE_CHARS].sort_values(["__id", "text"])
+    rows = docs.join(F.broadcast(chosen), (F.col(id_col).cast("long") == F.col("__id")) & (code == F.col("__code")))
+    rows = rows.groupBy("__id", "__y").agg(F.min(text).alias("text"), F.min(lang).alias("lang")).toPandas().sort_values("__id")
     once = {}
     for text, tongue, y in zip(rows.text, rows.lang, rows["__y"], strict=True):
-        codes = sorted(set(_codes(text)))
-        once.setdefault((int(y), *codes[:2]), (text, tongue, int(y)))
+        once.setdefault((int(y), np.unique(np.array(_codes(text), dtype=np.uint32)).tobytes()), (text, tongue, int(y)))
     kept = list(once.values())
     del rows, once  # the texts are held once
     y = np.array([k[2] for k in kept], dtype=int)
@@ -234,7 +240,11 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, with ``score`` (0 to 1) added; null texts count as empty. One pass, no shuffle."""
+    """``docs``, all columns, with ``score`` (0 to 1) added, in place of a column of that name. One pass, no shuffle.
+
+    Null texts count as empty; texts of any length are scored whole; equal texts have equal scores, so repeated rows tie.
+    An empty table gives an empty result.
+    """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

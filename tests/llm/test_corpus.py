@@ -55,13 +55,20 @@ def test_mixing(spark):
     for s in sizes:
         assert abs(taken[s] - want[s]) <= 0.5
         assert abs(copied[s] - want[s]) <= 400
-    again = mixing.mix_plan(_docs(spark, rows).repartition(3), bucket_rows=32).where("doc_id is not null and doc_id != 5").select("doc_id", "taken")
-    assert sorted(again.collect()) == sorted((r.doc_id, r.taken) for r in got if r.doc_id is not None and r.doc_id != 5)
+    again = mixing.mix_plan(_docs(spark, rows[::-1]).repartition(3), bucket_rows=32).select("doc_id", "taken")
+    in_order = lambda found: sorted((r.doc_id is None, r.doc_id or 0, r.taken) for r in found)
+    assert in_order(again.collect()) == in_order(got)
     mixed = mixing.mix(_docs(spark, rows), bucket_rows=32)
     assert mixed.columns == SCHEMA.replace(" long", "").replace(" string", "").replace(" double", "").split(", ")
     assert mixed.count() == sum(r.copies for r in got)
 
 
+def test_mixing_of_one_id_on_many_rows_agrees_on_reruns(spark):
+    rows = [(1, "w " * k, "a") for k in range(1, 30)] + [(1, f"same size {k}", "a") for k in range(30)] + [(k, "x y z", "b") for k in range(40)]
+    plans = [mixing.mix_plan(_docs(spark, order).repartition(n)).select("doc_id", "text", "taken").collect() for order, n in ((rows, 2), (rows[::-1], 5))]
+    assert sorted(plans[0]) == sorted(plans[1])
+
+
 def test_mixing_of_nothing(spark):
     assert mixing.mix_plan(_docs(spark, [])).count() == 0
     assert [r.taken for r in mixing.mix_plan(_docs(spark, [(1, "", "a"), (2, None, None)])).collect()] == [0, 0]
@@ -228,3 +235,58 @@ def test_toxicity_without_labels(spark):
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"), F.lit(True))
     assert [r.score for r in toxicity.score(docs, model).collect()] == [0.0]
     assert toxicity.reject_toxic(docs, model).count() == 1 and toxicity.reject_toxic(docs.where("false"), model).count() == 0
+
+
+def test_toxicity_scores_match_plain_loops(spark):
+    """Convolution, pooling and the logistic unit of a trained model, written out word by word."""
+    rng = random.Random(8)
+    good, bad = [f"good{i}" for i in range(40)], [f"bad{i}" for i in range(10)]
+    texts = [" ".join(rng.choices(good + (bad if i % 3 == 0 else []), k=rng.randrange(1, 30))) for i in range(90)]
+    model = toxicity.train(texts, np.array([int(i % 3 == 0) for i in range(90)]))
+    frozen, known = model.frozen(), set(model.known.tolist())
+
+    def plain(text):
+        vectors = []
+        for word in re.sub("[!-/:-@\\[-`{-~]", " ", text.lower()).split():
+            code = zlib.crc32(word.encode())
+            first, second = (code & 0xFFFF, code >> 16) if code in known else (toxicity.BUCKETS + 1,) * 2
+            vectors.append(model.emb[0][first] + model.emb[1][second])
+        n = max(1, len(vectors))
+        vectors += [np.zeros(toxicity.DIM)] * (n - len(vectors) + 3)
+        hidden = []
+        for f, bias in zip(model.conv, model.bias, strict=True):
+            for k in range(toxicity.FILTERS):
+                most = max(sum(float(vectors[at + j] @ f[j][:, k]) for j in range(len(f))) for at in range(n))
+                hidden.append(max(0.0, most + bias[k]))
+        return 1 / (1 + math.exp(-sum(h * w for h, w in zip(hidden, model.weight, strict=True)) - model.const))
+
+    tried = [*texts[:20], "", "bad1!", "unknown words only", "Bad2, good3"]
+    assert np.allclose(frozen.scores(tried), [plain(t) for t in tried], atol=1e-4)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*tried, None, tried[0]])], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, frozen).collect()}
+    assert np.allclose([got[i] for i in range(len(tried))], frozen.scores(tried)) and got[len(tried)] == got[20] and got[len(tried) + 1] == got[0]
+
+
+def _ranked(scores, truth):
+    """The share of pairs of a true and a false row that the scores put in order."""
+    pairs = [(a > b) + 0.5 * (a == b) for a, x in zip(scores, truth, strict=True) if x for b, y in zip(scores, truth, strict=True) if not y]
+    return sum(pairs) / len(pairs)
+
+
+def test_shuffled_labels_teach_nothing():
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(words, k=20) + (["vile", "nasty"] if i % 4 == 0 else [])) for i in range(400)]
+    truth = [int(i % 4 == 0) for i in range(400)]
+    for labels, low, high in ((truth, 0.95, 1.0), (rng.sample(truth, 400), 0.3, 0.7)):
+        model = toxicity.train(texts[:300], np.array(labels[:300])).frozen()
+        assert low <= _ranked(model.scores(texts[300:]), labels[300:]) <= high
+
+
+def test_long_and_repeated_labelled_rows_are_learned_from(spark):
+    long_bad, docs = "fine words here " * 4_000 + "vile", []
+    docs += [(i, long_bad + f" {i}" if i % 2 else f"fine words here {i}") for i in range(60)] + [(1, "repeated id")] * 50 + [(None, "x"), (70, None)]
+    table = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(70, 1), (None, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(spark.createDataFrame([(i, t, "en") for i, t in docs], "doc_id long, text string, lang string"), table, F.lit(True))
+    scores = model.scores(["fine words here", "fine words vile", "vile"])
+    assert scores[1] > scores[0] and scores[2] > scores[0]

@@ -43,6 +43,13 @@ def test_exact_groups(spark):
     assert kept.count() == len(groups)
 
 
+def test_a_group_that_holds_a_third_of_all_rows(spark):
+    rows = [(i, "hot  text" if i % 3 == 0 else f"text {i % 400}") for i in range(1200)]
+    got = exact_groups(_docs(spark, rows))
+    assert got.where("keep_id = 0 and group_size = 400").count() == 400 and got.count() == 1200
+    assert got.where("kept").count() == len({t.replace(" ", "") for _, t in rows})
+
+
 def _brute_groups(rows, words=5, percent=80):
     sets, parent = {}, {}
     for i, t in rows:
