@@ -8,8 +8,8 @@ passage that many documents share brings none together.
 
 Lists are worked off in two rounds. First every list's pivot (its smallest hash) is tested against the list's other
 documents, about one test a document; a list that one component now holds is done, however many alike documents it
-has. In the other lists every document is tested against every other one, by pairs of blocks of the list. So no link is
-lost and no pair is ever written down but a link.
+has. In the other lists every document is tested against every other one, in blocks, overlapping lists together where that
+is cheaper. So no link is lost and no pair is ever written down but a link.
 
 Tests run in a prefix tree: sets of a block are stored in one order of their shingles (most frequent first), so that
 documents that begin alike share a path, and a block of probes walks the tree at once, sharing the partial overlaps
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hazardloom.llm.common import cut, discard, in_few_tasks, keep, shuffle_partitions, small_batches
+from hazardloom.llm.common import cut, discard, keep, shuffle_partitions, small_batches
 from hazardloom.llm.components import components
 from hazardloom.llm.shingles import mix, shingle_set
 
@@ -293,11 +293,25 @@ def _pivot_tasks(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_tasks(open_lists: DataFrame) -> DataFrame:
-    """All documents of a list against each other, by pairs of blocks of about ``BLOCK`` documents."""
-    blocks = F.ceil(F.col("docs") / BLOCK)
+    """All documents of a list against each other, by pairs of blocks of about ``BLOCK`` documents.
+
+    Lists overlap, so those that share documents form a family, in which each pair is tested once. A family that would
+    cost more pairs so than its lists do one by one (as a long chain of short lists would) goes list by list.
+    """
+    square = lambda c: F.col(c).cast("double") * F.col(c)
+    low = cut(open_lists.groupBy("shingle").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
+    links = cut(open_lists.join(low, "shingle").select("doc_id", "low"))
+    families = cut(components(links, "doc_id", "low").withColumnRenamed("root", "family"))
+    members = families.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
+    lists = low.join(families, F.col("low") == F.col("node")).select("shingle", "n", "family")
+    cost = lists.groupBy("family").agg(F.sum(square("n")).alias("cost")).join(members, "family")
+    whole = square("members") <= F.col("cost")
+    plan = lists.join(cost, "family").select("shingle", F.when(whole, F.col("family")).otherwise(F.col("shingle")).alias("g"), F.when(whole, F.col("members")).otherwise(F.col("n")).alias("size"))
+    placed = open_lists.join(cut(plan), "shingle").select("g", "size", "doc_id").distinct()
+    blocks = F.ceil(F.col("size") / BLOCK)
     own = F.pmod(F.xxhash64("doc_id"), blocks)
-    dealt = open_lists.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    return dealt.select(F.col("shingle").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), F.col("doc_id").alias("doc"))
+    dealt = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return dealt.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), F.col("doc_id").alias("doc"))
 
 
 def _lists(texts: DataFrame, reps: DataFrame, hot: list[int], words: int, percent: int) -> DataFrame:
@@ -357,7 +371,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     placed = cut(rooted.select("shingle", "doc_id", "docs", F.coalesce("root", "doc_id").alias("root")))
     state = cut(placed.groupBy("shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("shingle"))
     if not state.isEmpty():
-        more = _links(texts, cut(_block_tasks(placed.join(state, "shingle"))), words, percent)
+        more = _links(texts, cut(_block_tasks(cut(placed.join(state, "shingle").select("shingle", "doc_id")))), words, percent)
         if not more.isEmpty():
             roots = cut(components(links.unionByName(more), "a", "b"))
     out = reps.join(roots, F.col("rep") == F.col("node"), "left")
