@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hazardloom.llm.common import cut, discard, keep, shuffle_partitions, small_batches
+from hazardloom.llm.common import cut, discard, in_few_tasks, keep, shuffle_partitions, small_batches
 from hazardloom.llm.components import components
 from hazardloom.llm.shingles import mix, shingle_set
 
@@ -292,22 +292,23 @@ def _pivot_tasks(lists: DataFrame, percent: int) -> DataFrame:
     return others.unionByName(pivots)
 
 
-def _block_tasks(open_lists: DataFrame) -> DataFrame:
-    """All documents of a list against each other, by pairs of blocks of about ``BLOCK`` documents.
+def _block_tasks(open_lists: DataFrame, rows: int) -> DataFrame:
+    """All documents of a list of ``open_lists`` (of ``rows`` rows) against each other, by pairs of blocks of about ``BLOCK`` documents.
 
     Lists overlap, so those that share documents form a family, in which each pair is tested once. A family that would
     cost more pairs so than its lists do one by one (as a long chain of short lists would) goes list by list.
     """
     square = lambda c: F.col(c).cast("double") * F.col(c)
-    low = cut(open_lists.groupBy("shingle").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
-    links = cut(open_lists.join(low, "shingle").select("doc_id", "low"))
+    slim = lambda df: in_few_tasks(df, rows)
+    low = cut(slim(open_lists.groupBy("shingle").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))))
+    links = cut(slim(open_lists.join(low, "shingle").select("doc_id", "low")))
     families = cut(components(links, "doc_id", "low").withColumnRenamed("root", "family"))
     members = families.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
     lists = low.join(families, F.col("low") == F.col("node")).select("shingle", "n", "family")
     cost = lists.groupBy("family").agg(F.sum(square("n")).alias("cost")).join(members, "family")
     whole = square("members") <= F.col("cost")
     plan = lists.join(cost, "family").select("shingle", F.when(whole, F.col("family")).otherwise(F.col("shingle")).alias("g"), F.when(whole, F.col("members")).otherwise(F.col("n")).alias("size"))
-    placed = open_lists.join(cut(plan), "shingle").select("g", "size", "doc_id").distinct()
+    placed = slim(slim(open_lists.join(cut(slim(plan)), "shingle").select("g", "size", "doc_id")).distinct())
     blocks = F.ceil(F.col("size") / BLOCK)
     own = F.pmod(F.xxhash64("doc_id"), blocks)
     dealt = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -356,7 +357,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     profile = cut(texts.mapInPandas(_profiles(words), "doc_id long, n long, sign_a long, sign_b long, hot array<long>, hot_docs array<long>"))
-    least = profile.where("n > 0 and doc_id is not null").groupBy("sign_a", "sign_b", "n").agg(F.min("doc_id").alias("rep"))
+    least = cut(profile.where("n > 0 and doc_id is not null").groupBy("sign_a", "sign_b", "n").agg(F.min("doc_id").alias("rep")))
     reps = cut(profile.drop("hot", "hot_docs").join(least, ["sign_a", "sign_b", "n"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")))
     count = reps.count()
     locally = profile.where("size(hot) > 0").select(F.explode(F.arrays_zip("hot", "hot_docs")).alias("x"))
@@ -368,10 +369,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     roots = cut(components(links, "a", "b"))
     # A list of two has no other pair than the one that was tested.
     rooted = lists.where("docs > 2").join(roots, F.col("doc_id") == F.col("node"), "left")
-    placed = cut(rooted.select("shingle", "doc_id", "docs", F.coalesce("root", "doc_id").alias("root")))
-    state = cut(placed.groupBy("shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("shingle"))
-    if not state.isEmpty():
-        more = _links(texts, cut(_block_tasks(cut(placed.join(state, "shingle").select("shingle", "doc_id")))), words, percent)
+    placed = cut(rooted.select("shingle", "doc_id", F.coalesce("root", "doc_id").alias("root")))
+    state = cut(placed.groupBy("shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("docs")).where("r1 != r2").select("shingle", "docs"))
+    rows = state.agg(F.sum("docs")).first()[0]
+    if rows:
+        open_lists = cut(in_few_tasks(placed.select("shingle", "doc_id").join(state.select("shingle"), "shingle"), rows))
+        more = _links(texts, cut(_block_tasks(open_lists, rows)), words, percent)
         if not more.isEmpty():
             roots = cut(components(links.unionByName(more), "a", "b"))
     out = reps.join(roots, F.col("rep") == F.col("node"), "left")
