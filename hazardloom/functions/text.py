@@ -2,33 +2,73 @@
 
 from __future__ import annotations
 
+import html as html_entities
+import unicodedata
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# The HTML entities that are decoded; names that are written short, and in full.
+# The HTML entities that are decoded without Python; names that are written short, and in full;
+# how advisories lead up to areas, and what their status is then.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 SHORT = [("gen", "general"), ("sto", "santo"), ("sta", "santa"), ("pres", "president"), ("mt", "mount"), ("st", "saint")]
-ACCENTS = ("áàâäãåéèêëíìîïóòôöõúùûüñç", "aaaaaaeeeeiiiiooooouuuunc")
+ACCENTS = ("áàâäãåéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ", "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC")
+LEADS = [("(?:is|are) expected over", "expected"), ("(?:is|are) being experienced (?:in|over)", "occurring"), ("(?:is|are) affecting", "occurring"), ("(?:MORE|LESS) LIKELY to develop over", "watch")]
+_OUTSIDE = r"(?![^()\[\]]*[)\]])"
 
 
-def unescape(c: Column) -> Column:
-    return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), ENTITIES, c)
+@F.pandas_udf(StringType())
+def _all_entities(texts: pd.Series) -> pd.Series:
+    return texts.map(html_entities.unescape, na_action="ignore")
 
 
-def cell_text(html: Column) -> Column:
-    """Tags as spaces, entities decoded, white space as single spaces, none at the ends."""
-    return F.trim(F.regexp_replace(unescape(F.regexp_replace(html, "<[^>]*>", " ")), r"[\s\x{A0}]+", " "))
+@F.pandas_udf(StringType())
+def _ascii(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode(), na_action="ignore")
+
+
+def unescape(c: Column, usual_only: bool = False) -> Column:
+    """Every HTML entity decoded. Python sees only texts with others than the usual ones, and none at all with ``usual_only``."""
+    usual = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), ENTITIES, c)
+    if usual_only:
+        return usual
+    others = c.rlike("&(?!(?:nbsp|lt|gt|quot|#39|amp);)#?[0-9A-Za-z]")
+    return F.when(others, _all_entities(F.when(others, c))).otherwise(usual)
+
+
+def _flat(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, r"[\s\x{A0}]+", " "))
+
+
+def cell_text(html: Column, usual_only: bool = False) -> Column:
+    """Tags as spaces, entities decoded, white space as single spaces, none at the ends.
+
+    With ``usual_only`` (for lambda functions, where Python cannot go) only ``ENTITIES`` are decoded.
+    """
+    return _flat(unescape(F.regexp_replace(html, "<[^>]*>", " "), usual_only))
+
+
+def cell_texts(cells: Column) -> Column:
+    """``cell_text`` of each element of an array; the cells are decoded in one piece, between record separators."""
+    joined = unescape(F.array_join(F.transform(cells, lambda x: F.regexp_replace(x, "<[^>]*>|\x1e", " ")), "\x1e"))
+    return F.when(F.size(cells) > 0, F.transform(F.split(joined, "\x1e"), _flat)).otherwise(F.array().cast("array<string>"))
 
 
 def block_text(html: Column) -> Column:
-    """``<br>`` and paragraph ends as line feeds, other tags as spaces, at most one blank line in a row."""
-    lines = F.split(unescape(F.regexp_replace(F.regexp_replace(html, "(?i)<br ?/?>|</p>", "\n"), "<[^>]*>", " ")), "\n")
-    flat = F.array_join(F.transform(lines, lambda x: F.trim(F.regexp_replace(x, r"[ \t\r\x{A0}]+", " "))), "\n")
+    """``<br>`` as line feeds, other tags as spaces, at most one blank line in a row."""
+    lines = F.split(unescape(F.regexp_replace(F.regexp_replace(html, r"(?i)<br\s*/?>", "\n"), "<[^>]*>", " ")), "\n")
+    flat = F.array_join(F.transform(lines, lambda x: F.trim(F.regexp_replace(x, r"[ \t\r\f\x0B\x{A0}]+", " "))), "\n")
     return F.regexp_replace(F.regexp_replace(flat, "\n{3,}", "\n\n"), r"^\n+|\n+$", "")
 
 
+def clean_link(link: Column) -> Column:
+    """A link's path with slashes, without what leads up from the page's folder."""
+    return F.regexp_replace(F.replace(link, F.lit("\\"), F.lit("/")), r"^[./\\]+", "")
+
+
 def without_hidden(html: Column) -> Column:
     """Comments, scripts and styles taken out."""
     return reduce(lambda c, p: F.regexp_replace(c, p, ""), (r"(?s)<!--.*?-->", r"(?s)<script[^>]*>.*?</script>", r"(?s)<style[^>]*>.*?</style>"), html)
@@ -41,11 +81,13 @@ def distinct_runs(lines: Column) -> Column:
 
 def name_key(name: Column) -> Column:
     """A place name as its key: plain lower-case letters and digits, without notes, ``city`` and short forms."""
-    split = F.lower(F.regexp_replace(name, "([a-z])([A-Z])", "$1 $2"))
-    plain = F.translate(split, *ACCENTS)
-    bare = F.regexp_replace(F.regexp_replace(plain, r"\([^)]*\)", " "), "city of|municipality of", " ")
-    bare = F.regexp_replace(F.trim(F.regexp_replace(bare, "[^a-z0-9]+", " ")), " city$", "")
-    words = F.split(bare, " ")
+    folded = F.translate(name, *ACCENTS)
+    strange = folded.rlike(r"[^\x00-\x7F]")
+    plain = F.when(strange, _ascii(F.when(strange, folded))).otherwise(folded)
+    bare = F.lower(F.regexp_replace(plain, "([a-z])([A-Z])", "$1 $2"))
+    for pattern in (r"\([^)]*\)", r"^city of\s+", r"^municipality of\s+", r"\s+city$"):
+        bare = F.trim(F.regexp_replace(bare, pattern, " "))
+    words = F.split(F.trim(F.regexp_replace(bare, "[^a-z0-9]+", " ")), " ")
     full = F.create_map(*[F.lit(x) for pair in SHORT for x in pair])
     return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(full, w), w)), "")
 
@@ -56,9 +98,9 @@ def number(text: Column) -> Column:
 
 
 def top_split(text: Column) -> Column:
-    """Parts between commas, semicolons and ``and`` that stand outside parentheses (which do not nest)."""
-    parts = F.split(text, r"(?:[,;]|\band\b)(?![^()]*\))")
-    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
+    """Parts between commas, semicolons and ``and`` outside brackets (which do not nest); ``and`` counts only before ``the`` or a capital."""
+    parts = F.split(text, rf"[,;]{_OUTSIDE}|\s+and\s+(?=the\s|[A-Z]){_OUTSIDE}")
+    return F.filter(F.transform(parts, lambda x: F.regexp_replace(x, r"^[ .\n\t]+|[ .\n\t]+$", "")), lambda x: x != "")
 
 
 def inner_parts(area: Column) -> Column:
@@ -67,9 +109,39 @@ def inner_parts(area: Column) -> Column:
 
 
 def area_sentences(text: Column) -> Column:
-    """The areas named after an expecting phrase and before the sentence's time or end."""
-    lead = r"(?:expected over|affecting|experienced over|prevailing over)\s+(.+?)(?=\s+within|\s+which may|\s+and may|\s+for the next|\s*\.|$)"
-    return F.regexp_extract_all(F.regexp_replace(text, r"\s+", " "), F.lit(lead), F.lit(1))
+    """``status, likelihood, areas`` of each phrase that leads up to areas, paragraph by paragraph.
+
+    The areas end before a time (``within``, ``for the next``), ``which may`` or ``and may``, or with the paragraph, but
+    not at a full stop, which names hold. The likelihood (MORE or LESS) is that of a watch, else empty.
+    """
+    end = r"(?=\s+(?:within|which\s+may|and\s+may|for\s+the\s+next)\b|\.?\s*$)"
+    paragraphs = F.filter(F.transform(F.split(text, "\n"), lambda p: F.trim(F.regexp_replace(p, r"\s+", " "))), lambda p: p != "")
+
+    def found(p: Column, lead: str, status: str) -> Column:
+        whole = F.regexp_extract_all(p, F.lit(rf"(?i)({lead}\s+.+?){end}"), F.lit(1))
+        likelihood = lambda x: F.upper(F.regexp_extract(x, "(?i)^(MORE|LESS)", 1))
+        return F.transform(whole, lambda x: F.struct(F.lit(status).alias("status"), likelihood(x).alias("likelihood"), F.regexp_replace(x, rf"(?i)^{lead}\s+", "").alias("areas")))
+
+    return F.flatten(F.transform(paragraphs, lambda p: F.concat(*[found(p, lead.replace(" ", r"\s+"), status) for lead, status in LEADS])))
+
+
+def area_entries(areas: Column) -> Column:
+    """``name, whole, towns, unmatched`` of each area between commas and ``and`` outside parentheses.
+
+    An area without parentheses is whole. A piece that is no area keeps its text as ``unmatched``.
+    """
+    shape = r"(?i)^#?\s*(?:the\s+)?(?:portions?\s+of\s+|rest\s+of\s+)?([^()]+?)\s*(?:\((.*)\))?$"
+    pieces = F.filter(F.transform(F.split(areas, r"(?:,|\band\b)(?![^()]*\))"), lambda x: F.trim(x)), lambda x: x != "")
+
+    def entry(x: Column) -> Column:
+        inside = F.transform(F.split(F.regexp_extract(x, shape, 2), r",|\band\b"), lambda t: F.trim(t))
+        known = x.rlike(shape)
+        return F.struct(
+            F.when(known, F.regexp_extract(x, shape, 1)).alias("name"), (known & ~x.contains("(")).alias("whole"),
+            F.filter(inside, lambda t: t != "").alias("towns"), F.when(~known, x).alias("unmatched"),
+        )
+
+    return F.transform(pieces, entry)
 
 
 def rule_class(text: Column, rules: list[tuple[str, str]], otherwise: str) -> Column:

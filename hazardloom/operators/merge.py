@@ -9,11 +9,15 @@ from hazardloom.functions.folds import fold_sorted
 from hazardloom.functions.text import row_hash
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``old`` with the rows of ``new`` in place of those of equal keys, blanks included, and ``change``: same, update or insert."""
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
+    """``old`` with the rows of ``new`` in place of those of equal keys, blanks included, and ``change``: same, update or insert.
+
+    Of rows of ``new`` with equal keys the last in ``order`` counts (without it, in the order that they are read in).
+    """
     values = [c for c in old.columns if c not in keys]
     left = old.select(*keys, F.struct(*values).alias("__o"))
-    right = new.select(*keys, F.struct(*values).alias("__n"))
+    ranked = new.withColumn("__at", F.monotonically_increasing_id() if order is None else order)
+    right = ranked.groupBy(*keys).agg(F.max_by(F.struct(*values), "__at").alias("__n"))
     both = left.join(right, keys, "full_outer")
     change = F.when(F.col("__n").isNull() | F.col("__n").eqNullSafe(F.col("__o")), "same").when(F.col("__o").isNull(), "insert").otherwise("update")
     taken = F.coalesce("__n", "__o")

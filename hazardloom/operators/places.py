@@ -70,11 +70,18 @@ def _alike(mentions: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 
 def quake_location(location: Column) -> dict[str, Column]:
-    """Distance, bearing, town and groups in parentheses of ``010 km N 33° E of Town (Alias) (Province)``; the last group is the province's."""
-    pattern = r"^\s*(\d+)\s*(?:km|m)\s+([NSEW][^o]*?)\s*of\s+([^(]+?)\s*(?:\(|$)"
-    part = lambda i: F.nullif(F.regexp_extract(location, pattern, i), F.lit(""))
-    groups = F.regexp_extract_all(location, F.lit(r"\(([^)]*)\)"), F.lit(1))
-    return {"km": part(1).try_cast("int"), "bearing": part(2), "town": part(3), "groups": groups, "province": F.get(F.reverse(groups), 0)}
+    """Distance, bearing, town and groups in parentheses of ``010 km N 33° E of Town (Alias) (Province)``.
+
+    The bearing is free text, the distance may hold spaces, and text that does not begin so is a town as a whole. The
+    last group is the province's, earlier ones are other names of the town.
+    """
+    shape = r"(?is)^\s*(\d[\d ]*?)\s*k?m\s+(.*?)\s+of\s+(.*\S)"
+    rest = F.coalesce(F.nullif(F.regexp_extract(location, shape, 3), F.lit("")), location)
+    groups = F.regexp_extract_all(rest, F.lit(r"\(([^()]*)\)"), F.lit(1))
+    town = F.regexp_replace(F.regexp_replace(rest, r"\([^()]*\)", ""), r"^[ ,]+|[ ,]+$", "")
+    km = F.replace(F.regexp_extract(location, shape, 1), F.lit(" "), F.lit("")).try_cast("int")
+    bearing = F.nullif(F.trim(F.regexp_replace(F.regexp_extract(location, shape, 2), r"\s+", " ")), F.lit(""))
+    return {"km": km, "bearing": bearing, "town": F.nullif(town, F.lit("")), "groups": groups, "province": F.get(F.reverse(groups), 0)}
 
 
 def expand_areas(areas: DataFrame, gazetteer: DataFrame) -> DataFrame:

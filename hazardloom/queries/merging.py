@@ -29,6 +29,16 @@ def upsert(spark, d):
     return M.upsert(*_old_and_new(spark, d), ["event_id"])
 
 
+@query("""with n as (select o_custkey as k, arg_max(o_totalprice, o_orderkey) as v from orders where o_custkey % 3 != 0 group by 1)
+select coalesce(k, c_custkey) as c_custkey, coalesce(v, c_acctbal) as value, case when k is null or v = c_acctbal then 'same' when c_custkey is null then 'insert' else 'update' end as change
+from (select c_custkey, c_acctbal from customer where c_custkey % 5 != 0) full outer join n on c_custkey = k""")
+def upsert_repeated_keys(spark, d):
+    """A batch that repeats keys: the last row by sequence wins."""
+    old = table(spark, d, "customer").where("c_custkey % 5 != 0").select("c_custkey", F.col("c_acctbal").alias("value"))
+    new = table(spark, d, "orders").where("o_custkey % 3 != 0").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("value"), "o_orderkey")
+    return M.upsert(old, new, ["c_custkey"], F.col("o_orderkey"))
+
+
 @query(f"with {_SPLIT} select event_id, event_type from n where event_id not in (select event_id from o)")
 def append_new(spark, d):
     return M.append_new(*_old_and_new(spark, d), "event_id").select("event_id", "event_type")

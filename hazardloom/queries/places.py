@@ -79,11 +79,15 @@ def numbered_names(spark, d):
     return P.numbered_names(p, ["p_brand"], "p_name", "p_type", "p_partkey").drop("p_type")
 
 
-@query("""select event_id, (event_id % 90)::int as km, 'N 33 E' as bearing, 'Town ' || user_id as town, case when event_id % 2 = 0 then 2 else 1 end::int as n_groups, 'P' || (user_id % 7) as province from events""")
+@query("""select event_id, case event_id % 5 when 4 then null when 3 then 149 else event_id % 90 end::int as km, case event_id % 5 when 4 then null when 3 then 'about 33° east' else 'N 33 E' end as bearing,
+  case event_id % 5 when 4 then 'Open sea' else 'Town ' || user_id end as town, case when event_id % 5 = 4 then 0 when event_id % 2 = 0 then 2 else 1 end::int as n_groups, case when event_id % 5 != 4 then 'P' || (user_id % 7) end as province from events""")
 def quake_locations(spark, d):
+    """Locations with distances of spaced digits, bearings in free text, other names, and one that says no distance."""
     k, u = F.col("event_id"), F.col("user_id")
     s = lambda c: c.cast("string")
-    text = F.concat(F.lpad(s(k % 90), 3, "0"), F.lit(" km N 33 E of Town "), s(u), F.when(k % 2 == 0, " (Old Name)").otherwise(""), F.lit(" (P"), s(u % 7), F.lit(")"))
+    place = F.concat(F.lit(" of Town "), s(u), F.when(k % 2 == 0, " (Old Name)").otherwise(""), F.lit(" (P"), s(u % 7), F.lit(")"))
+    usual = F.concat(F.lpad(s(k % 90), 3, "0"), F.lit(" km N 33 E"), place)
+    text = F.when(k % 5 == 4, "Open sea").when(k % 5 == 3, F.concat(F.lit("1 49 km about  33° east"), place)).otherwise(usual)
     part = P.quake_location(text)
     return table(spark, d, "events").select("event_id", part["km"].alias("km"), part["bearing"].alias("bearing"), part["town"].alias("town"), F.size(part["groups"]).alias("n_groups"), part["province"].alias("province"))
 

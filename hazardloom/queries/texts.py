@@ -8,7 +8,8 @@ from hazardloom.queries import query
 from hazardloom.sources.tables import table
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
-_UNESCAPE = "replace(replace(replace(replace(replace(replace({}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+# The entities that the pages hold.
+_UNESCAPE = "replace(replace(replace(replace(replace(replace(replace(replace({}, '&middot;', '·'), '&copy;', '©'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
 
 
 @query(f"""select page_id, trim(regexp_replace({_UNESCAPE.format("regexp_replace(html, '<[^>]*>', ' ', 'g')")}, '[ \\t\\n\\v\\f\\r\\x{{A0}}]+', ' ', 'g')) as text from pages""")
@@ -16,7 +17,7 @@ def html_cell_text(spark, d):
     return table(spark, d, "pages").select("page_id", T.cell_text(F.col("html")).alias("text"))
 
 
-@query(f"""with a as (select page_id, {_UNESCAPE.format("regexp_replace(regexp_replace(html, '(?i)<br ?/?>|</p>', chr(10), 'g'), '<[^>]*>', ' ', 'g')")} as t from pages),
+@query(f"""with a as (select page_id, {_UNESCAPE.format("regexp_replace(regexp_replace(html, '(?i)<br\\s*/?>', chr(10), 'g'), '<[^>]*>', ' ', 'g')")} as t from pages),
 b as (select page_id, array_to_string(list_transform(string_split(t, chr(10)), lambda x: trim(regexp_replace(x, '[ \\t\\r\\x{{A0}}]+', ' ', 'g'))), chr(10)) as t from a)
 select page_id, regexp_replace(regexp_replace(t, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\n+|\\n+$', '', 'g') as text from b""")
 def html_block_text(spark, d):
@@ -29,12 +30,12 @@ def html_without_hidden(spark, d):
 
 
 @query("""with l as (select page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)) as link, generate_subscripts(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1), 1) as pos from pages)
-select page_id, (pos - 1)::int as pos, regexp_replace(replace(link, '\\', '/'), '^(\\./)+', '') as link from l""")
+select page_id, (pos - 1)::int as pos, regexp_replace(replace(link, '\\', '/'), '^[./]+', '') as link from l""")
 def html_links(spark, d):
     """List links in order, their paths cleaned."""
     links = F.regexp_extract_all("html", F.lit(r'<li><a href="([^"]*)">([^<]*)</a></li>'), F.lit(1))
     rows = table(spark, d, "pages").select("page_id", F.posexplode(links).alias("pos", "link"))
-    return rows.select("page_id", "pos", F.regexp_replace(F.replace("link", F.lit("\\"), F.lit("/")), r"^(\./)+", "").alias("link"))
+    return rows.select("page_id", "pos", T.clean_link(F.col("link")).alias("link"))
 
 
 @query("""with r as (select page_id, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) as c from pages)
@@ -63,15 +64,16 @@ def clean_runs(spark, d):
     return table(spark, d, "documents").select("doc_id", F.size(a).cast("long").alias("n_lines"), F.size(kept).cast("long").alias("n_kept"), F.md5(F.array_join(kept, "\n")).alias("h"))
 
 
-@query("""with recursive names as (select p_partkey, case p_partkey % 4 when 0 then 'City of ' || p_name when 1 then 'Sto. ' || p_name || ' City' when 2 then 'Mt' || upper(substr(p_name, 1, 1)) || substr(p_name, 2) || ' (cap.)' else 'Ñuñez ' || p_name end as name from part),
-a as (select p_partkey, name, regexp_replace(name, '([a-z])([A-Z])', '\\1 \\2', 'g') as s from names),
-b as (select p_partkey, name, translate(lower(s), 'áàâäãåéèêëíìîïóòôöõúùûüñç', 'aaaaaaeeeeiiiiooooouuuunc') as s from a),
-c as (select p_partkey, name, regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(s, '\\([^)]*\\)', ' ', 'g'), 'city of|municipality of', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')), ' city$', '') as s from b)
+@query("""with names as (select p_partkey, case p_partkey % 6 when 0 then 'City of ' || p_name when 1 then 'Sto. ' || p_name || ' City' when 2 then 'Mt' || upper(substr(p_name, 1, 1)) || substr(p_name, 2) || ' (cap.)' when 3 then 'Ñuñez ' || p_name when 4 then p_name || ' City of Ő' else p_name || '-City' end as name from part),
+a as (select p_partkey, name, lower(regexp_replace(translate(name, 'ñÑŐ', 'nNO'), '([a-z])([A-Z])', '\\1 \\2', 'g')) as s from names),
+b as (select p_partkey, name, trim(regexp_replace(trim(regexp_replace(trim(regexp_replace(s, '\\([^)]*\\)', ' ', 'g')), '^city of\\s+', '')), '\\s+city$', '')) as s from a),
+c as (select p_partkey, name, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) as s from b)
 select p_partkey, name, array_to_string(list_transform(string_split(s, ' '), lambda w: case w when 'gen' then 'general' when 'sto' then 'santo' when 'sta' then 'santa' when 'pres' then 'president' when 'mt' then 'mount' when 'st' then 'saint' else w end), '') as key from c""")
 def name_keys(spark, d):
     p, n = table(spark, d, "part"), F.col("p_name")
     big = F.concat(F.upper(F.substring(n, 1, 1)), F.expr("substring(p_name, 2)"))
-    name = F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("City of "), n)).when(F.col("p_partkey") % 4 == 1, F.concat(F.lit("Sto. "), n, F.lit(" City"))).when(F.col("p_partkey") % 4 == 2, F.concat(F.lit("Mt"), big, F.lit(" (cap.)"))).otherwise(F.concat(F.lit("Ñuñez "), n))
+    k = F.col("p_partkey") % 6
+    name = F.when(k == 0, F.concat(F.lit("City of "), n)).when(k == 1, F.concat(F.lit("Sto. "), n, F.lit(" City"))).when(k == 2, F.concat(F.lit("Mt"), big, F.lit(" (cap.)"))).when(k == 3, F.concat(F.lit("Ñuñez "), n)).when(k == 4, F.concat(n, F.lit(" City of Ő"))).otherwise(F.concat(n, F.lit("-City")))
     return p.select("p_partkey", name.alias("name")).withColumn("key", T.name_key(F.col("name")))
 
 
@@ -132,20 +134,41 @@ def json_fields(spark, d):
 
 
 @query("""with s as (select r_regionkey, n_nationkey, r_name, n_name from region join nation on n_regionkey = r_regionkey)
-select n_nationkey, unnest([r_name || ' (' || n_name || ', X and Y)', n_name, 'east of ' || n_name]) as part, unnest([3, 0, 0]) as towns from s""")
+select n_nationkey, unnest([r_name || ' (' || n_name || ', X and Y)', n_name, 'The northern and central portions of ' || n_name, 'the rest of ' || r_name]) as part, unnest([3, 0, 0, 0]) as towns from s""")
 def top_split(spark, d):
-    """A sentence of areas, split outside parentheses, with the number of towns inside."""
+    """A sentence of areas, split outside parentheses, with the number of towns inside; ``and`` between directions splits nothing."""
     s = table(spark, d, "region").join(table(spark, d, "nation"), F.col("n_regionkey") == F.col("r_regionkey"))
-    text = F.concat("r_name", F.lit(" ("), "n_name", F.lit(", X and Y), "), "n_name", F.lit(" and east of "), "n_name")
+    text = F.concat("r_name", F.lit(" ("), "n_name", F.lit(", X and Y), "), "n_name", F.lit(" and The northern and central portions of "), "n_name", F.lit(" and the rest of "), "r_name", F.lit("."))
     parts = s.select("n_nationkey", F.explode(T.top_split(text)).alias("part"))
     return parts.select("n_nationkey", "part", F.size(T.inner_parts(F.col("part"))).alias("towns"))
 
 
-@query("""select n_nationkey, unnest([n_name || ' (A, B)', 'R' || n_regionkey]) as area, unnest([0, 1])::int as pos from nation""")
+def _advisories(spark, d):
+    """Sentences with a full stop inside a name, each lead, and one that leads up to nothing."""
+    name = F.col("n_name")
+    text = F.concat(F.lit("Moderate rain is expected over "), name, F.lit(" (Gen. Mariano Alvarez, Silang) and R"), F.col("n_regionkey").cast("string"), F.lit(" within 2 hours which may persist.\n\nFlooding is being experienced in X"), F.col("n_nationkey").cast("string"), F.lit(".\nThunderstorms are MORE LIKELY to develop over the rest of "), name, F.lit(" for the next day.\nRain prevailing over Nowhere."))
+    return table(spark, d, "nation").select("n_nationkey", F.posexplode(T.area_sentences(text)).alias("pos", "s"))
+
+
+@query("""select n_nationkey, unnest([0, 1, 2])::int as pos, unnest(['expected', 'occurring', 'watch']) as status, unnest(['', '', 'MORE']) as likelihood,
+  unnest([n_name || ' (Gen. Mariano Alvarez, Silang) and R' || n_regionkey, 'X' || n_nationkey, 'the rest of ' || n_name]) as areas from nation""")
 def area_sentences(spark, d):
-    """Areas named between an expecting phrase and the sentence's time."""
-    text = F.concat(F.lit("Heavy rain is expected over\n"), "n_name", F.lit(" (A, B) within 2 hours. Rain affecting R"), F.col("n_regionkey").cast("string"), F.lit(" which may persist."))
-    return table(spark, d, "nation").select("n_nationkey", F.posexplode(T.area_sentences(text)).alias("pos", "area"))
+    """Areas named between an expecting phrase and the sentence's time, with their status."""
+    return _advisories(spark, d).select("n_nationkey", "pos", "s.status", "s.likelihood", "s.areas")
+
+
+@query("""select n_nationkey, unnest([0, 0, 1, 2])::int as pos, unnest([n_name, 'R' || n_regionkey, 'X' || n_nationkey, n_name]) as name, unnest([false, true, true, true]) as whole, unnest(['Gen. Mariano Alvarez|Silang', '', '', '']) as towns from nation""")
+def area_entries(spark, d):
+    """Each area of those sentences, with the towns in its parentheses."""
+    entries = _advisories(spark, d).select("n_nationkey", "pos", F.explode(T.area_entries(F.col("s.areas"))).alias("e"))
+    return entries.select("n_nationkey", "pos", "e.name", "e.whole", F.array_join("e.towns", "|").alias("towns"))
+
+
+@query("""select p_partkey, 'Las Piñas – 33° ' || p_name || ' <é & &deg;' as text from part""")
+def entity_text(spark, d):
+    """Named and numeric entities decoded once: what an entity spells is text."""
+    html = F.concat(F.lit("<b>Las Pi&ntilde;as</b>&nbsp;&#8211; 33&deg;\n"), "p_name", F.lit(" &lt;&#xE9; &amp; &amp;deg;"))
+    return table(spark, d, "part").select("p_partkey", T.cell_text(html).alias("text"))
 
 
 @query("""select doc_id, case when regexp_matches(text, '(?i)licen[sc]e|copyright') then 'licence' when regexp_matches(text, '[^ ]+@[^ ]+') then 'mail' when regexp_matches(text, '[0-9]{3}') then 'number' else 'plain' end as kind,
@@ -163,10 +186,11 @@ def susceptibility_label(spark, d):
     return table(spark, d, "part").select("p_partkey", T.susceptibility((k % 23).cast("double"), (k % 17).cast("double"), (k % 3) / F.lit(30.0)).alias("label"))
 
 
-@query("""select doc_id, replace(substr(text, 1, 80), 'ation', 'ation') as head, length(replace(text, 'thousing1', '***')) as n from documents""")
+@query("""select doc_id, md5(replace(replace(text, 'thousing1', '***'), 'tion anon', '***')) as h, length(replace(replace(text, 'thousing1', '***'), 'tion anon', '***')) as n from documents""")
 def scrub_secrets(spark, d):
     """Secrets struck out; ``ation`` is too short to be one."""
-    return table(spark, d, "documents").select("doc_id", F.substring(T.scrub(F.col("text"), ["ation"]), 1, 80).alias("head"), F.length(T.scrub(F.col("text"), ["thousing1"])).alias("n"))
+    clean = T.scrub(F.col("text"), ["thousing1", "ation", "tion anon"])
+    return table(spark, d, "documents").select("doc_id", F.md5(clean).alias("h"), F.length(clean).alias("n"))
 
 
 @query("""select o_orderkey, try_cast(substr(o_orderpriority, 1, 1) as int) as urgency, case when regexp_matches(o_orderstatus, '^-?[0-9]+(\\.[0-9]+)?$') then 1.0::double end as number from orders where try_cast(substr(o_orderpriority, 1, 1) as int) <= 2""")

@@ -14,22 +14,24 @@ STATE_SCHEMA = "last_fetch string, last_ok string, last_note string, last_status
 
 
 def csv_rows(spark: SparkSession, path: str, fields: tuple[str, ...]) -> DataFrame:
-    """Rows of CSV files with a header, as text, with the file as ``file``; columns that a file lacks are null, others are left out."""
+    """Rows of CSV files with a header, as text, with their place as ``file`` and ``line``; columns that a file lacks are null, others are left out."""
     raw = spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path)
     have = [F.col(f) if f in raw.columns else F.lit(None).cast("string").alias(f) for f in fields]
-    return raw.select(*have, F.col("_metadata.file_path").alias("file"))
+    # Rows of a part of a file are numbered in their order, and parts begin further and further behind.
+    line = F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))
+    return raw.select(*have, F.col("_metadata.file_path").alias("file"), line.alias("line"))
 
 
 def typed(rows: DataFrame, numbers: tuple[str, ...]) -> DataFrame:
     """Blank text as null, and the given columns as numbers where they are numbers."""
-    blank = {c: F.nullif(F.col(c), F.lit("")) for c in rows.columns if c != "file"}
+    blank = {c: F.nullif(F.col(c), F.lit("")) for c in rows.columns if c not in ("file", "line")}
     return rows.withColumns(blank).withColumns({c: F.col(c).try_cast("double") for c in numbers})
 
 
 def last_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Of rows with equal keys that of the last file in name order."""
-    cols = [c for c in rows.columns if c not in (*keys, "file")]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), "file").alias("r")).select(*keys, "r.*")
+    """Of rows with equal keys that of the last file in name order, and of the last line in it."""
+    cols = [c for c in rows.columns if c not in (*keys, "file", "line")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct("file", "line")).alias("r")).select(*keys, "r.*")
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:

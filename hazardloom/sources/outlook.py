@@ -28,7 +28,7 @@ def _found(c: Column, pattern: str) -> Column:
 
 
 def _labelled(item: Column, label: str) -> Column:
-    return cell_text(_found(item, rf"(?is)<div>\s*<span>[^<]*{label}[^<]*</span>\s*<span>(.*?)</span>\s*</div>"))
+    return cell_text(_found(item, rf"(?is)<div>\s*<span>[^<]*{label}[^<]*</span>\s*<span>(.*?)</span>\s*</div>"), usual_only=True)
 
 
 def region_days(pages: DataFrame, html: str) -> DataFrame:
@@ -42,16 +42,16 @@ def region_days(pages: DataFrame, html: str) -> DataFrame:
     block = F.when(F.regexp_like(tail, F.lit(END)), F.regexp_replace(tail, END, "")).otherwise(F.substring(tail, 1, LONGEST))
     said = F.regexp_replace(_found(cell_text(F.substring(block, 1, ISSUED_WITHIN)), ISSUED), r"\s*:\s*", ":")
     ordered = F.regexp_replace(said, r"([A-Za-z]{3,})\.? (\d{1,2}),? (\d{4})$", "$2 $1 $3")
-    items = F.slice(F.split(block, ITEM), 2, 1_000)
+    items = F.filter(F.split(block, ITEM), lambda _, i: i > 0)
     rows = pages.select(*kept, loose_date(ordered).alias("issued_at"), items.alias("items")).where("issued_at is not null and size(items) > 0")
-    name = lambda x: cell_text(_found(x, DAY_NAME))
+    name = lambda x: cell_text(_found(x, DAY_NAME), usual_only=True)
     days = rows.where(F.forall("items", lambda x: name(x) != "")).select(*kept, "issued_at", F.posexplode("items").alias("day_index", "item"))
     item = F.col("item")
     return days.select(
         *kept, "issued_at", "day_index", name(item).alias("name"),
         _found(item, LOW).try_cast("int").alias("tmin"), _found(item, HIGH).try_cast("int").alias("tmax"),
         _labelled(item, r"(?i:wind\s*speed)").alias("wind"), _labelled(item, "(?i:direction)").alias("direction"), _labelled(item, "(?i:coastal)").alias("coastal"),
-        cell_text(_found(item, SKY)).alias("sky"),
+        cell_text(_found(item, SKY), usual_only=True).alias("sky"),
     )
 
 
@@ -62,7 +62,7 @@ def province_days(pages: DataFrame, html: str, days: DataFrame, key: str) -> Dat
     """
     data = F.from_json(embedded_json(F.col(html), "regional"), _PROVINCES)
     each = pages.select(key, F.explode(data["provincial"]["data"]).alias("code", "p"))
-    rows = each.select(key, F.coalesce("p.psgc_code", "code").alias("province"), F.col("p.name").alias("province_name"), F.posexplode(F.slice("p.outlook", 2, 1_000)).alias("day_index", "d"))
+    rows = each.select(key, F.coalesce("p.psgc_code", "code").alias("province"), F.col("p.name").alias("province_name"), F.posexplode(F.filter("p.outlook", lambda _, i: i > 0)).alias("day_index", "d"))
     named = days.select(key, "day_index", F.col("name").alias("day"))
     out = rows.join(named, [key, "day_index"], "left")
     return out.select(key, "province", "province_name", "day_index", F.coalesce("day", F.lit("")).alias("day"), F.col("d.day_low").alias("tmin"), F.col("d.day_high").alias("tmax"), F.col("d.day_wind_speed").alias("wind"), F.col("d.day_wind_direction").alias("direction"), F.col("d.day_coastal_condition").alias("coastal"))

@@ -17,7 +17,7 @@ def one(spark, column):
 
 def test_csv_last_file_wins(spark, tmp_path):
     (tmp_path / "a.csv").write_text("event_id,mag,extra\n1,3.5,x\n2,,y\n")
-    (tmp_path / "b.csv").write_text("event_id,mag,extra\n1,4.0,z\n3,bad,z\n")
+    (tmp_path / "b.csv").write_text("event_id,mag,extra\n1,3.9,z\n1,4.0,z\n3,bad,z\n")
     rows = files.typed(files.csv_rows(spark, str(tmp_path), ("event_id", "mag", "depth_km")), ("mag",))
     got = {r.event_id: (r.mag, r.depth_km) for r in files.last_per_key(rows, ["event_id"]).collect()}
     assert got == {"1": (4.0, None), "2": (None, None), "3": (None, None)}
@@ -46,7 +46,10 @@ def test_quake_page(spark):
     row = '<tr><td><a href=".\\2026\\q.html">{at}</a></td><td>9.5</td><td>126.1</td><td>010</td><td>{mag}</td><td>012 km N 33&deg; E of&nbsp;Town (Province)</td></tr>'
     page = "<table>" + row.format(at="21 September 2026 - 08:58 AM", mag="4.1") + row.format(at="no time", mag="1") + "<tr><td>x</td></tr>" + row.format(at="21 September 2026 - 08:58 AM", mag="4.2").replace(".html", "_2.html") + "</table>"
     got = pages.quake_rows(spark.createDataFrame([(page,)], "html string"), "html").collect()
-    assert [(r.event_id, r.mag, r.bulletin, r.depth_km) for r in got] == [("202609210858_9.5_126.1", 4.2, "2026/q_2.html", 10.0)]
+    assert [(r.event_id, r.mag, r.bulletin, r.depth_km) for r in got] == [("20260921T0858_9.5_126.1", 4.2, "2026/q_2.html", 10.0)]
+    assert got[0].location == "012 km N 33° E of Town (Province)"
+    unplaced = spark.createDataFrame([(1, page.replace("<td>9.5</td>", "<td>-</td>")), (0, page.replace("4.2", "9.9").replace("<td>9.5</td>", "<td></td>"))], "at int, html string")
+    assert [(r.event_id, r.mag) for r in pages.quake_rows(unplaced, "html", "at").collect()] == [("20260921T0858__126.1", 4.2)]
 
 
 def test_cells_by_id_and_days(spark):
