@@ -29,6 +29,8 @@ from hazardloom.llm.common import cut
 
 #: Payloads from so many bytes on are revisits of an equal one; bytes of an archive, and of one read, about.
 REVISIT_BYTES, ARCHIVE_BYTES, READ_BYTES = 1_000, 32 << 20, 4 << 20
+#: Parts in which the rows of one payload look up its largest id.
+SALTS = 32
 LEVEL, DATE = 4, "2024-01-01T00:00:00Z"
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdx"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -177,13 +179,20 @@ def records(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple]:
 
 
 def revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``page_id, url, payload, digest, refers_to, revisit``: of equal payloads of at least ``REVISIT_BYTES`` bytes, all but that of the largest id revisit it."""
+    """``page_id, url, payload, digest, refers_to, revisit``: of equal payloads of at least ``REVISIT_BYTES`` bytes, all but that of the largest id revisit it.
+
+    The rows of a payload meet its largest id in ``SALTS`` parts, so that a page that very many urls answer with is in
+    many tasks. Smaller payloads, empty ones among them, meet nothing and are spread by row.
+    """
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     named = named.withColumns({"digest": F.sha1("payload"), "digest2": F.sha2("payload", 256), "bytes": F.octet_length("payload")})
     keys = ["digest", "digest2", "bytes"]
     first = named.where(F.col("bytes") >= REVISIT_BYTES).groupBy(*keys).agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    out = named.join(cut(first.drop("n")), keys, "left")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>"))
+    row = F.xxhash64("page_id", "url")
+    named = named.withColumn("salt", F.when(F.col("bytes") >= REVISIT_BYTES, F.pmod(row, F.lit(SALTS))).otherwise(row))
+    out = named.join(cut(first.drop("n")).withColumn("salt", salts), [*keys, "salt"], "left")
     return out.select("page_id", "url", "payload", "digest", F.col("first").alias("refers_to"), (F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))).alias("revisit"))
 
 

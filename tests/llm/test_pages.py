@@ -4,6 +4,7 @@ import io
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazardloom.llm import warc
 from hazardloom.llm.url_filter import filter_urls
@@ -95,3 +96,23 @@ def test_warc_round_trip(spark, tmp_path):
         want.append((str(i), str(url), "revisit" if revisit else "response", str(2 if revisit else None), len(data), hashlib.sha1(data).hexdigest(), str(None if revisit else data)))
     assert sorted((str(r.page_id), str(r.url), r.record_type, str(r.refers_to), r.payload_bytes, r.payload_digest, str(None if r.payload is None else bytes(r.payload))) for r in got) == sorted(want)
     assert warc.read_archives(warc.write_archives(pages.where("false"), f"file://{tmp_path}/none")).count() == 0
+
+
+def test_a_payload_on_most_rows_is_in_many_tasks(spark):
+    hot, cold = "x" * 1_500, "y" * 1_500
+    rows = [(i, f"http://a/{i}", hot if i % 3 == 0 else None if i % 3 == 1 else cold if i < 30 else f"{i}" * 400) for i in range(3_000)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    try:
+        got = warc.revisits(spark.createDataFrame(rows, "page_id long, url string, html string")).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = {i: (2_997 if t == hot else 29 if t == cold else None) for i, _, t in rows}
+    assert len(got) == len(rows) and {r.page_id: r.refers_to for r in got} == want
+    assert {r.page_id for r in got if r.revisit} == {i for i, first in want.items() if first not in (None, i)}
+    for payload in (hot, ""):
+        tasks = [r.task for r in got if r.payload == payload]
+        assert max(tasks.count(t) for t in set(tasks)) < 0.4 * len(tasks)
