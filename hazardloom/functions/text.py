@@ -79,6 +79,23 @@ def distinct_runs(lines: Column) -> Column:
     return F.filter(lines, lambda x, i: (i == 0) | ~x.eqNullSafe(F.get(lines, i - 1)))
 
 
+def bulletin_text(text: Column) -> Column:
+    """A bulletin without the list of past ones and without marks of comments: blank for those, equal lines in a row once.
+
+    Lines count as in a row when only blank ones lie between; at most one blank line stays in a place. Cleaning twice
+    changes nothing.
+    """
+    lines = F.transform(F.split(F.regexp_replace(text, r"(?is)Tropical Cyclone Bulletin Archive.*", ""), "\n"), lambda x: F.trim(F.regexp_replace(x, r"\s+$|^\s+", "")))
+    plain = F.transform(lines, lambda x: F.when(x.rlike(r"^(?:TOS|Previous Next)$|-->$"), F.lit("")).otherwise(x))
+    # Blank lines travel with the line behind them, and go with it where it repeats the one before.
+    blocks = F.regexp_extract_all(F.concat(F.array_join(plain, "\n"), F.lit("\n")), F.lit(r"(\n*[^\n]+\n)"), F.lit(1))
+    bare = lambda x: F.replace(x, F.lit("\n"), F.lit(""))
+    pairs = F.arrays_zip(blocks.alias("block"), F.concat(F.array(F.lit(None).cast("string")), blocks).alias("before"))
+    changes = F.filter(pairs, lambda x: x["block"].isNotNull() & ~bare(x["block"]).eqNullSafe(bare(x["before"])))
+    kept = F.transform(changes, lambda x: x["block"])
+    return F.regexp_replace(F.regexp_replace(F.array_join(kept, ""), "\n{3,}", "\n\n"), r"^\n+|\n+$", "")
+
+
 def name_key(name: Column) -> Column:
     """A place name as its key: plain lower-case letters and digits, without notes, ``city`` and short forms."""
     folded = F.translate(name, *ACCENTS)

@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardloom.functions.dates import assumed_year, long_date
-from hazardloom.functions.text import cell_text, cell_texts, clean_link, number
+from hazardloom.functions.dates import assumed_year, long_date, loose_date
+from hazardloom.functions.text import block_text, bulletin_text, cell_text, cell_texts, clean_link, number, without_hidden
 
 
 def table_rows(pages: DataFrame, html: str) -> DataFrame:
@@ -53,6 +53,79 @@ def observation_day(label: Column, today: Column) -> Column:
     return assumed_year(F.substring_index(label, "-", -1).try_cast("int"), month, today)
 
 
+# The fields of a dam by the place of their cell, and of the day before; None is not told for that day.
+DAM_FIELDS = ["obs_time", "rwl_m", "dev_24h_m", "nhwl_m", "dev_nhwl_m", "rule_curve_m", "dev_rule_curve_m", "gates", "gate_opening_m", "inflow_cms", "outflow_cms"]
+DAM_TODAY, DAM_BEFORE = [13, 1, 2, 4, 5, 6, 7, 8, 9, 10, 11, 12], [23, 14, 15, None, 5, 16, 17, 18, 19, 20, 21, 22]
+
+
+def dam_days(pages: DataFrame, html: str, today: Column) -> DataFrame:
+    """The page's other columns, ``dam, obs_date`` and ``DAM_FIELDS`` as text: a row for the newest day and one for the day before.
+
+    A dam with fewer than 14 cells is left out, one with fewer than 24 has no day before; so is a day without a readable
+    date or a level.
+    """
+    kept = [c for c in pages.columns if c != html]
+    cells = cells_by_id(pages, html, [f"c{i}" for i in range(24)])
+    day = lambda at: F.struct(observation_day(F.col(f"c{at[0]}"), today).alias("obs_date"), *[(F.lit("") if i is None else F.col(f"c{i}")).alias(f) for i, f in zip(at[1:], DAM_FIELDS, strict=True)])
+    days = F.array_compact(F.array(F.when(F.col("c13").isNotNull(), day(DAM_TODAY)), F.when(F.col("c23").isNotNull(), day(DAM_BEFORE))))
+    return cells.select(*kept, F.col("id").alias("dam"), F.explode(days).alias("d")).select(*kept, "dam", "d.*").where("obs_date is not null and rwl_m != ''")
+
+
+def basin_status(html: Column) -> Column:
+    """Sub-basins and their status, from rows of a name and a linked status."""
+    pattern = F.lit(r"(?is)<tr>\s*<td>([^<]+?Sub-basin)</td>\s*<td[^>]*>\s*<a[^>]*>([^<]+)</a>")
+    both = F.arrays_zip(F.regexp_extract_all(html, pattern, F.lit(1)).alias("name"), F.regexp_extract_all(html, pattern, F.lit(2)).alias("status"))
+    return F.transform(both, lambda x: F.struct(cell_text(x["name"], True).alias("sub_basin"), cell_text(x["status"], True).alias("status")))
+
+
+# The elements of a regional page that hold advisories, and their kind.
+ADVISORIES = {"rainfalls": "rainfall", "thunderstorms": "thunderstorm"}
+
+
+def has_layout(html: Column) -> Column:
+    """Whether a regional page still has both of its parts; where not, its layout has changed and it should not be read."""
+    return F.coalesce(html.contains('id="rainfalls"') & html.contains('id="thunderstorms"'), F.lit(False))
+
+
+def advisories(pages: DataFrame, html: str, region: str) -> DataFrame:
+    """``id, region, kind, title, number, issued_at, text`` of each advisory of regional pages; no number is empty, no issue time null.
+
+    Texts of fewer than 40 characters, and those that begin with there being none, are no advisories. The id is made of
+    the region, kind, issue time and number (``na`` where missing) and a hash of the text.
+    """
+    parts = [pages.select(F.col(region).alias("region"), F.lit(kind).alias("kind"), inner_html(F.col(html), element).alias("part")) for element, kind in ADVISORIES.items()]
+    items = parts[0].unionByName(parts[1]).select("region", "kind", F.explode(F.split("part", r"(?i)</div>\s*<div[^>]*>")).alias("item"))
+    named = items.select("region", "kind", block_text(F.col("item")).alias("text")).where((F.length("text") >= 40) & ~F.left("text", F.lit(200)).rlike("(?i)there is no .{0,60}(?:issued|warning|advisory)"))
+    title = F.substring_index("text", "\n", 1)
+    issued = r"(?i)Issued at:?\s*([0-9: ]+[AP]M),?\s*(\d{1,2}\s+\w+\s+\d{4})"
+    at = loose_date(F.concat_ws(" ", F.regexp_extract("text", issued, 1), F.regexp_extract("text", issued, 2)))
+    out = named.withColumns({"title": title, "number": F.regexp_extract(title, r"(?i)\bNo\.?\s*(\d+[A-Z]?)", 1), "issued_at": at})
+    when = F.coalesce(F.date_format("issued_at", "yyyy-MM-dd'T'HH:mm:00'+08:00'"), F.lit("na"))
+    number = F.coalesce(F.nullif("number", F.lit("")), F.lit("na"))
+    return out.select(F.concat_ws(":", "region", "kind", when, number, F.left(F.sha2("text", 256), F.lit(12))).alias("id"), "region", "kind", "title", "number", "issued_at", "text")
+
+
+def _tabs(html: Column) -> Column:
+    """The tabs of a page's article, or all of it where there are none."""
+    article = r'(?is)^.*?<div class="[^"]*article-content[^"]*">'
+    body = F.regexp_replace(F.regexp_replace(html, article, ""), r"(?is)(?:We always find ways to improve|<footer).*", "")
+    tabs = F.split(without_hidden(body), r'(?i)<div[^>]*\bclass="[^"]*\btab-pane\b[^"]*"[^>]*>')
+    return F.when(F.size(tabs) > 1, F.slice(tabs, F.lit(2), F.greatest(F.size(tabs) - 1, F.lit(1)))).otherwise(tabs)
+
+
+def bulletin_rows(pages: DataFrame, html: str) -> DataFrame:
+    """The page's other columns, ``pos``, ``sha`` (16 digits of the text's hash) and ``text`` of each cyclone bulletin, one for each tab.
+
+    Only the article counts, up to what the site says below it. A tab that names no active cyclone, or holds fewer than
+    200 characters, is no bulletin.
+    """
+    kept = [c for c in pages.columns if c != html]
+    tabs = pages.select(*kept, F.posexplode(_tabs(F.col(html))).alias("pos", "tab"))
+    texts = tabs.select(*kept, "pos", bulletin_text(block_text(F.col("tab"))).alias("text"))
+    live = texts.where((F.length("text") >= 200) & ~F.col("text").rlike("(?i)No Active Tropical Cyclone"))
+    return live.select(*kept, "pos", F.left(F.sha2("text", 256), F.lit(16)).alias("sha"), "text")
+
+
 def stations(body: Column) -> Column:
     """An array of stations from a JSON body: code, name, level (null where it is no number) and flag."""
     raw = F.from_json(body, "array<struct<obscd: string, obsnm: string, wl: string, alertwl: string, alarmwl: string, criticalwl: string>>")

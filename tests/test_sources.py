@@ -183,3 +183,40 @@ def test_once_per_id_stream(spark, tmp_path):
     stream = once_per_id(spark.readStream.schema(rows.schema).parquet(source), "id", "at", "1 hour")
     stream.writeStream.option("checkpointLocation", str(tmp_path / "c")).foreachBatch(lambda df, _: out.extend(r.id for r in df.collect())).trigger(availableNow=True).start().awaitTermination(120)
     assert sorted(out) == [1, 2]
+
+
+def test_dam_days_and_basins(spark):
+    today = ["", "8:00 AM", "95.2", "-", "0.1", "100", "-4.8", "90", "5.2", "2", "1.5", "30", "40", "Jan-01"]
+    before = ["8:00 AM", "95.1", "-4.9", "90", "5.1", "1", "0.5", "20", "10", "Dec-31"]
+    cells = lambda dam, values: "".join(f'<td data-id="{dam}" class="c">{v}</td>' for v in values)
+    page = cells("A", today + before) + cells("B", today[:13]) + cells("C", today) + cells("D", [*today[:2], "", *today[3:]])
+    page += '<tr> <td>Upper Sub-basin</td><td class="s"> <a href="#">Non&amp;flood</a></td></tr><tr><td>Other</td><td><a>x</a></td></tr>'
+    rows = spark.createDataFrame([(7, page)], "page long, html string")
+    got = pages.dam_days(rows, "html", F.lit("2027-01-01").cast("date")).collect()
+    seen = {(r.page, r.dam, str(r.obs_date), r.obs_time, r.rwl_m, r.dev_24h_m, r.nhwl_m, r.gates, r.outflow_cms) for r in got}
+    assert seen == {(7, "A", "2027-01-01", "8:00 AM", "95.2", "0.1", "100", "2", "40"), (7, "A", "2026-12-31", "8:00 AM", "95.1", "", "100", "1", "10"), (7, "C", "2027-01-01", "8:00 AM", "95.2", "0.1", "100", "2", "40")}
+    assert [tuple(x) for x in one(spark, pages.basin_status(F.lit(page)))] == [("Upper Sub-basin", "Non&flood")]
+
+
+def test_advisories(spark):
+    first = "Thunderstorm Advisory No. 12A<br>Issued at: 5:00 AM, 26 September 2026<br>Heavy rain is expected over Town within 2 hours."
+    none = "There is no Rainfall Warning issued for this region as of now, see the archive."
+    page = f'<div id="rainfalls"><div>{none}</div><div>short</div></div><div id="thunderstorms"><div>{first}</div> <div class="x">Advisory without a number or a time, but long enough to count.</div></div>'
+    rows = spark.createDataFrame([(page, "ncr"), ("<div id=rainfalls></div>", "sl"), (None, "x")], "html string, region string")
+    got = sorted((r.region, r.kind, r.title, r.number, str(r.issued_at), r.id.rpartition(":")[0]) for r in pages.advisories(rows, "html", "region").collect())
+    assert got == [
+        ("ncr", "thunderstorm", "Advisory without a number or a time, but long enough to count.", "", "None", "ncr:thunderstorm:na:na"),
+        ("ncr", "thunderstorm", "Thunderstorm Advisory No. 12A", "12A", "2026-09-26 05:00:00", "ncr:thunderstorm:2026-09-26T05:00:00+08:00:12A"),
+    ]
+    assert [r[0] for r in rows.select(pages.has_layout(F.col("html"))).collect()] == [True, False, False]
+
+
+def test_bulletin_pages(spark):
+    body = lambda name: f"<h3>Typhoon {name}</h3><br>TOS<br><br>Typhoon {name}<br>" + "Winds of the storm blow. " * 12 + "<!-- old --><br>Tropical Cyclone Bulletin Archive<br>list"
+    page = f'<p>menu</p><div class="col article-content"><div class="tab-pane fade">{body("A")}</div><div class="tab-pane">No Active Tropical Cyclone</div><div class="tab-pane">{body("B")}</div>We always find ways to improve {body("C")}'
+    whole = page.replace("tab-pane", "other")
+    rows = spark.createDataFrame([(1, page), (2, "<p>short</p>"), (3, None), (4, whole.replace("No Active Tropical Cyclone", ""))], "page long, html string")
+    got = sorted((r.page, r.text[:10], "Archive" in r.text or "menu" in r.text or "TOS" in r.text, r.text.count("Typhoon"), len(r.sha)) for r in pages.bulletin_rows(rows, "html").collect())
+    assert got == [(1, "Typhoon A\n", False, 1, 16), (1, "Typhoon B\n", False, 1, 16), (4, "Typhoon A\n", False, 1, 16)]
+    clean = lambda t: one(spark, text.bulletin_text(F.lit(t)))
+    assert clean("a\n\n\na\nb\nx -->\nb\n\n\nc\nTOS\nTropical cyclone bulletin archive\nd") == "a\nb\n\nc"
