@@ -53,20 +53,24 @@ def dense_daily(df: DataFrame, at: str) -> DataFrame:
 
 
 def radius_rates(places: DataFrame, events: DataFrame, key: str, since: str, km: float = 50.0) -> DataFrame:
-    """Base rates around each place: counts of magnitude 3, 4 and 5, last of 4, per-year counts of 4, and Poisson chances.
+    """Base rates around each place: counts of magnitude 3, 4 and 5, last of 4 and 5, Poisson chances, and counts of 4 by year.
 
-    Places without events are kept with zeros. Exposure runs from ``since`` to the newest event, half a year at least.
+    ``by_year`` is a list ``year:count`` from ``since`` to the newest event, years without events with 0. Places without events are kept with zeros. Exposure runs from ``since`` to the newest event, half a year at least.
     """
     sound = events.where((F.col("mag") >= 3) & (F.col("occurred_at") >= F.lit(since).cast("timestamp_ntz")))
     until = events.agg(F.max("occurred_at")).scalar().cast("date")
     near = within(places.select(key, "lat", "lon"), sound.select("lat", "lon", "mag", "occurred_at"), km)
-    m = F.col("mag")
-    counted = near.groupBy(key).agg(F.count(F.lit(1)).alias("n_m3"), F.count_if(m >= 4).alias("n_m4"), F.count_if(m >= 5).alias("n_m5"), F.max(F.when(m >= 4, F.col("occurred_at"))).alias("l4"))
+    m, at = F.col("mag"), F.col("occurred_at")
+    last = lambda least: F.max(F.when(m >= least, at))
+    yearly = near.groupBy(key, F.year(at).alias("y")).agg(F.count(F.lit(1)).alias("n3"), F.count_if(m >= 4).alias("n4"), F.count_if(m >= 5).alias("n5"), last(4).alias("l4"), last(5).alias("l5"))
+    counted = yearly.groupBy(key).agg(F.sum("n3").alias("n_m3"), F.sum("n4").alias("n_m4"), F.sum("n5").alias("n_m5"), F.max("l4").alias("l4"), F.max("l5").alias("l5"), F.map_from_entries(F.collect_list(F.struct("y", "n4"))).alias("m4"))
     years = F.greatest(F.lit(0.5), F.datediff(until, F.lit(since).cast("date")) / F.lit(365.25))
-    out = places.select(key).join(counted, key, "left").withColumn("years", years)
+    out = places.select(key).join(counted, key, "left").withColumns({"years": years, "last_year": F.year(until)})
     n = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     rate = F.coalesce(F.col("n_m4"), F.lit(0)) / F.col("years")
-    return out.select(key, n("n_m3"), n("n_m4"), n("n_m5"), stamp("l4").alias("last_m4"), F.round("years", 6).alias("years"), F.round(1 - F.exp(-rate * 30 / 365.25), 6).alias("p30"), F.round(1 - F.exp(-rate), 6).alias("p365"))
+    span = F.sequence(F.year(F.lit(since).cast("date")), F.col("last_year"))
+    by_year = F.array_join(F.transform(span, lambda y: F.concat_ws(":", y, F.coalesce(F.try_element_at("m4", y), F.lit(0)))), ",")
+    return out.select(key, n("n_m3"), n("n_m4"), n("n_m5"), stamp("l4").alias("last_m4"), stamp("l5").alias("last_m5"), by_year.alias("by_year"), F.round("years", 6).alias("years"), F.round(1 - F.exp(-rate * 30 / 365.25), 6).alias("p30"), F.round(1 - F.exp(-rate), 6).alias("p365"))
 
 
 def year_map(df: DataFrame, key: str, at: str) -> DataFrame:

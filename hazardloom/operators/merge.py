@@ -62,6 +62,24 @@ def digest_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.select("group", F.coalesce("n", F.lit(0)).alias("n"), state.alias("state"))
 
 
+def month_changes(old_digests: DataFrame, old_rows: DataFrame, new_digests: DataFrame, new_rows: DataFrame, key: str) -> DataFrame:
+    """``group, key, change``: what a delivery of the changed groups sends. Rows are ``group, key, hash``.
+
+    Groups of equal digests send nothing. Of a group whose old rows are known, only rows that are new, changed or gone
+    are sent; any other is sent whole, and cleared before (``clear``, without a key) if it was sent once. Groups that
+    are gone as a whole stay as they are.
+    """
+    known = old_rows.select("group").distinct().withColumn("known", F.lit(True))
+    states = digest_diff(old_digests, new_digests).where("state in ('new', 'changed')").join(known, "group", "left").select("group", "state", F.coalesce("known", F.lit(False)).alias("known"))
+    come = new_rows.select("group", key, F.col("hash").alias("n")).join(states, "group")
+    whole = come.where("not known").select("group", key, F.lit("insert").alias("change"))
+    clear = states.where("not known and state = 'changed'").select("group", F.lit(None).cast(new_rows.schema[key].dataType).alias(key), F.lit("clear").alias("change"))
+    was = old_rows.select("group", key, F.col("hash").alias("o")).join(states.where("known").select("group"), "group", "left_semi")
+    both = was.join(come.where("known").select("group", key, "n"), ["group", key], "full_outer").where("not o <=> n")
+    change = F.when(F.col("o").isNull(), "insert").when(F.col("n").isNull(), "delete").otherwise("update")
+    return whole.unionByName(clear).unionByName(both.select("group", key, change.alias("change")))
+
+
 def budget_plan(groups: DataFrame, group: str, rows: str, budget: int, fresh: int = 2) -> DataFrame:
     """Groups from the newest on: the ``fresh`` newest always, then older ones while their rows add up to the budget.
 

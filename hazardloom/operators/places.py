@@ -100,7 +100,7 @@ def town_signals(signals: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """The highest signal per town: its own, its province's, or that of the rest of its province. Three equi-joins, no OR."""
     g = gazetteer.select("code", "province")
     own = signals.where("kind = 'city'").join(g, F.col("place") == F.col("code"))
-    whole = signals.where("kind = 'province' or (kind = 'portion' and area like 'the rest of%')").join(g, F.col("place") == F.col("province"))
+    whole = signals.where("kind = 'province' or (kind = 'portion' and lower(area) rlike '^(the )?rest of ')").join(g, F.col("place") == F.col("province"))
     return own.select("code", "signal").unionByName(whole.select("code", "signal")).groupBy("code").agg(F.max("signal").alias("signal"))
 
 

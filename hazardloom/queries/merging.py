@@ -100,6 +100,26 @@ def month_digest_diff(spark, d):
     return M.digest_diff(*_digests(spark, d))
 
 
+@query("""with h as (select o_orderkey as k, strftime(o_orderdate, '%Y-%m') as g, o_orderstatus as s from orders),
+old as (select k, g, case when k % 150 = 0 then 'X' else s end as s from h where k % 100 != 0 or g < '1997-07'), new as (select * from h where g >= '1996-01' and (k % 97 != 0 or g like '%-03')),
+od as (select g, string_agg(k || s, ',' order by k) as d from old group by g), nd as (select g, string_agg(k || s, ',' order by k) as d from new group by g),
+c as (select nd.g, od.g is not null as sent, od.g is not null and nd.g >= '1999-01' as known from nd left join od on od.g = nd.g where nd.d is distinct from od.d)
+select g as "group", k as o_orderkey, 'insert' as change from new join c using (g) where not known
+union all select g, null, 'clear' from c where sent and not known
+union all select g, new.k, case when old.k is null then 'insert' else 'update' end from new join c using (g) left join old using (g, k) where known and old.s is distinct from new.s
+union all select g, old.k, 'delete' from old join c using (g) left join new using (g, k) where known and new.k is null""")
+def month_changes(spark, d):
+    """What is sent of changed months: single rows of those from 1999 on, whose old rows are known, else whole months."""
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    o = table(spark, d, "orders").select("o_orderkey", month.alias("group"), F.col("o_orderstatus").alias("s"))
+    old = o.where("o_orderkey % 100 != 0 or group < '1997-07'").withColumn("s", F.when(F.col("o_orderkey") % 150 == 0, "X").otherwise(F.col("s")))
+    new = o.where("group >= '1996-01' and (o_orderkey % 97 != 0 or group like '%-03')")
+    hashed = row_hash(F.col("o_orderkey"), F.col("s"))
+    digest = lambda rows: A.group_digest(rows, F.col("group"), hashed)
+    rows = lambda part: part.select("group", "o_orderkey", hashed.alias("hash"))
+    return M.month_changes(digest(old), rows(old.where("group >= '1999-01'")), digest(new), rows(new), "o_orderkey")
+
+
 @query(f"""with {_DIGESTS}, s as (select b.g, case when a.d is not distinct from b.d then 0 else n end as n from b left join a on a.g = b.g),
 r as (select g, n, row_number() over (order by g desc) as k from s), o as (select *, case when k > 2 then n else 0 end as r from r),
 t as (select *, sum(r) over (order by g desc) as sf, sum((r > 0)::int) over (order by g desc) as wr from o),

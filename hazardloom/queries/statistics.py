@@ -53,11 +53,14 @@ near as (select town_id, q.* from towns t join quakes q on mag >= 3 and occurred
   ((q.lon - t.lon) * 111.32 * cos(radians(t.lat))) * ((q.lon - t.lon) * 111.32 * cos(radians(t.lat))) + ((q.lat - t.lat) * 110.57) * ((q.lat - t.lat) * 110.57) <= 2500)"""
 
 
-@query(f"""{_NEAR}, c as (select town_id, count(*) as n3, count(*) filter (mag >= 4) as n4, count(*) filter (mag >= 5) as n5, max(case when mag >= 4 then occurred_at end) as l4 from near group by town_id),
+@query(f"""{_NEAR}, c as (select town_id, count(*) as n3, count(*) filter (mag >= 4) as n4, count(*) filter (mag >= 5) as n5, max(case when mag >= 4 then occurred_at end) as l4, max(case when mag >= 5 then occurred_at end) as l5 from near group by town_id),
+span as (select unnest(generate_series(2024, (select max(year(occurred_at)) from quakes))) as y),
+m as (select town_id, year(occurred_at) as y, count(*) as n from near where mag >= 4 group by all),
+b as (select t.town_id, string_agg(span.y || ':' || coalesce(m.n, 0), ',' order by span.y) as by_year from towns t cross join span left join m on m.town_id = t.town_id and m.y = span.y group by 1),
 y as (select greatest(0.5, date_diff('day', date '2024-01-03', max(occurred_at)::date) / 365.25) as years from quakes)
-select t.town_id, coalesce(n3, 0) as n_m3, coalesce(n4, 0) as n_m4, coalesce(n5, 0) as n_m5, strftime(l4, {FMT}) as last_m4, round(years, 6)::double as years,
+select t.town_id, coalesce(n3, 0) as n_m3, coalesce(n4, 0) as n_m4, coalesce(n5, 0) as n_m5, strftime(l4, {FMT}) as last_m4, strftime(l5, {FMT}) as last_m5, by_year, round(years, 6)::double as years,
   round(1 - exp(-(coalesce(n4, 0) / years) * 30 / 365.25), 6)::double as p30, round(1 - exp(-(coalesce(n4, 0) / years)), 6)::double as p365
-from towns t left join c on c.town_id = t.town_id cross join y""")
+from towns t left join c on c.town_id = t.town_id join b on b.town_id = t.town_id cross join y""")
 def radius_rates(spark, d):
     towns = spot(table(spark, d, "supplier").select(F.col("s_suppkey").alias("town_id")), "town_id")
     return A.radius_rates(towns, quakes(spark, d), "town_id", "2024-01-03")

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from hazardloom.functions import dates as D
 from hazardloom.functions import text as T
+from hazardloom.functions.bulletins import signal_areas as signal_rows
 from hazardloom.queries import query
+from hazardloom.sources.pages import basin_status
 from hazardloom.sources.tables import table
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
@@ -206,3 +208,29 @@ def nested_turns(spark, d):
     c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.length("text").alias("n")))).alias("t"))
     first = F.get(F.filter("t", lambda x: x["turn"] == 0), 0)
     return c.select("conv_id", F.array_join(F.col("t.role"), ",").alias("roles"), F.size("t").cast("long").alias("turns"), first["n"].alias("first_length"))
+
+
+@query("""with n as (select n_nationkey as id, n_name as p from nation)
+select id, 3 as signal, 'The northern and extreme central portions of ' || p as area, 'portion' as kind, p as province, null as within from n
+union all select id, 3, t, 'city', p, 'The northern and extreme central portions of ' || p from n, (select unnest(['Gen. ' || 'Town', 'Old Place', 'San Isidro']) as t)
+union all select id, 3, 'Babuyan Islands', 'place', 'Babuyan Islands', null from n
+union all select id, 1, 'the rest of mainland ' || p, 'portion', p, null from n
+union all select id, 1, 'Some ' || p, 'place', 'Some ' || p, null from n""")
+def signal_areas(spark, d):
+    """Areas of wind signals in texts made of each nation's name: directions with ``and``, names with full stops, island groups."""
+    text = F.format_string(
+        "Wind Signal No. 3\nLuzon: The northern and extreme central portions of %s (Gen. Town, Old Place; and San Isidro), Babuyan\nIslands\nWind threat: gales over Elsewhere\nTCWS #1\nVISAYAS\nthe rest of mainland %s and Some %s\nBeaufort 6, Nowhere",
+        "n_name", "n_name", "n_name",
+    )
+    rows = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), text.alias("text"))
+    return signal_rows(rows, "id", "text").select("id", "signal", "area", "kind", "province", "within")
+
+
+@query("""select n_nationkey, n_name || ' Sub-basin' as sub_basin, case when n_nationkey % 2 = 0 then 'Non-flood & calm' else 'Alert' end as status from nation where n_nationkey % 3 != 0""")
+def basin_statuses(spark, d):
+    """Status tables of river basins, a page per nation; rows that name no sub-basin are none."""
+    kind = F.when(F.col("n_nationkey") % 3 == 0, "").otherwise(" Sub-basin")
+    status = F.when(F.col("n_nationkey") % 2 == 0, "Non-flood &amp;  calm").otherwise("Alert")
+    page = F.concat(F.lit("<table><tr> <td>"), "n_name", kind, F.lit('</td> <td class="s"><a href="#">'), status, F.lit("</a></td></tr><tr><td>x</td></tr></table>"))
+    rows = table(spark, d, "nation").select("n_nationkey", F.explode(basin_status(page)).alias("b"))
+    return rows.select("n_nationkey", "b.*")

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from hazardloom.functions import bulletins
+from hazardloom.functions.text import name_key
 
 TEXT = """Typhoon "Queenie"
 
@@ -54,5 +55,36 @@ def test_signal_areas(spark):
     north = "The northern portion of mainland Cagayan"
     assert got == {
         (1, 2, north, "portion", "Cagayan", None), (1, 2, "Santa Ana", "city", "Cagayan", north), (1, 2, "Aparri", "city", "Cagayan", north), (1, 2, "Buguey", "city", "Cagayan", north),
-        (1, 2, "Babuyan Islands", "place", "Babuyan Islands", None), (1, 1, "Samar", "place", "Samar", None), (1, 1, "the rest of Cagayan", "portion", "Cagayan", None),
+        (1, 2, "Babuyan Islands", "place", "Babuyan Islands", None), (1, 1, "Samar", "place", "Samar", None), (1, 1, "The rest of Cagayan", "portion", "Cagayan", None),
+    }
+
+
+SIGNALS = """Wind Signal No. 3
+Luzon: The northern and central portions of Quezon (Gen. Nakar, Burdeos and San Isidro), Metro Manila, Polillo
+Islands
+Wind threat: storm-force winds over Aurora
+Signal #2
+LUZON
+Aurora and the rest of Quezon, Camarines Norte (San Isidro; Daet) Visayas
+The extreme northern portion of Nowhere (Basud), Burdeos, San Isidro
+Wind Signal Number 1
+Somewhere, Babuyan Islands
+Beaufort 6
+"""
+
+
+def test_signals_with_codes(spark):
+    places = [("Q", "Quezon", "Prov", "Q", "R4"), ("A", "Aurora", "Prov", "A", "R3"), ("C", "Camarines Norte", "Prov", "C", "R5"), ("G", "Cagayan", "Prov", "G", "R2"), ("X", "Somewhere (Independent City)", "Prov", "X", "R9")]
+    towns = [("Q1", "General Nakar", "Mun", "Q", "R4"), ("Q2", "Burdeos", "Mun", "Q", "R4"), ("Q3", "San Isidro", "Mun", "Q", "R4"), ("C1", "San Isidro", "Mun", "C", "R5"), ("C2", "Daet", "Mun", "C", "R5"), ("C3", "Basud", "Mun", "C", "R5")]
+    g = spark.createDataFrame(places + towns, "code string, name string, level string, province string, region string").withColumns({"key": name_key(F.col("name")), "lat": F.lit(14.0), "lon": F.lit(121.0)})
+    regions = spark.createDataFrame([("Metro Manila", "R13")], "name string, code string")
+    islands = spark.createDataFrame([("Polillo Islands", "Quezon"), ("Babuyan Islands", "Cagayan")], "name string, province string")
+    rows = spark.createDataFrame([(1, SIGNALS), (2, "No Tropical Cyclone Wind Signal. Wind Signal No. 1 Aurora"), (3, None)], "id int, text string")
+    got = {tuple(r) for r in bulletins.coded_signals(bulletins.signal_areas(rows, "id", "text"), "id", g, regions, islands).collect()}
+    assert got == {
+        (1, 3, "The northern and central portions of Quezon", "portion", "Q", None), (1, 3, "Gen. Nakar", "city", "Q", "Q1"), (1, 3, "Burdeos", "city", "Q", "Q2"), (1, 3, "San Isidro", "city", "Q", "Q3"),
+        (1, 3, "Metro Manila", "province", "R13", None), (1, 3, "Polillo Islands", "portion", "Q", None),
+        (1, 2, "Aurora", "province", "A", None), (1, 2, "the rest of Quezon", "portion", "Q", None), (1, 2, "Camarines Norte", "province", "C", None), (1, 2, "San Isidro", "city", "C", "C1"), (1, 2, "Daet", "city", "C", "C2"),
+        (1, 2, "The extreme northern portion of Nowhere", "portion", None, None), (1, 2, "Basud", "city", "C", "C3"), (1, 2, "Burdeos", "city", "Q", "Q2"),
+        (1, 1, "Somewhere", "portion", None, None), (1, 1, "Babuyan Islands", "portion", "G", None),
     }
