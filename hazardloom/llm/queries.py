@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardloom.llm import ann, lm, packing, toxicity, warc
+from hazardloom.llm.audit import audit
 from hazardloom.llm.common import load, shared_dir
 from hazardloom.llm.exact_dedup import exact_groups
 from hazardloom.llm.line_dedup import line_decisions
@@ -81,7 +82,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest, op3_lm_scoring, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op8_line_dedup, op9_packing, op10_toxicity)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest, op3_lm_scoring, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op8_line_dedup, op9_packing, op10_toxicity, op11_filter_audit)}
 
 ORACLE = {
     "op1_url_filter": r"""
@@ -132,4 +137,28 @@ p as (select d.doc_id, size, source_size, target, floor(target + 0.5)::bigint as
 e as (select *, case when source_size > 0 then budget // source_size else 0 end as epochs from p)
 select doc_id, size::bigint as size, source_size, target,
   (epochs * size + greatest(0, least(size, budget - epochs * source_size - before)))::bigint as taken from e""",
+    "op11_filter_audit": r"""
+with recursive d as (select doc_id, coalesce(text, '') as t, coalesce(lang, '') as part from documents),
+w as (select doc_id, part, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x != '') as ws,
+  min(doc_id) over (partition by t) as least from d),
+l as (select doc_id, max(quality) as quality, max(toxic) as toxic from labels group by doc_id),
+f as (select part, coalesce(quality = 1, false) as good, coalesce(toxic = 1, false) as toxic,
+  case when len(ws) < 100 then 'A' else '' end || case when 100 * len(list_distinct(ws)) < 80 * len(ws) then 'B' else '' end
+  || case when 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * len(t) then 'C' else '' end
+  || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end || case when doc_id > least then 'E' else '' end as fails
+  from w left join l using (doc_id)),
+g as (select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from f group by part, fails),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders(o) as (select x from letters union all select o || x from orders, letters where not contains(o, x)),
+s as (select o as filter_order, step, o[step] as x, o[:step - 1] as before from orders, unnest(range(1, 6)) as u(step) where len(o) = 5),
+r as (select part, filter_order, step::int as step, x,
+    coalesce(sum(n) filter (fails = translate(fails, before || x, '')), 0)::bigint as kept,
+    coalesce(sum(n) filter (contains(fails, x) and fails = translate(fails, before, '')), 0)::bigint as removed,
+    coalesce(sum(n) filter (contains(fails, x) and fails != translate(fails, before, '')), 0)::bigint as redundant,
+    coalesce(sum(n) filter (fails = x), 0)::bigint as unique_fails,
+    coalesce(sum(good) filter (contains(fails, x) and fails = translate(fails, before, '')), 0)::bigint as good_lost,
+    coalesce(sum(toxic) filter (contains(fails, x) and fails = translate(fails, before, '')), 0)::bigint as toxic_lost
+  from g, s group by part, filter_order, step, x)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, x))::bigint as shapley from r""",
 }
