@@ -9,8 +9,8 @@ DOCS = "doc_id long, text string, lang string, n long, subset int, A string, ste
 
 def _brute(docs, labels):
     """Every order applied filter by filter to the rows themselves."""
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
     rows = []
     for i, text, lang in docs:
         t = text or ""
