@@ -14,6 +14,7 @@ from hazardloom.llm.exact_dedup import exact_groups
 from hazardloom.llm.line_dedup import line_decisions
 from hazardloom.llm.mixing import mix_plan
 from hazardloom.llm.ngram_join import similar_groups
+from hazardloom.llm.topk import top_k
 from hazardloom.llm.url_filter import filter_urls
 
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("allow", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -86,7 +87,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest, op3_lm_scoring, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op8_line_dedup, op9_packing, op10_toxicity, op11_filter_audit)}
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest, op3_lm_scoring, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op8_line_dedup, op9_packing, op10_toxicity, op11_filter_audit, op12_top_k)}
 
 ORACLE = {
     "op1_url_filter": r"""
@@ -161,4 +166,11 @@ r as (select part, filter_order, step::int as step, x,
   from g, s group by part, filter_order, step, x)
 select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   (sum(removed) over (partition by part, x))::bigint as shapley from r""",
+    "op12_top_k": r"""
+with v as (select vec_id, list_transform(embedding::double[], lambda x: floor(1024 * x)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding::double[], lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from v q join v c on q.vec_id % 100 = 0 and q.vec_id != c.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 10""",
 }
