@@ -13,10 +13,10 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardloom.llm.common import UPPER, WHITE
+from hazardloom.llm.common import UPPER, WHITE, cut
 
 FILTERS = "ABCDE"
 _COUNTS = ("n", "good", "toxic")
@@ -53,8 +53,8 @@ def flag_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "n")))
     unnamed = F.sum(F.when(F.col("id").isNull(), F.col("n")).otherwise(0))
     groups = rows.groupBy("digest", "part", *"ABCD", "good", "toxic").agg(first.alias("first"), unnamed.alias("unnamed"), F.sum("n").alias("n"))
-    least = groups.groupBy("digest").agg(F.min("first.id").alias("least"), F.count(F.lit(1)).alias("groups")).where("groups > 1").drop("groups")
-    groups = groups.join(least, "digest", "left").withColumn("least", F.coalesce("least", "first.id"))
+    # A text has a few rows left: one for each part and label.
+    groups = groups.withColumn("least", F.min("first.id").over(Window.partitionBy("digest")))
     kept = F.col("unnamed") + F.when(F.col("first.id") == F.col("least"), F.col("first.n")).otherwise(0)
     sides = F.explode(F.array(F.struct(F.lit(False).alias("E"), kept.alias("n")), F.struct(F.lit(True).alias("E"), (F.col("n") - kept).alias("n"))))
     counts = groups.select("part", *"ABCD", "good", "toxic", sides.alias("side")).where("side.n > 0").select("part", *"ABCD", "side.E", "side.n", "good", "toxic")
@@ -91,7 +91,7 @@ def audit(docs: DataFrame, labels: DataFrame, **columns: str) -> DataFrame:
     had gone before; ``unique_fails`` fail no other filter; ``good_lost`` and ``toxic_lost`` are the removed ones with
     that label; ``shapley`` is what the filter removes, summed over all orders. An empty table gives an empty result.
     """
-    left = survivors(flag_counts(docs, labels, **columns))
+    left = cut(survivors(cut(flag_counts(docs, labels, **columns))))
     plan = docs.sparkSession.createDataFrame(steps(), "filter_order string, step int, filter string, before int, after int")
     before = left.select("part", F.col("subset").alias("before"), *(F.col(c).alias(f"{c}_before") for c in _COUNTS))
     after = left.select("part", F.col("subset").alias("after"), *_COUNTS)
