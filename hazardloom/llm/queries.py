@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from hazardloom.llm import ann, lm, packing, toxicity, warc
 from hazardloom.llm.audit import audit
-from hazardloom.llm.common import load, shared_dir
+from hazardloom.llm.common import cut, load, shared_dir
 from hazardloom.llm.exact_dedup import exact_groups
 from hazardloom.llm.line_dedup import line_decisions
 from hazardloom.llm.mixing import mix_plan
 from hazardloom.llm.ngram_join import similar_groups
+from hazardloom.llm.repair import plan_repairs, repaired, text_digests
 from hazardloom.llm.topk import top_k
 from hazardloom.llm.url_filter import filter_urls
 
@@ -91,7 +92,31 @@ def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest, op3_lm_scoring, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op8_line_dedup, op9_packing, op10_toxicity, op11_filter_audit, op12_top_k)}
+def damage(conversations: DataFrame) -> DataFrame:
+    """Turns with faults, by the CRC-32 of id and number: dropped, emptied, without sentence ends, repeated, or with the user's role."""
+    given = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(given("conv_id"), F.lit(":"), given("turn"))) % 20
+    rows = conversations.select("conv_id", "turn", given("role").alias("role"), given("text").alias("text"), fault.alias("fault")).where("fault != 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    times = F.explode(F.sequence(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("time")).drop("time")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = load(spark, sf_dir, "conversations")
+    broken = damage(conversations)
+    plan = cut(plan_repairs(broken))
+    hashes = text_digests(repaired(broken, plan))
+    found = plan.join(hashes, "conv", "left").withColumnRenamed("conv_id", "id")
+    ids = conversations.groupBy("conv_id").agg(F.lit(0).cast("long").alias("none"))
+    none = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = ids.join(found.withColumnRenamed("sha256", "repaired_sha256"), F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    return found.select("conv_id", *(F.coalesce(c, "none").alias(c) for c in numbers), *(F.coalesce(c, empty).alias(c) for c, empty in none.items()))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest, op3_lm_scoring, op4_ngram_join, op5_warc, op6_exact_dedup, op7_mixing, op8_line_dedup, op9_packing, op10_toxicity, op11_filter_audit, op12_top_k, op13_conversation_repair)}
 
 ORACLE = {
     "op1_url_filter": r"""
@@ -173,4 +198,48 @@ s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigin
   from v q join v c on q.vec_id % 100 = 0 and q.vec_id != c.vec_id),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, rank::int as rank, vec_id, score from r where rank <= 10""",
+    "op13_conversation_repair": r"""
+with recursive h as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+crc as (
+  select *, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(k) + 1), lambda i: ascii(k[i])::bigint)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 as f from h),
+broken as (
+  select conv_id, turn, case when f = 4 then 'user' else role end as role,
+    case when f = 1 then '' when f = 2 then translate(text, '.!?', '') else text end as text
+  from crc, unnest(case when f = 3 then [1, 2] else [1] end) where f != 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i, left(role, 1) as ini from broken),
+rows as (
+  select *, lag(ini) over (partition by conv_id order by i) as ini_before,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+    when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else '' end as fault from placed),
+ins(q, p, c, l) as (values (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (1, 2, 5, 'I'), (2, 3, 5, 'I'), (3, 2, 5, 'I'),
+  (0, 3, 10, 'II'), (1, 3, 10, 'II')),
+steps(q, ini, t, c, l) as (values (0, 's', 1, 0, 'K'), (0, 'u', 2, 0, 'K'), (1, 'u', 2, 0, 'K'), (3, 'u', 2, 0, 'K'), (2, 'a', 3, 0, 'K'),
+  (0, '', 2, 1, 'R'), (1, '', 2, 1, 'R'), (3, '', 2, 1, 'R'), (2, '', 3, 1, 'R'), (0, '', 0, 2, 'D'), (1, '', 1, 2, 'D'), (2, '', 2, 2, 'D'), (3, '', 3, 2, 'D')),
+way(conv_id, i, q, best) as (
+  select distinct conv_id, 0::bigint, 0, {'c': 0, 'a': '', 'o': ''} from broken
+  union all
+  select w.conv_id, r.i, s.t, min({'c': w.best.c + n.c + s.c + case when r.fault = 'truncated' and s.l != 'D' then 5 else 0 end, 'a': w.best.a || n.l || s.l,
+    'o': w.best.o || case n.l when 'I' then case when n.p = 2 then chr(10) || 'user:' else chr(10) || 'assistant:' end
+        when 'II' then chr(10) || 'user:' || chr(10) || 'assistant:' else '' end
+      || case s.l when 'D' then '' when 'K' then chr(10) || r.role || ':' || r.text
+        else chr(10) || case when s.t = 2 then 'user:' else 'assistant:' end || r.text end})
+  from way w join rows r on r.conv_id is not distinct from w.conv_id and r.i = w.i + 1 join ins n on n.q = w.q
+    join steps s on s.q = n.p and (s.ini = '' or s.ini = r.ini) and (s.l = 'D' or r.fault not in ('blank', 'duplicate'))
+  group by w.conv_id, r.i, s.t),
+facts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (i > 1 and ini_before || ini not in ('su', 'ua', 'au')) as illegal, max(i) as n from rows group by conv_id),
+done as (
+  select f.conv_id, min({'c': w.best.c + [0, 10, 5, 0][q + 1], 'a': w.best.a || ['', 'II', 'I', ''][q + 1],
+    'o': w.best.o || ['', chr(10) || 'user:' || chr(10) || 'assistant:', chr(10) || 'assistant:', ''][q + 1]}) as best
+  from facts f join way w on w.conv_id is not distinct from f.conv_id and w.i = f.n group by f.conv_id)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(best.c, 0)::bigint as cost, coalesce(best.a, '') as audit, sha256(coalesce(best.o[2:], '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join facts f on f.conv_id is not distinct from c.conv_id
+  left join done d on d.conv_id is not distinct from c.conv_id""",
 }
