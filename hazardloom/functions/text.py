@@ -1,4 +1,4 @@
-"""Text expressions: HTML to text, names, areas and fields of bulletins."""
+"""Text expressions: HTML to text, names, hashes and literals."""
 
 from __future__ import annotations
 
@@ -11,13 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# The HTML entities that are decoded without Python; names that are written short, and in full;
-# how advisories lead up to areas, and what their status is then.
+# The HTML entities that are decoded without Python; names that are written short, and in full.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 SHORT = [("gen", "general"), ("sto", "santo"), ("sta", "santa"), ("pres", "president"), ("mt", "mount"), ("st", "saint")]
 ACCENTS = ("áàâäãåéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ", "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC")
-LEADS = [("(?:is|are) expected over", "expected"), ("(?:is|are) being experienced (?:in|over)", "occurring"), ("(?:is|are) affecting", "occurring"), ("(?:MORE|LESS) LIKELY to develop over", "watch")]
-_OUTSIDE = r"(?![^()\[\]]*[)\]])"
 
 
 @F.pandas_udf(StringType())
@@ -114,53 +111,6 @@ def number(text: Column) -> Column:
     return F.when(F.trim(text).rlike(r"^-?\d+(\.\d+)?$"), F.trim(text).try_cast("double"))
 
 
-def top_split(text: Column) -> Column:
-    """Parts between commas, semicolons and ``and`` outside brackets (which do not nest); ``and`` counts only before ``the`` or a capital."""
-    parts = F.split(text, rf"[,;]{_OUTSIDE}|\s+and\s+(?=the\s|[A-Z]){_OUTSIDE}")
-    return F.filter(F.transform(parts, lambda x: F.regexp_replace(x, r"^[ .\n\t]+|[ .\n\t]+$", "")), lambda x: x != "")
-
-
-def inner_parts(area: Column) -> Column:
-    """What stands in an area's first parentheses, in parts; an area without is whole (empty array)."""
-    return F.filter(F.transform(F.split(F.regexp_extract(area, r"\(([^)]*)\)", 1), r",|\band\b"), lambda x: F.trim(x)), lambda x: x != "")
-
-
-def area_sentences(text: Column) -> Column:
-    """``status, likelihood, areas`` of each phrase that leads up to areas, paragraph by paragraph.
-
-    The areas end before a time (``within``, ``for the next``), ``which may`` or ``and may``, or with the paragraph, but
-    not at a full stop, which names hold. The likelihood (MORE or LESS) is that of a watch, else empty.
-    """
-    end = r"(?=\s+(?:within|which\s+may|and\s+may|for\s+the\s+next)\b|\.?\s*$)"
-    paragraphs = F.filter(F.transform(F.split(text, "\n"), lambda p: F.trim(F.regexp_replace(p, r"\s+", " "))), lambda p: p != "")
-
-    def found(p: Column, lead: str, status: str) -> Column:
-        whole = F.regexp_extract_all(p, F.lit(rf"(?i)({lead}\s+.+?){end}"), F.lit(1))
-        likelihood = lambda x: F.upper(F.regexp_extract(x, "(?i)^(MORE|LESS)", 1))
-        return F.transform(whole, lambda x: F.struct(F.lit(status).alias("status"), likelihood(x).alias("likelihood"), F.regexp_replace(x, rf"(?i)^{lead}\s+", "").alias("areas")))
-
-    return F.flatten(F.transform(paragraphs, lambda p: F.concat(*[found(p, lead.replace(" ", r"\s+"), status) for lead, status in LEADS])))
-
-
-def area_entries(areas: Column) -> Column:
-    """``name, whole, towns, unmatched`` of each area between commas and ``and`` outside parentheses.
-
-    An area without parentheses is whole. A piece that is no area keeps its text as ``unmatched``.
-    """
-    shape = r"(?i)^#?\s*(?:the\s+)?(?:portions?\s+of\s+|rest\s+of\s+)?([^()]+?)\s*(?:\((.*)\))?$"
-    pieces = F.filter(F.transform(F.split(areas, r"(?:,|\band\b)(?![^()]*\))"), lambda x: F.trim(x)), lambda x: x != "")
-
-    def entry(x: Column) -> Column:
-        inside = F.transform(F.split(F.regexp_extract(x, shape, 2), r",|\band\b"), lambda t: F.trim(t))
-        known = x.rlike(shape)
-        return F.struct(
-            F.when(known, F.regexp_extract(x, shape, 1)).alias("name"), (known & ~x.contains("(")).alias("whole"),
-            F.filter(inside, lambda t: t != "").alias("towns"), F.when(~known, x).alias("unmatched"),
-        )
-
-    return F.transform(pieces, entry)
-
-
 def rule_class(text: Column, rules: list[tuple[str, str]], otherwise: str) -> Column:
     """The class of the first pattern that the text holds."""
     chain = reduce(lambda c, r: c.when(text.rlike(r[0]), r[1]), rules[1:], F.when(text.rlike(rules[0][0]), rules[0][1]))

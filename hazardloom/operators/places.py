@@ -8,80 +8,233 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazardloom.functions.areas import register
 from hazardloom.functions.geo import haversine
 from hazardloom.functions.text import name_key
 
 NEAR_KM, RATIO = 120.0, 0.88
+STATUSES = ("watch", "expected", "occurring")
+
+
+def province_keys(gazetteer: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """``key, code, name`` of provinces. Names with a note in brackets do not count; of equal keys the last code does.
+
+    ``aliases`` (``alias, key``) fill in where no province has the alias itself as its key and one has the other.
+    """
+    own = gazetteer.where("level = 'Prov' and name not like '%(%'").groupBy("key").agg(F.max("code").alias("code"), F.max_by("name", "code").alias("name"))
+    if aliases is None:
+        return own
+    other = aliases.join(own.select("key", "code", "name"), "key").select(F.col("alias").alias("key"), "code", "name")
+    return own.unionByName(other.join(own.select("key"), "key", "left_anti"))
 
 
 def resolve(mentions: DataFrame, gazetteer: DataFrame, aliases: DataFrame | None = None, fuzzy: bool = True) -> DataFrame:
-    """``mention, code, how`` for each mention (``mention, name, province, region`` and optionally ``lat, lon``); code null where none fits.
+    """``mention, code, how`` for each mention (``mention, name, province, region``, the latter two hints that may be null); code null where none fits.
 
-    In this order: an alias of the province; the same key in the province; for a key that the province does not have,
-    a name so like it that no other of the province is; the nearest independent town of the same key and region within
-    ``NEAR_KM``; the only town of the same key and region; without any hint, the only town of that key. Sub-municipal
-    towns are only found in their province.
+    In this order: an alias of the province; for a key that no town has, the one name of the province that is like it;
+    the first town of the key in the province; the nearest one of the province's region, less than ``NEAR_KM`` from the
+    province; the first of the hinted region; without any hint, the only town of that key. First is that of the smallest
+    code. A province's region and place are those of its row (level ``Prov``) in the gazetteer, or the mentions bring
+    them along as ``home_region, lat, lon``.
     """
     m = mentions.withColumn("key", name_key(F.col("name")))
-    for c in ("lat", "lon"):
-        m = m if c in m.columns else m.withColumn(c, F.lit(None).cast("double"))
-    g = gazetteer.select("code", F.col("key"), F.col("level").alias("g_level"), F.col("province").alias("g_province"), F.col("region").alias("g_region"), F.col("lat").alias("g_lat"), F.col("lon").alias("g_lon"))
+    if "home_region" not in m.columns:
+        homes = gazetteer.where("level = 'Prov'").select(F.col("code").alias("province"), F.col("region").alias("home_region"), "lat", "lon")
+        m = m.join(homes, "province", "left")
+    g = gazetteer.where("level not in ('Prov', 'Reg')").select("code", F.col("key"), F.col("province").alias("g_province"), F.col("region").alias("g_region"), F.col("lat").alias("g_lat"), F.col("lon").alias("g_lon"))
     met = m.join(g, "key").withColumn("km", haversine(F.col("lat"), F.col("lon"), F.col("g_lat"), F.col("g_lon")))
-    whole, same_region = F.col("g_level") != "SubMun", F.col("g_region") == F.col("region")
+    near = (F.col("g_region") == F.col("home_region")) & (F.col("km") < NEAR_KM) & F.col("province").isNotNull()
     found = met.groupBy("mention").agg(
         F.min(F.when(F.col("g_province") == F.col("province"), F.col("code"))).alias("in_province"),
-        F.min_by("code", F.when(same_region & whole & (F.col("km") <= NEAR_KM), F.struct("km", "code"))).alias("near"),
-        F.count_if(same_region & whole).alias("n_region"),
-        F.min(F.when(same_region & whole, F.col("code"))).alias("in_region"),
-        F.count_if(whole).alias("n_all"),
-        F.min(F.when(whole, F.col("code"))).alias("anywhere"),
-        F.min_by("km", F.when(same_region & whole & (F.col("km") <= NEAR_KM), F.struct("km", "code"))).alias("km"),
+        F.min_by("code", F.when(near, F.struct("km", "code"))).alias("near"),
+        F.min(F.when(F.col("g_region") == F.col("region"), F.col("code"))).alias("in_region"),
+        F.count(F.lit(1)).alias("n"),
+        F.min("code").alias("anywhere"),
+        F.count_if(near).alias("n_near"),
     )
     out = m.join(found, "mention", "left")
     no_hint = F.col("province").isNull() & F.col("region").isNull()
     steps: list[tuple[Column, str]] = [
         (F.col("in_province"), "province"),
-        (F.when(F.col("km") <= NEAR_KM, F.col("near")), "near"),
-        (F.when(F.col("n_region") == 1, F.col("in_region")), "region"),
-        (F.when(no_hint & (F.col("n_all") == 1), F.col("anywhere")), "only"),
+        (F.when(F.col("n_near") > 0, F.col("near")), "near"),
+        (F.col("in_region"), "region"),
+        (F.when(no_hint & (F.col("n") == 1), F.col("anywhere")), "only"),
     ]
     if fuzzy:
-        like = _alike(out.where("in_province is null and n_all is null and province is not null").select("mention", "key", "province"), g)
-        out = out.join(like, "mention", "left")
-        steps.insert(1, (F.col("alike"), "alike"))
+        strange = out.where("n is null and province is not null").select("key", "province").distinct()
+        out = out.join(alike(strange, g.select(F.col("g_province").alias("province"), "key", "code")), ["province", "key"], "left")
+        steps.insert(0, (F.col("alike"), "alike"))
     if aliases is not None:
-        named = aliases.select(F.col("province"), name_key(F.col("written_as")).alias("key"), F.col("code").alias("alias"))
+        named = aliases.groupBy("province", name_key(F.col("written_as")).alias("key")).agg(F.max("code").alias("alias"))
         out = out.join(named, ["province", "key"], "left")
         steps.insert(0, (F.col("alias"), "alias"))
     how = F.coalesce(*[F.when(c.isNotNull(), F.lit(name)) for c, name in steps])
     return out.select("mention", F.coalesce(*[c for c, _ in steps]).alias("code"), how.alias("how"))
 
 
-def _alike(mentions: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """The one name of the province that is alike by difflib's ratio."""
+def _pairs(key: Column) -> Column:
+    """The neighbouring pairs of letters of a key, the k-th of equal ones marked with k, so that they are a set."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length(key) - 1), lambda i: F.substring(key, i, F.lit(2)))
+    marked = F.transform(pairs, lambda x, i: F.concat_ws(":", x, F.size(F.filter(F.slice(pairs, F.lit(1), i), lambda y: y == x))))
+    return F.when(F.length(key) > 1, marked).otherwise(F.array().cast("array<string>"))
+
+
+def _least_common(n: Column, m: Column) -> Column:
+    """How many pairs keys of these lengths share at least, if they are alike.
+
+    Of likeness r, M >= r (n + m) / 2 letters match, in order. A letter of one key without a match breaks two of its
+    pairs, one of the other key that stands between two matches breaks one: n - 1 - 2 (n - M) - (m - M) pairs stay.
+    """
+    return 3 * F.ceil(RATIO * (n + m) / 2 - 1e-9) - (n + m) - 1
+
+
+def alike(names: DataFrame, towns: DataFrame) -> DataFrame:
+    """``province, key, alike``: the last code of the one key of the province that is alike by difflib's ratio.
+
+    ``names`` has distinct ``province, key``, ``towns`` ``province, key, code``. Keys meet on pairs of letters: a name
+    looks up its rarest pairs, just so many that an alike town has one of them; what shares too few pairs is left out,
+    and the ratio decides about the rest.
+    """
 
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
+        return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    towns = gazetteer.select(F.col("g_province").alias("province"), F.col("key").alias("town_key"), "code")
-    close = mentions.join(towns, "province").where(ratio("key", "town_key") >= RATIO)
-    return close.groupBy("mention").agg(F.when(F.count_distinct("town_key") == 1, F.min("code")).alias("alike"))
+    known = towns.groupBy("province", "key").agg(F.max("code").alias("code")).withColumn("t_pairs", _pairs(F.col("key"))).withColumnRenamed("key", "town_key")
+    index = known.select("province", F.explode("t_pairs").alias("pair"), "town_key")
+    often = index.groupBy("province", "pair").agg(F.count(F.lit(1)).alias("times"))
+    asked = names.withColumn("pairs", _pairs(F.col("key")))
+    n = F.length("key")
+    shortest = F.ceil(n * RATIO / (2 - RATIO) - 1e-9)
+    # The same bound without rounding M up, which grows with the length of the town's key.
+    for_all = F.ceil((1.5 * RATIO - 1) * (n + shortest) - 1 - 1e-9)
+    probes = F.greatest(F.lit(1), F.size("pairs") - F.greatest(F.lit(1), for_all) + 1)
+    each = asked.select("province", "key", probes.alias("probes"), F.explode("pairs").alias("pair")).join(often, ["province", "pair"], "left")
+    # Pairs that no town has come first, as the rarest: they are probed in vain, as the bound says.
+    rare = each.groupBy("province", "key").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "pair"))), F.lit(1), F.max("probes").cast("int")).alias("rare"))
+    met = rare.select("province", "key", F.explode("rare.pair").alias("pair")).join(index, ["province", "pair"]).select("province", "key", "town_key").distinct()
+    met = met.join(known, ["province", "town_key"]).withColumn("shared", F.size(F.array_intersect(_pairs(F.col("key")), "t_pairs")))
+    close = met.where(F.col("shared") >= _least_common(n, F.length("town_key"))).where(ratio("town_key", "key") >= RATIO)
+    return close.groupBy("province", "key").agg(F.when(F.count(F.lit(1)) == 1, F.max("code")).alias("alike"))
 
 
 def quake_location(location: Column) -> dict[str, Column]:
-    """Distance, bearing, town and groups in parentheses of ``010 km N 33° E of Town (Alias) (Province)``.
+    """Distance, bearing, town and groups in brackets of ``010 km N 33\u00b0 E of Town (Alias) (Province)``.
 
-    The bearing is free text, the distance may hold spaces, and text that does not begin so is a town as a whole. The
-    last group is the province's, earlier ones are other names of the town.
+    The bearing is free text, the distance may hold spaces, and text that does not begin so is a town as a whole.
+    ``groups`` are all texts in brackets.
     """
-    shape = r"(?is)^\s*(\d[\d ]*?)\s*k?m\s+(.*?)\s+of\s+(.*\S)"
-    rest = F.coalesce(F.nullif(F.regexp_extract(location, shape, 3), F.lit("")), location)
+    of = F.split(F.regexp_replace(location, r"(?i)\s+of\s+", "\x1e"), "\x1e", 2)
+    digits = F.regexp_extract(location, r"^\s*(\d[\d ]*)", 1)
+    after = F.ltrim(F.substring(of[0], F.length(F.regexp_extract(location, r"^\s*\d[\d ]*", 0)) + 1, F.length(location)))
+    unit = F.regexp_extract(after, r"(?i)^(k?m)(?:\s|$)", 1)
+    measured = (digits != "") & (unit != "") & (F.size(of) == 2)
+    rest = F.when(measured, F.regexp_replace(F.substring(location, F.length(of[0]) + 1, F.length(location)), r"(?i)^\s+of\s+", "")).otherwise(location)
     groups = F.regexp_extract_all(rest, F.lit(r"\(([^()]*)\)"), F.lit(1))
-    town = F.regexp_replace(F.regexp_replace(rest, r"\([^()]*\)", ""), r"^[ ,]+|[ ,]+$", "")
-    km = F.replace(F.regexp_extract(location, shape, 1), F.lit(" "), F.lit("")).try_cast("int")
-    bearing = F.nullif(F.trim(F.regexp_replace(F.regexp_extract(location, shape, 2), r"\s+", " ")), F.lit(""))
-    return {"km": km, "bearing": bearing, "town": F.nullif(town, F.lit("")), "groups": groups, "province": F.get(F.reverse(groups), 0)}
+    town = F.regexp_replace(F.regexp_replace(rest, r"\([^()]*\)", ""), r"^[\s,]+|[\s,]+$", "")
+    km = F.when(measured, F.replace(digits, F.lit(" "), F.lit("")).try_cast("int"))
+    bearing = F.when(measured, F.trim(F.regexp_replace(F.substring(after, F.length(unit) + 1, F.length(after)), r"\s+", " ")))
+    return {"km": km, "bearing": F.nullif(bearing, F.lit("")), "town": F.nullif(town, F.lit("")), "groups": groups, "province": F.get(F.reverse(groups), 0)}
+
+
+def event_towns(events: DataFrame, id_col: str, location_col: str, gazetteer: DataFrame, provinces: DataFrame | None = None, aliases: DataFrame | None = None, fuzzy: bool = True) -> DataFrame:
+    """``id, km, bearing, raw_town, province_code, city_code`` of each event's location.
+
+    The province is the last group in brackets that is one (of ``provinces``: ``key, code``); the town is the first of the
+    name before the brackets and the groups, as alternative names, that ``resolve`` finds with that province.
+    """
+    provinces = province_keys(gazetteer) if provinces is None else provinces
+    read = events.select(F.col(id_col).alias("id"), *[c.alias(n) for n, c in quake_location(F.col(location_col)).items() if n != "province"])
+    # A group that repeats in very many events is asked for once.
+    groups = read.select("id", F.posexplode("groups").alias("at", "group")).withColumn("key", name_key(F.col("group")))
+    last = groups.join(provinces.select("key", "code"), "key").groupBy("id").agg(F.max_by("code", "at").alias("province_code"))
+    read = read.join(last, "id", "left")
+    others = F.transform("groups", lambda g: F.regexp_replace(g, r"(?i)^municipality of\s+", ""))
+    names = read.select("id", "province_code", F.posexplode(F.concat(F.array(F.coalesce("town", F.lit(""))), others)).alias("at", "name"))
+    asks = names.select("name", F.col("province_code").alias("province")).distinct().select(F.struct("name", "province").alias("mention"), "name", "province", F.lit(None).cast(gazetteer.schema["region"].dataType).alias("region"))
+    known = resolve(asks, gazetteer, aliases, fuzzy).where("code is not null").select(F.col("mention.name").alias("name"), F.col("mention.province").alias("p"), "code")
+    hit = names.join(known, (names["name"] == known["name"]) & names["province_code"].eqNullSafe(known["p"])).groupBy("id").agg(F.min_by("code", "at").alias("city_code"))
+    return read.join(hit, "id", "left").select(F.col("id").alias(id_col), "km", "bearing", F.col("town").alias("raw_town"), "province_code", "city_code")
+
+
+def outlook_places(names: DataFrame, gazetteer: DataFrame, provinces: DataFrame, regions: DataFrame, capital: str) -> DataFrame:
+    """``name, code`` for distinct ``name`` of an outlook; code null where none fits.
+
+    A name may carry its region behind a comma. The capital region (the code ``capital`` of ``regions``: ``key, code``) is
+    its own code; names with ``City`` at the end or ``City of`` in front are towns, so that a city does not become the
+    province that it is called like; other names are provinces, or towns without that word.
+    """
+    head, tail = F.trim(F.substring_index("name", ",", 1)), F.regexp_extract("name", ",(.*)", 1)
+    n = names.select("name", head.alias("head"), name_key(head).alias("key"), name_key(tail).alias("t_key"))
+    n = n.join(regions.select(F.col("key").alias("t_key"), F.col("code").alias("region")), "t_key", "left")
+    n = n.join(regions.where(F.col("code") == capital).select("key", F.col("code").alias("whole")), "key", "left")
+    n = n.join(provinces.select("key", F.col("code").alias("p_code")), "key", "left")
+    city = F.lower("head").endswith(" city") | F.lower("head").startswith("city of ")
+    n = n.withColumn("as_town", F.col("whole").isNull() & (city | F.col("p_code").isNull()))
+    asks = n.where("as_town").select(F.col("name").alias("mention"), F.col("head").alias("name"), F.lit(None).cast(gazetteer.schema["province"].dataType).alias("province"), "region")
+    found = resolve(asks, gazetteer, fuzzy=False).select(F.col("mention").alias("name"), "code")
+    return n.join(found, "name", "left").select("name", F.when(F.col("whole").isNotNull(), F.col("whole")).when(F.col("as_town"), F.col("code")).otherwise(F.col("p_code")).alias("code"))
+
+
+def advisory_areas(texts: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame, provinces: DataFrame, regions: DataFrame, aliases: DataFrame | None = None, fuzzy: bool = True) -> DataFrame:
+    """``id, sentence, entry, status, likelihood, kind, place, town, code`` of the areas that advisories name.
+
+    ``kind`` is province or region for a whole one (``place`` its code), town for a named one (``town``, ``code`` where
+    it was found), and unmatched for text that is no area. A name that is neither province nor region (``regions``:
+    ``key, code``) is looked for as a town.
+    """
+    rows = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = register(texts.sparkSession).sql("select t.id, s.* from {rows} t, lateral parse_areas(t.text) s", rows=rows).withColumn("key", name_key(F.col("name")))
+    found = found.join(provinces.select("key", F.col("code").alias("province")), "key", "left").join(regions.select("key", F.col("code").alias("region")), "key", "left")
+    found = found.withColumn("region", F.when(F.col("province").isNull(), F.col("region")))
+    known = F.col("province").isNotNull() | F.col("region").isNotNull()
+    at = ["id", "sentence", "entry", "status", "likelihood"]
+    nothing = F.lit(None).cast(gazetteer.schema["code"].dataType)
+    whole = found.where(known & F.col("whole")).select(*at, F.when(F.col("province").isNotNull(), "province").otherwise("region").alias("kind"), F.coalesce("province", "region").alias("place"), F.lit(None).cast("string").alias("town"), nothing.alias("code"))
+    lost = found.where("unmatched is not null").select(*at, F.lit("unmatched").alias("kind"), nothing.alias("place"), F.col("unmatched").alias("town"), nothing.alias("code"))
+    names = F.when(known, F.col("towns")).otherwise(F.array("name"))
+    named = found.where(F.col("unmatched").isNull() & (~known | ~F.col("whole"))).select(*at, "province", "region", F.explode(names).alias("town"))
+    asks = named.select("town", "province", "region").distinct()
+    asks = asks.select(F.struct("town", "province", "region").alias("mention"), F.col("town").alias("name"), "province", "region")
+    codes = resolve(asks, gazetteer, aliases, fuzzy).select("mention.*", "code").withColumnsRenamed({"town": "t", "province": "p", "region": "r"})
+    met = named.join(codes, (F.col("town") == F.col("t")) & F.col("province").eqNullSafe(F.col("p")) & F.col("region").eqNullSafe(F.col("r")), "left")
+    towns = met.select(*at, F.lit("town").alias("kind"), F.coalesce("province", "region").alias("place"), "town", "code")
+    return whole.unionByName(towns).unionByName(lost).withColumnRenamed("id", id_col)
+
+
+def advisory_towns(areas: DataFrame, id_col: str, gazetteer: DataFrame) -> DataFrame:
+    """``id, code, status``: the towns of each advisory of ``advisory_areas``, whole provinces and regions expanded, with their strongest status."""
+    whole = expand_areas(areas.where("kind in ('province', 'region')").select(F.col(id_col).alias("area"), "kind", "place", "status"), gazetteer)
+    named = areas.where("kind = 'town' and code is not null").select(F.col(id_col).alias("area"), "code", "status")
+    both = whole.select("area", "code", "status").unionByName(named)
+    return both.groupBy(F.col("area").alias(id_col), "code").agg(F.max_by("status", _rank()).alias("status"))
+
+
+def advisory_summary(advisories: DataFrame, towns: DataFrame, id_col: str, gazetteer: DataFrame) -> DataFrame:
+    """The advisories with ``status`` (the strongest), ``n_towns``, ``towns``, ``provinces`` and both as JSON text.
+
+    ``towns`` is an array of ``lat, lon, code, status`` in order of codes, coordinates to three decimals (null where the
+    gazetteer has none); ``provinces`` a map from a province's code to how many of its towns are named. An advisory
+    without towns has empty ones. The array of one advisory holds at most the gazetteer.
+    """
+    places = gazetteer.where("level not in ('Prov', 'Reg')").groupBy("code").agg(F.first(F.struct(F.round("lat", 3).alias("lat"), F.round("lon", 3).alias("lon"), "province")).alias("g"))
+    met = towns.join(places, "code", "left")
+    item = F.struct(F.col("code"), F.col("g.lat").alias("lat"), F.col("g.lon").alias("lon"), "status")
+    per = met.groupBy(id_col, F.col("g.province").alias("province")).agg(F.count(F.lit(1)).alias("n"), F.collect_list(item).alias("items"), F.max(_rank()).alias("rank"))
+    entry = F.when(F.col("province").isNotNull(), F.struct("province", "n"))
+    nested = per.groupBy(id_col).agg(F.max("rank").alias("rank"), F.sum("n").alias("n"), F.array_sort(F.flatten(F.collect_list("items"))).alias("items"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("provinces"))
+    out = advisories.join(nested, id_col, "left")
+    number = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    quoted = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+    rows = F.transform("towns", lambda t: F.concat(F.lit("["), F.concat_ws(",", number(t["lat"]), number(t["lon"]), quoted(t["code"]), quoted(F.substring(t["status"], 1, 1))), F.lit("]")))
+    listed = F.transform(F.map_entries("provinces"), lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"].cast("string")))
+    out = out.withColumns({"towns": F.transform("items", lambda t: F.struct(t["lat"].alias("lat"), t["lon"].alias("lon"), t["code"].alias("code"), t["status"].alias("status"))), "status": F.element_at(F.array(*[F.lit(s) for s in STATUSES]), F.col("rank") + 1), "n_towns": F.coalesce("n", F.lit(0))})
+    text = {"towns_json": F.concat(F.lit("["), F.coalesce(F.array_join(rows, ","), F.lit("")), F.lit("]")), "provinces_json": F.concat(F.lit("{"), F.coalesce(F.array_join(listed, ","), F.lit("")), F.lit("}"))}
+    return out.withColumns(text).drop("rank", "n", "items")
+
+
+def _rank() -> Column:
+    return F.create_map(*[F.lit(x) for i, s in enumerate(STATUSES) for x in (s, i)])[F.col("status")]
 
 
 def expand_areas(areas: DataFrame, gazetteer: DataFrame) -> DataFrame:
@@ -89,11 +242,10 @@ def expand_areas(areas: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
     ``areas`` has ``area, kind, place, status``; status is one of watch, expected, occurring.
     """
-    g = gazetteer.select("code", "level", "province", "region")
+    g = gazetteer.where("level not in ('Prov', 'Reg')").select("code", "level", "province", "region")
     provinces = areas.where("kind = 'province'").join(g, F.col("place") == F.col("province"))
     regions = areas.where("kind = 'region'").join(g.where("level != 'SubMun'"), F.col("place") == F.col("region"))
-    rank = F.create_map(*[F.lit(x) for i, s in enumerate(("watch", "expected", "occurring")) for x in (s, i)])
-    return provinces.unionByName(regions).groupBy("area", "code").agg(F.max_by("status", rank[F.col("status")]).alias("status"))
+    return provinces.unionByName(regions).groupBy("area", "code").agg(F.max_by("status", _rank()).alias("status"))
 
 
 def town_signals(signals: DataFrame, gazetteer: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from hazardloom.functions import bulletins as B
 from hazardloom.functions.geo import haversine
+from hazardloom.functions.text import name_key
 from hazardloom.operators import places as P
 from hazardloom.queries import query
-from hazardloom.sources.gazetteer import of_suppliers
+from hazardloom.sources.gazetteer import of_suppliers, of_tables
 from hazardloom.sources.tables import spot, table
 
 _G = """g as (select s_suppkey as code, 'Town ' || (s_suppkey % 40) as name, case when s_suppkey % 9 = 0 then 'SubMun' else 'City' end as level, s_nationkey as province, n_regionkey as region,
@@ -15,29 +17,161 @@ m as (select c_custkey as mention, 'Town ' || (c_custkey % 45) as name, case whe
 _KM = """2 * 6371.0 * asin(sqrt(pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2)))"""
 
 
+_TOWNS = _G.split("m as (")[0].rstrip(", \n")
+# What the place rules find for asks(name, province, region): in the province, near it, in the region, or alone.
+_FOUND = f"""p as (select n_nationkey as pk, n_name, n_regionkey as pr, (n_nationkey * 7919 % 14000) / 1000.0::double + 5 as lat, (n_nationkey * 104729 % 9000) / 1000.0::double + 117 as lon from nation),
+hits as (select a.name, a.province, a.region, g.code, g.province as gp, g.region as gr, p.pr, {_KM.format(a="p", b="g")} as km
+  from (select distinct name, province, region from asks) a join g on g.name = a.name left join p on p.pk = a.province),
+found as (select name, province, region, coalesce(min(code) filter (gp = province), min_by(code, (km, code)) filter (gr = pr and km < 120), min(code) filter (gr = region),
+  case when province is null and region is null and count(*) = 1 then min(code) end) as code from hits group by name, province, region)"""
+
+
 def _mentions(spark, d):
     c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
     k = F.col("c_custkey")
-    m = c.select(k.alias("mention"), F.concat(F.lit("Town "), (k % 45).cast("string")).alias("name"), F.when(k % 3 != 0, F.col("c_nationkey")).alias("province"), F.when(k % 4 != 0, F.col("n_regionkey")).alias("region"))
+    m = c.select(k.alias("mention"), F.concat(F.lit("Town "), (k % 45).cast("string")).alias("name"), F.when(k % 3 != 0, F.col("c_nationkey")).alias("province"), F.when(k % 4 != 0, F.col("n_regionkey")).alias("region"), F.col("n_regionkey").alias("home_region"))
     return spot(m, "mention")
 
 
-@query(f"""with {_G}, x as (select m.mention, m.province, m.region, g.code, g.level, g.province as gp, g.region as gr, {_KM.format(a="m", b="g")} as km from m left join g on m.name = g.name),
-f as (select mention, any_value(province) as province, any_value(region) as region, min(case when gp = province then code end) as a,
-  min_by(code, km) filter (gr = region and level != 'SubMun' and km <= 120) as b, count(*) filter (gr = region and level != 'SubMun') as nr, min(code) filter (gr = region and level != 'SubMun') as c,
-  count(*) filter (level != 'SubMun') as na, min(code) filter (level != 'SubMun') as d from x group by mention)
-select mention, coalesce(a, b, case when nr = 1 then c end, case when province is null and region is null and na = 1 then d end) as code,
-  case when a is not null then 'province' when b is not null then 'near' when nr = 1 then 'region' when province is null and region is null and na = 1 then 'only' end as how from f""")
+@query(f"""with {_G}, x as (select m.mention, m.province, m.region, c.n_regionkey as home, g.code, g.province as gp, g.region as gr, {_KM.format(a="m", b="g")} as km
+  from m join (select c_custkey, n_regionkey from customer join nation on n_nationkey = c_nationkey) c on c_custkey = mention left join g on m.name = g.name),
+f as (select mention, any_value(province) as province, any_value(region) as region, min(code) filter (gp = province) as a,
+  min_by(code, (km, code)) filter (province is not null and gr = home and km < 120) as b, min(code) filter (gr = region) as c, count(code) as na, min(code) as d from x group by mention)
+select mention, coalesce(a, b, c, case when province is null and region is null and na = 1 then d end) as code,
+  case when a is not null then 'province' when b is not null then 'near' when c is not null then 'region' when province is null and region is null and na = 1 then 'only' end as how from f""")
 def resolve_places(spark, d):
     return P.resolve(_mentions(spark, d), of_suppliers(spark, d), fuzzy=False)
 
 
-@query()
+@query("""with g as (select s_suppkey as code, s_suppkey % 40 as k, s_nationkey as province from supplier)
+select c_custkey as mention, max(code) as code, case when max(code) is not null then 'alike' end as how from customer left join g on province = c_nationkey and k = c_custkey % 40 group by c_custkey""")
 def resolve_places_fuzzy(spark, d):
-    """Misspelt names, found by likeness within their province (difflib's ratio has no SQL twin)."""
+    """Misspelt names, found by likeness within their province: of ``Townn 7`` the ratio reaches ``RATIO`` for ``Town 7`` alone."""
     k = F.col("c_custkey")
     c = table(spark, d, "customer").select(k.alias("mention"), F.concat(F.lit("Townn "), (k % 40).cast("string")).alias("name"), F.col("c_nationkey").alias("province"), F.lit(None).cast("int").alias("region"))
-    return P.resolve(c, of_suppliers(spark, d))
+    return P.resolve(c, of_tables(spark, d))
+
+
+@query(f"""with {_TOWNS},
+e as (select event_id as id, event_id % 6 as v, user_id as u, 'Town ' || (user_id % 45) as t, 'Town ' || (event_id % 40) as o, n_name, n_nationkey as nk from events join nation on n_nationkey = user_id % 25),
+names as (select id, v, case when v = 5 then null else nk end as province, unnest(case v when 5 then ['Open sea'] when 4 then [t, n_name, 'Old ' || u] when 3 then [t, 'Old ' || u, n_name] when 2 then [t, o, n_name] else [t, n_name] end) as name,
+  unnest([0, 1, 2][:case when v = 5 then 1 when v < 2 then 2 else 3 end]) as pos from e),
+asks as (select name, province, null::bigint as region from names), {_FOUND},
+best as (select id, min_by(code, pos) as code from names n join found f on f.name = n.name and f.province is not distinct from n.province where code is not null group by id)
+select e.id as event_id, case when v = 5 then null else (e.id % 90)::int end as km, case when v != 5 then 'N 33 E' end as bearing, case when v = 5 then 'Open sea' else t end as raw_town,
+  case when v != 5 then nk end as province_code, code as city_code from e left join best using (id)""")
+def quake_towns(spark, d):
+    """Events to towns: the last group in brackets that is a province, and the first name that its rules find."""
+    k, u = F.col("event_id"), F.col("user_id")
+    s = lambda c: c.cast("string")
+    e = table(spark, d, "events").join(table(spark, d, "nation"), F.col("n_nationkey") == u % 25)
+    nation, old = F.concat(F.lit(" ("), "n_name", F.lit(")")), F.concat(F.lit(" (Old "), s(u), F.lit(")"))
+    other = F.concat(F.lit(" (Municipality of Town "), s(k % 40), F.lit(")"))
+    groups = F.when(k % 6 == 4, F.concat(nation, old)).when(k % 6 == 3, F.concat(old, nation)).when(k % 6 == 2, F.concat(other, nation)).otherwise(nation)
+    text = F.concat(F.lpad(s(k % 90), 3, "0"), F.when(k % 6 == 1, " m N  33 E of Town ").otherwise(" km N 33 E of Town "), s(u % 45), groups)
+    events = e.select("event_id", F.when(k % 6 == 5, "Open sea").otherwise(text).alias("location"))
+    return P.event_towns(events, "event_id", "location", of_tables(spark, d), fuzzy=False)
+
+
+def _capital(spark, d):
+    """Regions by their names, and a capital region that no town lies in."""
+    r = table(spark, d, "region").select(name_key(F.col("r_name")).alias("key"), F.col("r_regionkey").alias("code"))
+    return r.unionByName(spark.createDataFrame([("metromanila", 1300)], "key string, code long").select("key", F.col("code").cast(r.schema["code"].dataType)))
+
+
+_ADVISORY = f"""with {_TOWNS},
+c as (select c_custkey as k, c_nationkey as nk, n_name, r_name, n_regionkey as rk, (c_custkey * 3) % 25 as n2 from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey),
+parts as (select k, 'expected' as status, 'town' as kind, 'Town ' || (k % 40) as town, nk as province, null::int as region from c union all select k, 'expected', 'town', 'Faraway ' || k, nk, null from c
+  union all select k, 'expected', 'region', null, null, rk from c where k % 7 = 0 union all select k, 'expected', 'town', 'Town ' || (k % 11), null, rk from c where k % 7 != 0
+  union all select k, 'occurring', 'province', null, n2, null from c union all select k, 'watch', 'town', 'Town ' || (k % 43), null, null from c where k % 43 < 40
+  union all select k, 'watch', 'town', 'Faraway ' || k, null, null from c where k % 43 >= 40 union all select k, 'watch', 'town', 'Town ' || (k % 40), nk, null from c),
+asks as (select town as name, province, region from parts where kind = 'town'), {_FOUND},
+towns as (select k, status, f.code from parts x join found f on f.name = x.town and f.province is not distinct from x.province and f.region is not distinct from x.region where kind = 'town' and f.code is not null
+  union all select k, status, g.code from parts x join g on (kind = 'province' and g.province = x.province) or (kind = 'region' and g.region = x.region and g.level != 'SubMun')),
+best as (select k, code, max(list_position(['watch', 'expected', 'occurring'], status)) as rank from towns group by k, code)"""
+
+
+def _advisory_areas(spark, d):
+    c, n, r = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "region")
+    k, s = F.col("c_custkey"), lambda c: c.cast("string")
+    other = n.select(F.col("n_nationkey").alias("o"), F.col("n_name").alias("other"))
+    rows = c.join(n, F.col("n_nationkey") == F.col("c_nationkey")).join(r, F.col("r_regionkey") == F.col("n_regionkey")).join(other, F.col("o") == k * 3 % 25)
+    region = F.when(k % 7 == 0, F.col("r_name")).otherwise(F.concat("r_name", F.lit(" (Town "), s(k % 11), F.lit(")")))
+    alone = F.when(k % 43 < 40, F.concat(F.lit("Town "), s(k % 43))).otherwise(F.concat(F.lit("Faraway "), s(k)))
+    text = F.concat(
+        F.lit("Moderate rain is expected over #"), "n_name", F.lit("(Town "), s(k % 40), F.lit(", and Faraway "), s(k), F.lit(") and "), region, F.lit(" within 2 hours which may persist.\nFlooding is affecting "), "other",
+        F.lit(".\nThunderstorms are LESS LIKELY to develop over "), alone, F.lit(", the rest of "), "n_name", F.lit(" (Town "), s(k % 40), F.lit(") for the next day."),
+    )
+    gazetteer = of_tables(spark, d)
+    return P.advisory_areas(rows.select(k.alias("k"), text.alias("text")), "k", "text", gazetteer, P.province_keys(gazetteer), _capital(spark, d), fuzzy=False), gazetteer
+
+
+@query(_ADVISORY + " select k, code, ['watch', 'expected', 'occurring'][rank] as status from best")
+def advisory_towns(spark, d):
+    """The towns that advisories name or mean, with their strongest status."""
+    areas, gazetteer = _advisory_areas(spark, d)
+    return P.advisory_towns(areas, "k", gazetteer)
+
+
+@query(_ADVISORY + """, items as (select k, best.code, rank, g.province as gp, '[' || round(lat, 3)::double || ',' || round(lon, 3)::double || ',"' || best.code || '","' || ['w', 'e', 'o'][rank] || '"]' as item from best join g on g.code = best.code),
+counts as (select k, gp, count(*) as n from items group by k, gp),
+ps as (select k, string_agg('"' || gp || '":' || n, ',' order by gp) as provinces from counts group by k)
+select c.k, ['watch', 'expected', 'occurring'][max(rank)] as status, count(code) as n_towns, '[' || coalesce(string_agg(item, ',' order by code), '') || ']' as towns_json, '{' || coalesce(any_value(provinces), '') || '}' as provinces_json,
+  (any_value(list_extract(['watch', 'expected', 'occurring'], rank) order by code)) as first_status, min(code)::varchar as first_code from c left join items using (k) left join ps using (k) group by c.k""")
+def advisory_summary(spark, d):
+    """One nested row per advisory: its towns with coordinates as an array, its provinces as a map, both as JSON, of which a path is read again as VARIANT."""
+    areas, gazetteer = _advisory_areas(spark, d)
+    advisories = table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
+    out = P.advisory_summary(advisories, P.advisory_towns(areas, "k", gazetteer), "k", gazetteer)
+    first = F.try_variant_get(F.parse_json("towns_json"), "$[0][2]", "string")
+    return out.select("k", "status", "n_towns", "towns_json", "provinces_json", F.get("towns", 0)["status"].alias("first_status"), first.alias("first_code"))
+
+
+@query(f"""with {_TOWNS}, s as (select s_suppkey as k, s_suppkey % 6 as v, 'Town ' || (s_suppkey * 3 % 40) as t, n_nationkey as nk, n_name, n_regionkey as rk, r_name from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey),
+asks as (select t as name, null::int as province, case when v in (3, 4) then rk end as region from s where v in (2, 3, 4)), {_FOUND}
+select distinct case v when 0 then 'Metro Manila' when 1 then n_name || ', ' || r_name when 2 then t when 3 then t || ' City, ' || r_name when 4 then 'City of ' || t || ', ' || r_name else n_name || ' City' end as name,
+  case v when 0 then 1300 when 1 then nk when 5 then null else f.code end as code
+from s left join found f on f.name = t and f.province is null and f.region is not distinct from case when v in (3, 4) then rk end and v in (2, 3, 4)""")
+def outlook_places(spark, d):
+    """Names of outlooks to codes: the capital region, cities that are called like provinces, provinces, and towns with a region behind a comma."""
+    s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).join(table(spark, d, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    k = F.col("s_suppkey")
+    town, region = F.concat(F.lit("Town "), (k * 3 % 40).cast("string")), F.concat(F.lit(", "), F.col("r_name"))
+    name = F.when(k % 6 == 0, "Metro Manila").when(k % 6 == 1, F.concat("n_name", region)).when(k % 6 == 2, town).when(k % 6 == 3, F.concat(town, F.lit(" City"), region)).when(k % 6 == 4, F.concat(F.lit("City of "), town, region)).otherwise(F.concat("n_name", F.lit(" City")))
+    gazetteer = of_tables(spark, d)
+    return P.outlook_places(s.select(name.alias("name")).distinct(), gazetteer, P.province_keys(gazetteer), _capital(spark, d), 1300)
+
+
+@query(f"""with {_TOWNS},
+c as (select c_custkey as k, c_nationkey as nk, n_name, (c_custkey * 3) % 25 as n2, 'Town ' || (c_custkey % 40) as a, 'Town ' || (c_custkey * 7 % 40) as b from customer join nation on n_nationkey = c_nationkey),
+parts as (select k, 3 as signal, 0 as pos, 'The northern portion of mainland ' || n_name as area, 'portion' as kind, nk as province, null as behind from c
+  union all select k, 3, 1, a, 'city', nk, n_name from c union all select k, 3, 2, 'Faraway ' || k, 'city', nk, n_name from c union all select k, 3, 3, b, 'city', nk, n_name from c
+  union all select k, 3, 4, 'Metro Manila', 'province', 1300, null from c union all select k, 3, 5, 'Isla Verde', 'portion', 6, null from c
+  union all select k, 1, 6, 'the rest of ' || n_name, 'portion', nk, null from c union all select k, 1, 7, o.n_name, 'province', n2, null from c join nation o on o.n_nationkey = n2
+  union all select k, 1, 8, a, 'city', n2, o.n_name from c join nation o on o.n_nationkey = n2 union all select k, 1, 9, b, 'alone', null, null from c union all select k, 1, 10, 'Nowhere ' || k || ' (' || a || ')', 'unknown', null, null from c),
+asks as (select area as name, province, null::int as region from parts where kind in ('city', 'alone')), {_FOUND},
+met as (select x.*, f.code, g.province as cp from parts x left join found f on f.name = x.area and f.province is not distinct from x.province and kind in ('city', 'alone') left join g on g.code = f.code),
+r as (select *, row_number() over (partition by k, signal, area order by pos) as time from met),
+n as (select * replace (case when time > 1 and behind is not null then area || ', ' || behind else area end as area) from r),
+o as (select *, row_number() over (partition by k, signal, area order by pos) as again from n)
+select k, signal, area, case kind when 'alone' then case when code is null then 'portion' else 'city' end when 'unknown' then 'portion' else kind end as kind,
+  case when code is not null then cp else province end as province_code, code as city_code from o where again = 1""")
+def signal_codes(spark, d):
+    """Wind signals of each customer's bulletin with codes of provinces and towns."""
+    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    k, s = F.col("c_custkey"), lambda c: c.cast("string")
+    other = n.select(F.col("n_nationkey").alias("o"), F.col("n_name").alias("other"))
+    rows = c.join(n, F.col("n_nationkey") == F.col("c_nationkey")).join(other, F.col("o") == k * 3 % 25)
+    a, b = F.concat(F.lit("Town "), s(k % 40)), F.concat(F.lit("Town "), s(k * 7 % 40))
+    text = F.concat(
+        F.lit("Wind Signal No. 3\nLuzon: The northern portion of mainland "), "n_name", F.lit(" ("), a, F.lit(", Faraway "), s(k), F.lit(" and "), b, F.lit("), Metro Manila, Isla Verde\nWind threat: gales over Elsewhere\nTCWS #1\nVISAYAS\nthe rest of "), "n_name",
+        F.lit(" and "), "other", F.lit(" ("), a, F.lit(")\n; "), b, F.lit(", Nowhere "), s(k), F.lit(" ("), a, F.lit(")\nBeaufort 6"),
+    )
+    areas = B.signal_areas(rows.select(k.alias("k"), text.alias("text")), "k", "text")
+    gazetteer = of_tables(spark, d)
+    regions = spark.createDataFrame([("Metro Manila", 1300)], "name string, code int")
+    islands = n.where("n_nationkey = 6").select(F.lit("Isla Verde").alias("name"), F.col("n_name").alias("province"))
+    return B.coded_signals(areas, "k", gazetteer, regions, islands)
 
 
 @query(f"""with {_G} select m.mention, min(round({_KM.format(a="m", b="g")}, 4))::double as km, min_by(g.code, ({_KM.format(a="m", b="g")}, g.code)) as code from m join g on m.name = g.name group by m.mention""")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from hazardloom.functions import dates as D
 from hazardloom.functions import text as T
+from hazardloom.functions.areas import register
 from hazardloom.functions.bulletins import signal_areas as signal_rows
 from hazardloom.queries import query
 from hazardloom.sources.pages import basin_status
@@ -135,35 +136,43 @@ def json_fields(spark, d):
     return table(spark, d, "events").select("event_id", "user_id", p.alias("p")).select("event_id", "user_id", "p.k", F.col("p.none").isNull().alias("absent"))
 
 
-@query("""with s as (select r_regionkey, n_nationkey, r_name, n_name from region join nation on n_regionkey = r_regionkey)
-select n_nationkey, unnest([r_name || ' (' || n_name || ', X and Y)', n_name, 'The northern and central portions of ' || n_name, 'the rest of ' || r_name]) as part, unnest([3, 0, 0, 0]) as towns from s""")
+def _homes(spark, d):
+    """Customers with the names of their nation and region."""
+    c, n, r = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "region")
+    return c.join(n, F.col("n_nationkey") == F.col("c_nationkey")).join(r, F.col("r_regionkey") == F.col("n_regionkey")).select("c_custkey", "n_name", "n_regionkey", "r_name")
+
+
+_HOMES = "homes as (select c_custkey, n_name, n_regionkey, r_name from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey)"
+
+
+@query(f"""with {_HOMES}
+select c_custkey, unnest([r_name || ' (' || n_name || ', X and Y)', n_name, 'The northern and central portions of ' || n_name, 'the rest of ' || r_name]) as part, unnest([3, 0, 0, 0]) as towns from homes""")
 def top_split(spark, d):
-    """A sentence of areas, split outside parentheses, with the number of towns inside; ``and`` between directions splits nothing."""
-    s = table(spark, d, "region").join(table(spark, d, "nation"), F.col("n_regionkey") == F.col("r_regionkey"))
+    """A list of areas, split outside brackets by a table function, with the number of towns inside; ``and`` between directions splits nothing."""
     text = F.concat("r_name", F.lit(" ("), "n_name", F.lit(", X and Y), "), "n_name", F.lit(" and The northern and central portions of "), "n_name", F.lit(" and the rest of "), "r_name", F.lit("."))
-    parts = s.select("n_nationkey", F.explode(T.top_split(text)).alias("part"))
-    return parts.select("n_nationkey", "part", F.size(T.inner_parts(F.col("part"))).alias("towns"))
+    rows = _homes(spark, d).select("c_custkey", text.alias("text"))
+    return register(spark).sql("select r.c_custkey, s.part, size(s.towns) as towns from {rows} r, lateral split_areas(r.text) s", rows=rows)
 
 
 def _advisories(spark, d):
     """Sentences with a full stop inside a name, each lead, and one that leads up to nothing."""
     name = F.col("n_name")
-    text = F.concat(F.lit("Moderate rain is expected over "), name, F.lit(" (Gen. Mariano Alvarez, Silang) and R"), F.col("n_regionkey").cast("string"), F.lit(" within 2 hours which may persist.\n\nFlooding is being experienced in X"), F.col("n_nationkey").cast("string"), F.lit(".\nThunderstorms are MORE LIKELY to develop over the rest of "), name, F.lit(" for the next day.\nRain prevailing over Nowhere."))
-    return table(spark, d, "nation").select("n_nationkey", F.posexplode(T.area_sentences(text)).alias("pos", "s"))
+    text = F.concat(F.lit("Moderate rain is expected over "), name, F.lit(" (Gen. Mariano Alvarez, Silang) and R"), F.col("n_regionkey").cast("string"), F.lit(" within 2 hours which may persist.\n\nFlooding is being experienced in X"), F.col("c_custkey").cast("string"), F.lit(".\nThunderstorms are MORE LIKELY to develop over the rest of "), name, F.lit(" for the next day.\nRain prevailing over Nowhere."))
+    rows = _homes(spark, d).select("c_custkey", text.alias("text"))
+    return register(spark).sql("select r.c_custkey, s.* from {rows} r, lateral parse_areas(r.text) s", rows=rows)
 
 
-@query("""select n_nationkey, unnest([0, 1, 2])::int as pos, unnest(['expected', 'occurring', 'watch']) as status, unnest(['', '', 'MORE']) as likelihood,
-  unnest([n_name || ' (Gen. Mariano Alvarez, Silang) and R' || n_regionkey, 'X' || n_nationkey, 'the rest of ' || n_name]) as areas from nation""")
+@query(f"""with {_HOMES} select c_custkey, unnest([0, 1, 2])::int as pos, unnest(['expected', 'occurring', 'watch']) as status, unnest(['', '', 'MORE']) as likelihood,
+  unnest([n_name || ' (Gen. Mariano Alvarez, Silang) and R' || n_regionkey, 'X' || c_custkey, 'the rest of ' || n_name]) as areas from homes""")
 def area_sentences(spark, d):
     """Areas named between an expecting phrase and the sentence's time, with their status."""
-    return _advisories(spark, d).select("n_nationkey", "pos", "s.status", "s.likelihood", "s.areas")
+    return _advisories(spark, d).where("entry = 0").select("c_custkey", F.col("sentence").alias("pos"), "status", "likelihood", "areas")
 
 
-@query("""select n_nationkey, unnest([0, 0, 1, 2])::int as pos, unnest([n_name, 'R' || n_regionkey, 'X' || n_nationkey, n_name]) as name, unnest([false, true, true, true]) as whole, unnest(['Gen. Mariano Alvarez|Silang', '', '', '']) as towns from nation""")
+@query(f"""with {_HOMES} select c_custkey, unnest([0, 0, 1, 2])::int as pos, unnest([n_name, 'R' || n_regionkey, 'X' || c_custkey, n_name]) as name, unnest([false, true, true, true]) as whole, unnest(['Gen. Mariano Alvarez|Silang', '', '', '']) as towns from homes""")
 def area_entries(spark, d):
-    """Each area of those sentences, with the towns in its parentheses."""
-    entries = _advisories(spark, d).select("n_nationkey", "pos", F.explode(T.area_entries(F.col("s.areas"))).alias("e"))
-    return entries.select("n_nationkey", "pos", "e.name", "e.whole", F.array_join("e.towns", "|").alias("towns"))
+    """Each area of those sentences, with the towns in its brackets."""
+    return _advisories(spark, d).select("c_custkey", F.col("sentence").alias("pos"), "name", "whole", F.array_join("towns", "|").alias("towns"))
 
 
 @query("""select p_partkey, 'Las Piñas – 33° ' || p_name || ' <é & &deg;' as text from part""")
@@ -210,19 +219,19 @@ def nested_turns(spark, d):
     return c.select("conv_id", F.array_join(F.col("t.role"), ",").alias("roles"), F.size("t").cast("long").alias("turns"), first["n"].alias("first_length"))
 
 
-@query("""with n as (select n_nationkey as id, n_name as p from nation)
+@query(f"""with {_HOMES}, n as (select c_custkey as id, n_name as p from homes)
 select id, 3 as signal, 'The northern and extreme central portions of ' || p as area, 'portion' as kind, p as province, null as within from n
 union all select id, 3, t, 'city', p, 'The northern and extreme central portions of ' || p from n, (select unnest(['Gen. ' || 'Town', 'Old Place', 'San Isidro']) as t)
 union all select id, 3, 'Babuyan Islands', 'place', 'Babuyan Islands', null from n
 union all select id, 1, 'the rest of mainland ' || p, 'portion', p, null from n
 union all select id, 1, 'Some ' || p, 'place', 'Some ' || p, null from n""")
 def signal_areas(spark, d):
-    """Areas of wind signals in texts made of each nation's name: directions with ``and``, names with full stops, island groups."""
+    """Areas of wind signals in texts made of each customer's nation: directions with ``and``, names with full stops, island groups."""
     text = F.format_string(
         "Wind Signal No. 3\nLuzon: The northern and extreme central portions of %s (Gen. Town, Old Place; and San Isidro), Babuyan\nIslands\nWind threat: gales over Elsewhere\nTCWS #1\nVISAYAS\nthe rest of mainland %s and Some %s\nBeaufort 6, Nowhere",
         "n_name", "n_name", "n_name",
     )
-    rows = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), text.alias("text"))
+    rows = _homes(spark, d).select(F.col("c_custkey").alias("id"), text.alias("text"))
     return signal_rows(rows, "id", "text").select("id", "signal", "area", "kind", "province", "within")
 
 

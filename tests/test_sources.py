@@ -82,8 +82,6 @@ def test_name_keys(spark, name, key):
 def test_text_functions(spark):
     assert one(spark, text.block_text(F.lit("a<br><br/><br>b&amp;c<p> d </p>"))) == "a\n\nb&c d"
     assert one(spark, text.distinct_runs(F.array(*map(F.lit, "aabba")))) == ["a", "b", "a"]
-    assert one(spark, text.top_split(F.lit("A (x, y and z), B and C; island"))) == ["A (x, y and z)", "B", "C", "island"]
-    assert one(spark, text.inner_parts(F.lit("A (x, y and z)"))) == ["x", "y", "z"]
     assert one(spark, text.number(F.lit(" -3.50 "))) == -3.5 and one(spark, text.number(F.lit("3 m"))) is None
     assert [one(spark, text.sql_literal(F.lit(v), n)) for v, n in (("", True), ("1.5", True), ("1.5", False), ("O'x", True))] == ["NULL", "1.5", "'1.5'", "'O''x'"]
     assert one(spark, text.scrub(F.lit("key=longsecret short"), ["longsecret", "short"])) == "key=*** short"
@@ -130,11 +128,49 @@ def test_places_in_order(spark, tmp_path):
     places = [("p1", "San Jose", "City", "10", "1", 14.0, 121.0), ("p2", "San Jose", "City", "20", "1", 14.5, 121.0), ("p3", "Lipa City", "City", "10", "1", 13.9, 121.1), ("p4", "Oton", "SubMun", "30", "2", 10.0, 122.0)]
     (tmp_path / "g.json").write_text(json.dumps([{"psgc_code": c, "name": n, "geographic_level": v, "province_code": p, "region_code": r, "coordinate": {"latitude": a, "longitude": o}} for c, n, v, p, r, a, o in places]))
     g = gazetteer.read(spark, str(tmp_path / "g.json"))
-    asked = [(1, "San José", "20", "1", None, None), (2, "Lippa", "10", None, None, None), (3, "City of Lipa", None, None, None, None), (4, "San Jose", None, None, None, None), (5, "San Jose", "99", "1", 14.1, 121.0), (6, "Old Lipa", "10", None, None, None), (7, "Oton", None, "2", None, None), (8, "Nowhere", None, None, None, None)]
-    mentions = spark.createDataFrame(asked, "mention long, name string, province string, region string, lat double, lon double")
+    asked = [(1, "San José", "20", None, None, None, None), (2, "Lippa", "10", None, None, None, None), (3, "City of Lipa", None, None, None, None, None), (4, "San Jose", None, None, None, None, None), (5, "San Jose", "99", None, "1", 14.1, 121.0), (6, "Old Lipa", "10", None, None, None, None), (7, "Oton", None, "2", None, None, None), (8, "Nowhere", None, None, None, None, None), (9, "San Jose", None, "1", None, None, None), (10, "Oton", "20", None, "1", 14.5, 121.0), (11, "Lippaa", "20", None, "1", 14.0, 121.0)]
+    mentions = spark.createDataFrame(asked, "mention long, name string, province string, region string, home_region string, lat double, lon double")
     aliases = spark.createDataFrame([("10", "Old Lipa", "p3")], "province string, written_as string, code string")
     got = {r.mention: (r.code, r.how) for r in resolve(mentions, g, aliases).collect()}
-    assert got == {1: ("p2", "province"), 2: ("p3", "alike"), 3: ("p3", "only"), 4: (None, None), 5: ("p1", "near"), 6: ("p3", "alias"), 7: (None, None), 8: (None, None)}
+    assert got == {1: ("p2", "province"), 2: ("p3", "alike"), 3: ("p3", "only"), 4: (None, None), 5: ("p1", "near"), 6: ("p3", "alias"), 7: ("p4", "region"), 8: (None, None), 9: ("p1", "region"), 10: (None, None), 11: (None, None)}
+
+
+def test_alike_names_lose_none_to_the_index(spark):
+    import difflib
+    import random
+
+    from hazardloom.operators.places import RATIO, alike
+
+    rng = random.Random(6)
+    stems = ["".join(rng.choice("abcde") for _ in range(rng.randrange(1, 14))) for _ in range(40)]
+    town_rows = [(p, k, f"{p}-{k}") for p in ("x", "y") for k in rng.sample(stems, 30)]
+    def bent(k):
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(k) + 1)
+            k = rng.choice([k[:at] + rng.choice("abcde") + k[at:], k[:at] + k[at + 1 :], k[:at] + rng.choice("abcde") + k[at + 1 :]])
+        return k
+
+    names = sorted({(p, bent(k)) for p in ("x", "y") for k in stems for _ in range(8)})
+    got = {(r.province, r.key): r.alike for r in alike(spark.createDataFrame(names, "province string, key string"), spark.createDataFrame(town_rows, "province string, key string, code string")).collect()}
+    for province, name in names:
+        close = [c for p, k, c in town_rows if p == province and difflib.SequenceMatcher(None, k, name).ratio() >= RATIO and len(name) > 1]
+        assert got.get((province, name)) == (close[0] if len(close) == 1 else None), (province, name, close)
+
+
+def test_names_that_places_go_by(spark, tmp_path):
+    from hazardloom.operators.places import outlook_places, province_keys
+
+    rows = [("1", "Western Samar", "Prov", "1", "08"), ("2", "Davao de Oro", "Prov", "2", "11"), ("3", "Isabela", "Prov", "3", "02"), ("4", "City of Cebu (Independent City)", "Prov", "4", "07"), ("5", "Isabela City", "City", None, "09"), ("6", "Baganga", "Mun", "2", "11"), ("7", "Angeles", "City", None, "03"), ("8", "Isabela", "Mun", "9", "18")]
+    (tmp_path / "g.json").write_text(json.dumps([{"psgc_code": c, "name": n, "geographic_level": v, "province_code": p, "region_code": r} for c, n, v, p, r in rows]))
+    g = gazetteer.read(spark, str(tmp_path / "g.json"))
+    keys = province_keys(g, gazetteer.province_aliases(spark))
+    assert {r.key: r.code for r in keys.collect()} == {"westernsamar": "1", "samar": "1", "davaodeoro": "2", "compostelavalley": "2", "isabela": "3"}
+    (tmp_path / "a.json").write_text(json.dumps([{"province": "Compostela Valley", "written_as": "Baculin", "is_in": "Baganga", "note": "x"}, {"province": "Isabela", "written_as": "y", "is_in": "Baganga"}, {"province": "Nowhere", "written_as": "y", "is_in": "Baganga"}]))
+    assert [tuple(r) for r in gazetteer.town_aliases(spark, str(tmp_path / "a.json"), g, keys).collect()] == [("2", "Baculin", "6")]
+    names = [("Metro Manila",), ("Isabela City, Zamboanga Peninsula",), ("Isabela City",), ("Isabela",), ("Samar, Eastern Visayas",), ("Angeles",), ("City of Nowhere",), ("Elsewhere",), ("NCR",)]
+    regions = spark.createDataFrame(sorted({**gazetteer.REGIONS, "zamboangapeninsula": "09"}.items()), "key string, code string")
+    got = {r.name: r.code for r in outlook_places(spark.createDataFrame(names, "name string"), g, keys, regions, gazetteer.CAPITAL).collect()}
+    assert got == {"Metro Manila": "1300000000", "NCR": "1300000000", "Isabela City, Zamboanga Peninsula": "5", "Isabela City": None, "Isabela": "3", "Samar, Eastern Visayas": "1", "Angeles": "7", "City of Nowhere": None, "Elsewhere": None}
 
 
 def _units(spark):
