@@ -43,6 +43,24 @@ def test_exact_groups(spark):
     assert kept.count() == len(groups)
 
 
+def test_a_repeated_id_keeps_its_longest_text(spark):
+    rows = [(1, "a b"), (1, "a  b"), (2, "ab"), (3, "x y"), (3, "x\ty"), (4, "xy"), (5, "same"), (5, "same"), (None, "n  n"), (None, "nn")]
+    got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_groups(_docs(spark, rows)).collect()), key=str)
+    assert [g for g in got if g[1] == 1] == [(1, 1, 3, False), (1, 1, 3, True), (2, 1, 3, False)]
+    assert sorted(g[3] for g in got if g[1] == 3) == [False, False, True]
+    assert [g for g in got if g[1] == 5] == [(5, 5, 2, True)] * 2 and sorted(g[3] for g in got if g[0] is None) == [False, True]
+    for _ in range(3):
+        stay = {(r.doc_id, r.text) for r in exact_dedup(_docs(spark, rows)).collect()}
+        assert len(stay) == 4 and (1, "a  b") in stay and (5, "same") in stay and (None, "n  n") in stay
+
+
+def test_ids_and_marks_of_all_sizes(spark):
+    ids = [0, 1, -1, 2**63 - 1, -(2**63), 99_999_999, -7]
+    rows = [(i, f"t{n} ") for n in range(40) for i in ids]
+    got = exact_groups(_docs(spark, rows))
+    assert got.where(f"keep_id = {-(2**63)} and group_size = {len(ids)}").count() == 40 * len(ids) and got.where("kept").count() == 40
+
+
 def test_a_group_that_holds_a_third_of_all_rows(spark):
     rows = [(i, "hot  text" if i % 3 == 0 else f"text {i % 400}") for i in range(1200)]
     got = exact_groups(_docs(spark, rows))
