@@ -24,18 +24,27 @@ BLOCK, QUERY_BLOCK = 8_192, 4_096
 LINES, WIDEN, REACH, LEAST, SEED = 32, 1.15, 1.1, 0.6, 5
 #: Vectors of a block whose k-th neighbour tells where its searches begin.
 PROBES = 16
-_FOUND = "query_id long, vec_id long, score double"
+_FOUND = "query_id long, query string, vec_id long, score double, copies long"
 
 
-def _stack(rows: pd.Series) -> np.ndarray:
-    return np.stack(rows.to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, 0))
+def _stack(rows: pd.Series, width: int) -> np.ndarray:
+    """The vectors as rows; components that a shorter one lacks are zero."""
+    out = np.zeros((len(rows), width))
+    for i, v in enumerate(rows):
+        out[i, : len(v)] = v
+    return out
 
 
 class Block:
-    """Collision-counting index of one block of vectors."""
+    """Collision-counting index of one block of vectors.
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: float, lines: int = LINES):
-        self.ids, self.vectors, self.top = ids, vectors, top
+    The index is built on vectors divided by ``scale``, a power of two that brings the largest component of the table
+    below 1, so that no norm overflows; ``top`` is the largest norm of those. Scores come from the original vectors.
+    """
+
+    def __init__(self, ids: np.ndarray, given: np.ndarray, copies: np.ndarray, top: float, scale: float = 1.0, lines: int = LINES):
+        vectors = given / scale
+        self.ids, self.given, self.copies, self.vectors, self.top = ids, given, copies, vectors, top
         n, d = vectors.shape
         more = np.sqrt(np.maximum(top**2 - (vectors**2).sum(axis=1), 0))
         self.lines = np.random.default_rng(SEED).normal(size=(d + 1, lines))
@@ -63,13 +72,16 @@ class Block:
             counts += (places - np.uint16(low)) < np.uint16(high - low) if high - low < len(line) else np.uint8(1)
         return counts
 
-    def nearest(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` nearest found, nearest first, equal scores by id."""
+    def nearest(self, query_id: int, asked: np.ndarray, k: int) -> list[tuple[int, float, int]]:
+        """Id, score and copies of the ``k`` nearest found, nearest first, equal scores by id; the query's own row does not count."""
+        peak = np.abs(asked).max()
+        query = asked / 2.0 ** np.clip(np.frexp(peak)[1], -1000, 1000)  # a query's length does not change what is near
         norm = np.sqrt(query @ query)
         spots = (query * (self.top / norm)) @ self.lines[: len(query)]
         scores = np.full(len(self.ids), -np.inf)
-        other = self.ids != query_id
-        wanted, todo = min(k, int(other.sum())), other.copy()
+        left = self.copies - ((self.ids == query_id) & (self.given == asked).all(axis=1))
+        todo = left > 0
+        wanted = min(k, int(todo.sum()))
         radius = self._start(wanted) if wanted else 0.0
         while wanted:
             new = np.flatnonzero(todo & (self._collisions(spots, REACH * radius) >= self.least))
@@ -81,26 +93,22 @@ class Block:
                 break
             radius *= WIDEN
         if not wanted:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
+            return []
         close = np.flatnonzero(scores >= np.partition(scores, len(scores) - wanted)[-wanted] - 1e-9 * self.top * norm)
-        exact = (self.vectors[close] * query).sum(axis=1)  # the same for equal vectors, wherever they lie
-        order = np.lexsort((self.ids[close], -exact))[:wanted]
-        return self.ids[close][order], exact[order]
+        with np.errstate(over="ignore", invalid="ignore"):
+            exact = (self.given[close] * asked).sum(axis=1)  # the same for equal vectors, wherever they lie
+        order = np.lexsort((self.ids[close], np.where(np.isnan(exact), np.inf, -exact)))[:wanted]
+        return [(int(self.ids[close[i]]), None if np.isnan(exact[i]) else float(exact[i]), int(left[close[i]])) for i in order]
 
 
-def _search(top: float, k: int):
+def _search(top: float, scale: float, k: int, width: int):
     def search(data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(data) or not len(queries):
-            return pd.DataFrame([], columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        block = Block(data["vec_id"].to_numpy(), _stack(data["vector"]), top)
-        found = [(q, *block.nearest(q, v, k)) for q, v in zip(queries["vec_id"].to_numpy(), _stack(queries["vector"]), strict=True)]
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat([q for q, _, _ in found], [len(i) for _, i, _ in found]).astype("int64"),
-                "vec_id": np.concatenate([i for _, i, _ in found]).astype("int64"),
-                "score": np.concatenate([s for _, _, s in found]),
-            }
-        )
+        found = []
+        if len(data) and len(queries):
+            block = Block(data["vec_id"].to_numpy(), _stack(data["vector"], width), data["copies"].to_numpy(), top, scale)
+            for query_id, name, vector in zip(queries["vec_id"].tolist(), queries["query"].tolist(), _stack(queries["vector"], width), strict=True):
+                found += [(query_id, name, *row) for row in block.nearest(query_id, vector, k)]
+        return pd.DataFrame(found, columns=["query_id", "query", "vec_id", "score", "copies"])
 
     return search
 
@@ -108,26 +116,34 @@ def _search(top: float, k: int):
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row for which ``is_query`` (on the id) holds, its ``k`` nearest others.
 
-    Nearness is the inner product in double precision; ties go to the smaller id. Vectors that are null, zero, hold a
-    null or non-finite component or are not of the table's most common length take no part, nor do rows with a null
-    id; of rows that repeat an id the smallest vector counts. With fewer candidates than ``k`` all are returned; an
-    empty table gives an empty result; extra columns are ignored.
+    Nearness is the inner product in double precision; ties go to the smaller id. Vectors that are null, zero or hold a
+    null or non-finite component take no part, nor do rows with a null id; components that a shorter vector lacks are
+    zero. Rows that repeat an id are candidates each, also for one another; rows that repeat id and vector are one query,
+    of which all but one are its candidates. Finite components of any size are searched (the index is scaled); a score
+    beyond the range of doubles is infinite, one that is no number (infinities that cancel) is null and comes last. Vectors whose
+    components are all below the largest component by 2^-500 or more count as zeros in the index, and are found by
+    verification alone. With fewer candidates than ``k`` all are returned; an empty table gives an empty result; extra
+    columns of any name are ignored.
     """
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("vector")).where("vec_id is not null and vector is not null")
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
-    rows = rows.where(sound).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    facts = rows.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("top"), F.count_if(is_query).alias("q"))
-    most = facts.orderBy(F.desc("n"), "length").first()
-    if most is None:
+    rows = rows.where(sound).groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("copies"))
+    peak = F.array_max(F.transform("vector", lambda x: F.abs(x)))
+    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(peak).alias("peak"), F.max(F.size("vector")).alias("width"), F.count_if(is_query).alias("q")).first()
+    if not facts["n"]:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("vector") == most["length"])
-    blocks, query_blocks = max(1, -(-most["n"] // BLOCK)), max(1, -(-most["q"] // QUERY_BLOCK))
-    deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
+    scale, width = float(2.0 ** min(1023, max(-1022, int(np.frexp(facts["peak"])[1])))), facts["width"]
+    top = rows.agg(F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / scale) * (x / scale))))).first()[0]
+    size = max(1, BLOCK * 64 // max(64, width))  # blocks of long vectors have fewer
+    blocks, query_blocks = -(-facts["n"] // size), max(1, -(-facts["q"] // QUERY_BLOCK))
+    deal = lambda n: F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
-    data = rows.select("vec_id", "vector", deal(blocks).alias("block"), every(query_blocks).alias("query_block"))
-    asked = rows.where(is_query).select("vec_id", "vector", every(blocks).alias("block"), deal(query_blocks).alias("query_block"))
+    data = rows.select("vec_id", "vector", "copies", deal(blocks).alias("block"), every(query_blocks).alias("query_block"))
+    name = F.sha2(F.array_join(F.col("vector").cast("array<string>"), ","), 256)
+    asked = rows.where(is_query).select("vec_id", "vector", name.alias("query"), every(blocks).alias("block"), deal(query_blocks).alias("query_block"))
     keys = ("block", "query_block")
-    found = data.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_search(float(np.sqrt(most["top"])), k), _FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = data.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_search(float(top), scale, k, width), _FOUND)
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))))
+    order = Window.partitionBy("query_id", "query").orderBy(F.desc_nulls_last("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -6,7 +6,7 @@ the two halves of its CRC-32, so two words are confused only where both halves a
 slide over the words, each is max-pooled over the whole document, and a logistic unit reads the pooled values. As a
 filter is linear, its response is kept per hash bucket after training: scoring a word is a few table look-ups.
 
-The model is fitted on the driver on a bounded sample of labelled rows (``SAMPLE`` rows and ``SAMPLE_CHARS`` characters of each class); scoring reads every whole text.
+The model is fitted on the driver on a bounded sample of labelled rows (``SAMPLE`` rows and ``SAMPLE_CHARS`` characters of each class, of which one row may bring a twentieth); scoring reads every whole text.
 Decision thresholds are calibrated by language on a part of the sample that training has not seen. The language only
 picks the threshold; it is no input of a score, nor are labels, source and id.
 """
@@ -20,13 +20,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardloom.llm.common import small_batches
 
-#: Most labelled rows of each class to learn from, and the most characters that they may have together.
-SAMPLE, SAMPLE_CHARS = 4_000, 20_000_000
+#: Most labelled rows of each class to learn from, the most characters that they may have together, and the share of
+#: those that one row may have: of a longer text that much is learned from, in ``WINDOWS`` windows over its whole length.
+SAMPLE, SAMPLE_CHARS, ROW_SHARE, WINDOWS = 4_000, 20_000_000, 0.05, 100
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 16, 8, (1, 2, 3), 4
 STEPS, BATCH, RATE = 150, 64, 0.05
 LEAST_DOCS = 3
@@ -199,12 +200,32 @@ def _best_cut(scores: np.ndarray, labels: np.ndarray, default: float) -> float:
     return float(found)
 
 
+def _fitting(rows: list, row_chars: int, sample_chars: int) -> list[tuple[int, int, int]]:
+    """Id, label and text code of the rows that fit, tried one by one; at most ``2 * SAMPLE`` of them come here."""
+    left, out = {0: sample_chars, 1: sample_chars}, []
+    for r in rows:
+        size = min(r["chars"], row_chars)
+        if size <= left[r["y"]]:
+            left[r["y"]] -= size
+            out.append((r["doc_id"], r["y"], r["code"]))
+    return out
+
+
+def _spread(text: Column, most: int) -> Column:
+    """A text of at most ``most`` characters: a longer one as ``WINDOWS`` windows, the first at its start, the last at its end."""
+    size = most // WINDOWS - 1
+    step = (F.length(text) - size) / (WINDOWS - 1)
+    windows = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda i: F.substring(text, (F.floor(i * step) + 1).cast("int"), F.lit(size)))
+    return F.when(F.length(text) > most, F.array_join(windows, " ")).otherwise(text)
+
+
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", label_col: str = "toxic", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> ToxicityModel:
     """The model, from labelled rows for which ``may_learn`` (on the id) holds: a bounded sample.
 
-    Of each class rows are taken in the order of a hash of the id, whatever their length, up to ``sample`` rows that have
-    together at most ``sample_chars`` characters; so at most twice that much reaches the driver, however many labels
-    there are. Of rows that repeat an id one is taken (of the smallest text hash); rows of equal label and equal sets of
+    Of each class rows are taken in the order of a hash of the id, up to ``sample`` rows; a text may bring a share
+    ``ROW_SHARE`` of ``sample_chars``, a longer one does so in ``WINDOWS`` windows spread over it. A row that no longer
+    fits into ``sample_chars`` is left out and later ones are tried, so one long text costs no others their place, and at
+    most twice ``sample_chars`` reach the driver, however many labels there are. Of rows that repeat an id one is taken (of the smallest text hash); rows of equal label and equal sets of
     words count once. Rows without a label or text do not count; an id that is labelled twice counts as its largest
     label; with rows of one class alone, or none, every score is 0.
     """
@@ -215,13 +236,12 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
     present = docs.where(text.isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.min_by(F.length(text), code).alias("chars"), F.min(code).alias("code"))
     marked = marked.join(present, "doc_id")
     pick = lambda y: marked.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # The window goes over the at most 2 * sample rows that are left.
-    so_far = F.sum("chars").over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    chosen = pick(0).unionByName(pick(1)).withColumn("so_far", so_far).where(F.col("so_far") <= sample_chars)
-    chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("y").alias("__y"), F.col("code").alias("__code"))
+    row_chars = max(WINDOWS, int(sample_chars * ROW_SHARE))
+    chosen = _fitting(pick(0).unionByName(pick(1)).select("doc_id", "y", "chars", "code").collect(), row_chars, sample_chars)
+    chosen = docs.sparkSession.createDataFrame(chosen, "__id long, __y int, __code long")
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
     rows = docs.join(F.broadcast(chosen), (F.col(id_col).cast("long") == F.col("__id")) & (code == F.col("__code")))
-    rows = rows.groupBy("__id", "__y").agg(F.min(text).alias("text"), F.min(lang).alias("lang")).toPandas().sort_values("__id")
+    rows = rows.groupBy("__id", "__y").agg(F.min(_spread(text, row_chars)).alias("text"), F.min(lang).alias("lang")).toPandas().sort_values("__id")
     once = {}
     for text, tongue, y in zip(rows.text, rows.lang, rows["__y"], strict=True):
         once.setdefault((int(y), np.unique(np.array(_codes(text), dtype=np.uint32)).tobytes()), (text, tongue, int(y)))

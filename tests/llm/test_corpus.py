@@ -128,17 +128,17 @@ def test_nearest(spark):
     got = defaultdict(list)
     for r in sorted(ann.nearest(table, F.col("vec_id") % 20 == 0).collect(), key=lambda r: (r.query_id, r.rank)):
         got[r.query_id].append((r.vec_id, r.score))
-    sound = {i: np.array(v) for i, v in rows[:1800]}
-    ids, matrix = np.array(list(sound)), np.array(list(sound.values()))
-    assert set(got) == {i for i in sound if i % 20 == 0}
+    sound = [(i, np.array(v + [0.0] * (16 - len(v)))) for i, v in [*rows[:1800], *rows[-3:]] if i is not None]  # the short one, and an id that repeats
+    ids, matrix, own = np.array([i for i, _ in sound]), np.array([v for _, v in sound]), {i: n for n, (i, _) in reversed(list(enumerate(sound)))}
+    assert set(got) == {i for i in own if i % 20 == 0}
     hit = total = 0
     for q, found in got.items():
-        scores = (matrix * sound[q]).sum(axis=1)
-        best = [int(ids[j]) for j in np.lexsort((ids, -scores)) if ids[j] != q][:20]
-        assert len(found) == 20 and q not in {i for i, _ in found}
+        scores = (matrix * sound[own[q]][1]).sum(axis=1)
+        best = [j for j in np.lexsort((ids, -scores)) if j != own[q]][:20]
+        assert len(found) == 20
         assert found == sorted(found, key=lambda x: (-x[1], x[0]))
-        assert all(s == pytest.approx(float(sound[q] @ sound[i])) for i, s in found)
-        hit, total = hit + len(set(best) & {i for i, _ in found}), total + 20
+        assert all(any(s == pytest.approx(float(scores[j])) for j in np.flatnonzero(ids == i)) for i, s in found)
+        hit, total = hit + len({int(ids[j]) for j in best} & {i for i, _ in found}), total + len({int(ids[j]) for j in best})
     assert hit / total >= 0.9
     # 300 equal vectors: ties go to the smallest ids
     same = [i for i, s in got[20] if s == got[20][0][1]]
@@ -153,6 +153,37 @@ def test_nearest_with_few_candidates(spark):
     assert ann.nearest(table.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1.0])
+def test_nearest_of_any_finite_size_and_over_several_blocks(spark, size, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 100)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 7)
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(400, 8)) * size
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(1, (vectors[0] * 2).tolist()), (20, vectors[20].tolist()), (20, vectors[21].tolist()), (401, [5e-324] * 8), (420, [0.0] * 7 + [5e-324])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann.nearest(table, F.col("vec_id") % 20 == 0, k=10).collect()
+    assert {r.query_id for r in found} == {*range(0, 400, 20), 420}
+    got = defaultdict(list)
+    for r in found:
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert (1, 1) in {(rank, i) for rank, i, _ in got[0]}  # the larger vector of an id that repeats
+    assert len(got[20]) == 20  # two vectors of one id are two queries
+    assert size != 1.0 or 20 in {i for _, i, _ in got[20]}  # one of them is there twice
+    hit = total = 0
+    for q in range(0, 400, 20):
+        if q != 20:
+            with np.errstate(over="ignore", invalid="ignore"):
+                near = np.array([v for _, v in rows]) / size @ (vectors[q] / size)
+            best = [rows[j][0] for j in np.argsort(-near) if j != q][:10]
+            hit, total = hit + len({i for _, i, _ in got[q]} & set(best)), total + len(set(best))
+    assert size != 1.0 or hit / total >= 0.9
+
+
+def test_nearest_counts_the_rows_of_an_id(spark):
+    table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.9, 0.1])], "vec_id long, embedding array<double>")
+    assert [(r["rank"], r.vec_id, r.score) for r in ann.nearest(table, F.col("vec_id") % 20 == 0).orderBy("rank").collect()] == [(1, 1, 0.9), (2, 1, 0.5)]
+
+
 # ---- language model
 
 
@@ -290,3 +321,23 @@ def test_long_and_repeated_labelled_rows_are_learned_from(spark):
     model = toxicity.fit(spark.createDataFrame([(i, t, "en") for i, t in docs], "doc_id long, text string, lang string"), table, F.lit(True))
     scores = model.scores(["fine words here", "fine words vile", "vile"])
     assert scores[1] > scores[0] and scores[2] > scores[0]
+
+
+def test_a_labelled_row_beyond_the_bound_costs_no_other_its_place(spark):
+    huge = "fine words here " * 1_300_000 + "vile"  # 20.8 million characters, more than a class may bring
+    docs = [(i, f"fine words vile {i}" if i % 2 else f"fine words here {i}") for i in range(80)] + [(200 + i, huge if i == 0 else huge[: 900_000 + i]) for i in range(3)]
+    table = spark.createDataFrame([(i, i % 2) for i in range(80)] + [(200 + i, 1) for i in range(3)], "doc_id long, toxic int")
+    frame = spark.createDataFrame([(i, t, "en") for i, t in docs], "doc_id long, text string, lang string")
+    model = toxicity.fit(frame, table, F.lit(True))
+    assert model.constant is None
+    scores = model.scores(["fine words here", "fine words vile"])
+    assert scores[1] > 0.5 > scores[0]
+    alone = toxicity.fit(frame.where("doc_id = 200 or doc_id % 2 = 0"), table, F.lit(True), sample_chars=2_000)
+    assert alone.constant is None
+
+
+def test_samples_take_what_fits():
+    rows = [{"doc_id": i, "y": 1, "chars": c, "code": 7} for i, c in enumerate([90, 5, 60, 40, 5, 1])]
+    assert [i for i, _, _ in toxicity._fitting(rows, 50, 100)] == [0, 1, 3, 4]
+    rows = [{"doc_id": 1, "y": 0, "chars": 10**9, "code": 7}, {"doc_id": 2, "y": 0, "chars": 3, "code": 7}]
+    assert [i for i, _, _ in toxicity._fitting(rows, 50, 60)] == [1, 2]
