@@ -1,14 +1,11 @@
-"""Statistics per key, windows that end at the newest row, votes and digests."""
+"""Statistics per key, windows that end at the newest row, and votes."""
 
 from __future__ import annotations
 
-from hashlib import sha256
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardloom.functions.dates import stamp
-from hazardloom.functions.folds import fold_sorted
 from hazardloom.functions.geo import within
 
 
@@ -116,19 +113,6 @@ def ambiguous(df: DataFrame, key: str, vote: str) -> DataFrame:
     return votes.groupBy(key).agg(F.count(F.lit(1)).alias("kinds"), F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", vote, "n"))), ",").alias("votes")).where("kinds > 1")
 
 
-def group_digest(df: DataFrame, group: Column, row_hash: Column) -> DataFrame:
-    """Per group the number of rows and a digest of the sorted row hashes, which row order does not change."""
-    hashed = df.select(group.alias("group"), row_hash.alias("h"))
-    schema = hashed.select("group", F.lit(0).cast("long").alias("n"), F.lit("").alias("digest")).schema
-
-    def step(state: list, row: dict) -> list[dict]:
-        state[0] += 1
-        state[1].update((row["h"] or "").encode())
-        return []
-
-    return fold_sorted(hashed, "group", ["h"], schema, lambda: [0, sha256()], step, lambda state, group: [{"group": group, "n": state[0], "digest": state[1].hexdigest()[:16]}])
-
-
 def per_key_first(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key in the given order."""
     at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -80,6 +80,52 @@ def month_changes(old_digests: DataFrame, old_rows: DataFrame, new_digests: Data
     return whole.unionByName(clear).unionByName(both.select("group", key, change.alias("change")))
 
 
+def change_set(old: DataFrame, new: DataFrame, keys: list[str], deletes: bool = True) -> DataFrame:
+    """``change`` and all columns of rows to insert, update or (if wanted) delete; a deleted row has its keys alone.
+
+    What ``apply_changes`` makes of ``old`` and this is ``new``; without deletes also the rows that are gone stay.
+    """
+    values = [c for c in new.columns if c not in keys]
+    hashed = lambda df, *more: df.select(*keys, row_hash(*[F.col(c) for c in [*keys, *values]]).alias("__hash"), *more)
+    left = hashed(old).withColumnRenamed("__hash", "__old")
+    both = left.join(hashed(new, F.struct(*values).alias("__v")), keys, "full_outer").where(~F.col("__old").eqNullSafe(F.col("__hash")))
+    change = F.when(F.col("__old").isNull(), "insert").when(F.col("__hash").isNull(), "delete").otherwise("update")
+    out = both.select(change.alias("change"), *keys, *[F.col("__v")[c].alias(c) for c in values])
+    return out if deletes else out.where("change != 'delete'")
+
+
+def month_change_set(old_digests: DataFrame, old_rows: DataFrame, new_digests: DataFrame, new: DataFrame, key: str, new_hash: Column, since: Column | None = None) -> DataFrame:
+    """``month_changes`` with the values of ``new`` (with ``group`` and the key), ready for ``apply_changes``.
+
+    With ``since`` (a group) a change ``before`` tells to drop the groups below it, which a sliding window left behind.
+    """
+    changes = month_changes(old_digests, old_rows, new_digests, new.select("group", key, new_hash.alias("hash")), key)
+    values = [c for c in new.columns if c not in ("group", key)]
+    filled = changes.join(new, ["group", key], "left").select("change", "group", key, *values)
+    if since is None:
+        return filled
+    none = [F.lit(None).cast(new.schema[c].dataType).alias(c) for c in (key, *values)]
+    return filled.unionByName(new.sparkSession.range(1).select(F.lit("before").alias("change"), since.alias("group"), *none))
+
+
+def apply_changes(old: DataFrame, changes: DataFrame, keys: list[str], group: str | None = None) -> DataFrame:
+    """``old`` after ``changes`` (``change`` and its columns): insert and update put a row, delete takes the row of the keys.
+
+    With ``group``, ``clear`` first takes all rows of a group and ``before`` those of smaller groups. Applying the same
+    changes again changes nothing. One join on the keys; what is cleared does not reach it.
+    """
+    values = [c for c in old.columns if c not in keys]
+    if group:
+        old = old.join(changes.where("change = 'clear'").select(group).distinct(), group, "left_anti").select(*old.columns)
+        first = changes.where("change = 'before'").agg(F.max(group)).scalar()
+        old = old.where(F.coalesce(F.col(group) >= first, F.lit(True)))
+    rows = changes.where("change in ('insert', 'update', 'delete')")
+    left = old.select(*keys, F.struct(*values).alias("__o"))
+    both = left.join(rows.select(*keys, "change", F.struct(*values).alias("__v")), keys, "full_outer").where("change is null or change != 'delete'")
+    taken = F.when(F.col("change").isNull(), F.col("__o")).otherwise(F.col("__v"))
+    return both.withColumn("__r", taken).select(*[F.col(c) if c in keys else F.col("__r")[c].alias(c) for c in old.columns])
+
+
 def budget_plan(groups: DataFrame, group: str, rows: str, budget: int, fresh: int = 2) -> DataFrame:
     """Groups from the newest on: the ``fresh`` newest always, then older ones while their rows add up to the budget.
 

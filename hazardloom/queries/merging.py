@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from hazardloom.functions.text import row_hash, sql_literal
 from hazardloom.operators import aggregates as A
 from hazardloom.operators import merge as M
+from hazardloom.operators.digests import changed_rows, digest_tree, group_digest, tree_diff
 from hazardloom.queries import query
 from hazardloom.sources.tables import table
 
@@ -86,12 +87,13 @@ def _digests(spark, d):
     hashed = row_hash(F.col("o_orderkey"), F.col("o_orderstatus"))
     month = F.date_format("o_orderdate", "yyyy-MM")
     now = o.where("year(o_orderdate) > 1995")
-    return A.group_digest(o.where("o_orderkey % 100 != 0 or month(o_orderdate) < 7"), month, hashed), A.group_digest(now, month, hashed)
+    return group_digest(o.where("o_orderkey % 100 != 0 or month(o_orderdate) < 7"), month, hashed), group_digest(now, month, hashed)
 
 
-_DIGESTS = """h as (select *, strftime(o_orderdate, '%Y-%m') as g, substr(sha256(concat_ws(chr(31), coalesce(o_orderkey::varchar, chr(0)), coalesce(o_orderstatus, chr(0)))), 1, 16) as h from orders),
-a as (select g, substr(sha256(string_agg(h, '' order by h)), 1, 16) as d from h where o_orderkey % 100 != 0 or month(o_orderdate) < 7 group by g),
-b as (select g, count(*) as n, substr(sha256(string_agg(h, '' order by h)), 1, 16) as d from h where year(o_orderdate) > 1995 group by g)"""
+_SUM = "count(*) || ':' || sum(('0x' || substr(h, 1, 8))::bigint) || ':' || sum(('0x' || substr(h, 9, 8))::bigint)"
+_DIGESTS = f"""h as (select *, strftime(o_orderdate, '%Y-%m') as g, substr(sha256(concat_ws(chr(31), coalesce(o_orderkey::varchar, chr(0)), coalesce(o_orderstatus, chr(0)))), 1, 16) as h from orders),
+a as (select g, substr(sha256({_SUM}), 1, 16) as d from h where o_orderkey % 100 != 0 or month(o_orderdate) < 7 group by g),
+b as (select g, count(*) as n, substr(sha256({_SUM}), 1, 16) as d from h where year(o_orderdate) > 1995 group by g)"""
 
 
 @query(f"""with {_DIGESTS} select coalesce(a.g, b.g) as "group", coalesce(n, 0) as n, case when a.g is null then 'new' when b.g is null then 'gone' when a.d = b.d then 'same' else 'changed' end as state
@@ -100,6 +102,36 @@ def month_digest_diff(spark, d):
     return M.digest_diff(*_digests(spark, d))
 
 
+_TREES = """h as (select o_orderkey as k, strftime(o_orderdate, '%Y-%m') as g, substr(md5(o_orderkey::varchar), 1, 2) as leaf, o_orderstatus as s from orders),
+old as (select k, g, leaf, case when k % 500 = 0 then 'X' else s end as s from h where k % 450 != 7 and g < '2000-12'), new as (select * from h where k % 330 != 11 and g != '1995-01'),
+o as (select g, left(leaf, l) as prefix, count(*) as n, string_agg(k || s, ',' order by k) as d from old, range(3) as r(l) group by 1, 2),
+n as (select g, left(leaf, l) as prefix, count(*) as n, string_agg(k || s, ',' order by k) as d from new, range(3) as r(l) group by 1, 2)"""
+
+
+def _trees(spark, d):
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    o = table(spark, d, "orders").select("o_orderkey", month.alias("group"), F.col("o_orderstatus").alias("s"))
+    old = o.where("o_orderkey % 450 != 7 and group < '2000-12'").withColumn("s", F.when(F.col("o_orderkey") % 500 == 0, "X").otherwise(F.col("s")))
+    new = o.where("o_orderkey % 330 != 11 and group != '1995-01'")
+    return [rows.select("group", "o_orderkey", row_hash(F.col("o_orderkey"), F.col("s")).alias("hash")) for rows in (old, new)]
+
+
+@query(f"""with {_TREES} select coalesce(o.g, n.g) as "group", coalesce(o.prefix, n.prefix) as prefix, coalesce(o.n, 0) as n_old, coalesce(n.n, 0) as n_new
+from o full outer join n on o.g = n.g and o.prefix = n.prefix where o.d is distinct from n.d""")
+def digest_tree_diff(spark, d):
+    """The months and parts of months in which two states of the orders differ, found from the top of two digest trees."""
+    old, new = _trees(spark, d)
+    return tree_diff(digest_tree(old, "o_orderkey"), digest_tree(new, "o_orderkey"))
+
+
+@query(f"""with {_TREES} select coalesce(old.g, new.g) as "group", coalesce(old.k, new.k) as o_orderkey, case when old.k is null then 'insert' when new.k is null then 'delete' else 'update' end as change
+from old full outer join new using (g, k) where old.s is distinct from new.s""")
+def digest_tree_rows(spark, d):
+    """The rows that differ, compared only in the leaves that do."""
+    old, new = _trees(spark, d)
+    return changed_rows(old, new, tree_diff(digest_tree(old, "o_orderkey"), digest_tree(new, "o_orderkey")), "o_orderkey")
+
+
 @query("""with h as (select o_orderkey as k, strftime(o_orderdate, '%Y-%m') as g, o_orderstatus as s from orders),
 old as (select k, g, case when k % 150 = 0 then 'X' else s end as s from h where k % 100 != 0 or g < '1997-07'), new as (select * from h where g >= '1996-01' and (k % 97 != 0 or g like '%-03')),
 od as (select g, string_agg(k || s, ',' order by k) as d from old group by g), nd as (select g, string_agg(k || s, ',' order by k) as d from new group by g),
@@ -115,7 +147,7 @@ def month_changes(spark, d):
     old = o.where("o_orderkey % 100 != 0 or group < '1997-07'").withColumn("s", F.when(F.col("o_orderkey") % 150 == 0, "X").otherwise(F.col("s")))
     new = o.where("group >= '1996-01' and (o_orderkey % 97 != 0 or group like '%-03')")
     hashed = row_hash(F.col("o_orderkey"), F.col("s"))
-    digest = lambda rows: A.group_digest(rows, F.col("group"), hashed)
+    digest = lambda rows: group_digest(rows, F.col("group"), hashed)
     rows = lambda part: part.select("group", "o_orderkey", hashed.alias("hash"))
     return M.month_changes(digest(old), rows(old.where("group >= '1999-01'")), digest(new), rows(new), "o_orderkey")
 
@@ -142,6 +174,44 @@ def statement_batches(spark, d):
     return M.statement_batches(table(spark, d, "orders").withColumn("value", value), "o_custkey", "o_orderkey", "value", 60)
 
 
+@query(f"with {_SPLIT} select event_id, user_id, event_type, value from n")
+def apply_changes(spark, d):
+    """What a delivery makes of the old state: the new one."""
+    old, new = _old_and_new(spark, d)
+    return M.apply_changes(old, M.change_set(old, new, ["event_id"]), ["event_id"])
+
+
+@query(f"with {_SPLIT} select event_id, user_id, event_type, value from n union all select event_id, user_id, event_type, value from o where event_id not in (select event_id from n)")
+def apply_changes_keeping(spark, d):
+    """The same for tables whose vanished rows stay where they were sent."""
+    old, new = _old_and_new(spark, d)
+    return M.apply_changes(old, M.change_set(old, new, ["event_id"], deletes=False), ["event_id"])
+
+
+@query("""with h as (select o_orderkey, strftime(o_orderdate, '%Y-%m') as g, o_orderstatus as s, o_totalprice from orders),
+old as (select o_orderkey, g, case when o_orderkey % 150 = 0 then 'X' else s end as s, o_totalprice from h where o_orderkey % 100 != 0 or g < '1997-07'), new as (select * from h where g >= '1996-01' and g != '1998-02' and (o_orderkey % 97 != 0 or g like '%-03'))
+select o_orderkey, g as "group", s, o_totalprice from new union all select o_orderkey, g, s, o_totalprice from old where g not in (select g from new) and g >= '1994-06'""")
+def apply_month_changes(spark, d):
+    """Changed months applied: rows of known months one by one, others cleared and sent whole, vanished ones kept, and those before the window dropped."""
+    o = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("group"), F.col("o_orderstatus").alias("s"), "o_totalprice")
+    old = o.where("o_orderkey % 100 != 0 or group < '1997-07'").withColumn("s", F.when(F.col("o_orderkey") % 150 == 0, "X").otherwise(F.col("s")))
+    new = o.where("group >= '1996-01' and group != '1998-02' and (o_orderkey % 97 != 0 or group like '%-03')")
+    hashed = row_hash(F.col("o_orderkey"), F.col("s"), F.col("o_totalprice"))
+    digest = lambda rows: group_digest(rows, F.col("group"), hashed)
+    known = old.where("group >= '1999-01'").select("group", "o_orderkey", hashed.alias("hash"))
+    changes = M.month_change_set(digest(old), known, digest(new), new, "o_orderkey", hashed, F.lit("1994-06"))
+    return M.apply_changes(old, changes, ["o_orderkey"], "group")
+
+
+@query(f"""with h as (select *, strftime(o_orderdate, '%Y-%m') as g, substr(sha256(concat_ws(chr(31), coalesce(o_orderkey::varchar, chr(0)), coalesce(o_orderstatus, chr(0)))), 1, 16) as h from orders)
+select g as "group", o_orderkey, h as hash from h where g in (select distinct g from h order by g desc limit 2)""")
+def newest_hashes(spark, d):
+    """Row hashes of the two newest months, which are all that a manifest keeps."""
+    o = table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("group"), "o_orderkey", row_hash(F.col("o_orderkey"), F.col("o_orderstatus")).alias("hash"))
+    newest = o.select("group").distinct().orderBy(F.desc("group")).limit(2)
+    return o.join(newest, "group", "left_semi")
+
+
 @query("""select strftime(o_orderdate, '%Y-%m') as month, count(*) as n from orders where o_orderdate < date_trunc('month', (select max(o_orderdate) from orders)) - interval 23 month group by 1""")
 def retention_deletes(spark, d):
     """Months that the sliding window of 24 months has left behind."""
