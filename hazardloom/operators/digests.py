@@ -46,7 +46,8 @@ def digest_tree(rows: DataFrame, key: str, depth: int = DEPTH) -> DataFrame:
 
 def tree_diff(old: DataFrame, new: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``group, prefix, n_old, n_new`` of the nodes that differ, at every level; a level joins only what lies below differing nodes."""
-    level = lambda tree, k: tree.where(F.length("prefix") == k)
+    # As a struct the null group equals itself in joins.
+    level = lambda tree, k: tree.where(F.length("prefix") == k).withColumn("group", F.struct("group"))
     found, above = None, None
     for k in range(depth + 1):
         a, b = level(old, k), level(new, k)
@@ -57,12 +58,12 @@ def tree_diff(old: DataFrame, new: DataFrame, depth: int = DEPTH) -> DataFrame:
         differ = both.where(~F.col("o").eqNullSafe(F.col("d"))).select("group", "prefix", F.coalesce("n_old", F.lit(0)).alias("n_old"), F.coalesce("n_new", F.lit(0)).alias("n_new"))
         found = differ if found is None else found.unionByName(differ)
         above = differ.select("group", F.col("prefix").alias("up"))
-    return found
+    return found.withColumn("group", F.col("group.group"))
 
 
 def changed_rows(old: DataFrame, new: DataFrame, differing: DataFrame, key: str, depth: int = DEPTH) -> DataFrame:
     """``group``, the key and ``change`` (insert, update, delete) of rows (``group``, key, ``hash``) in the leaves of ``differing`` (of ``tree_diff``)."""
-    leaves = differing.where(F.length("prefix") == depth).select("group", F.col("prefix").alias("leaf"))
-    inside = lambda rows, name: rows.withColumn("leaf", leaf(F.col(key), depth)).join(leaves, ["group", "leaf"], "left_semi").select("group", key, F.col("hash").alias(name))
+    leaves = differing.where(F.length("prefix") == depth).select(F.struct("group").alias("group"), F.col("prefix").alias("leaf"))
+    inside = lambda rows, name: rows.withColumns({"leaf": leaf(F.col(key), depth), "group": F.struct("group")}).join(leaves, ["group", "leaf"], "left_semi").select("group", key, F.col("hash").alias(name))
     both = inside(old, "o").join(inside(new, "d"), ["group", key], "full_outer").where(~F.col("o").eqNullSafe(F.col("d")))
-    return both.select("group", key, F.when(F.col("o").isNull(), "insert").when(F.col("d").isNull(), "delete").otherwise("update").alias("change"))
+    return both.select(F.col("group.group").alias("group"), key, F.when(F.col("o").isNull(), "insert").when(F.col("d").isNull(), "delete").otherwise("update").alias("change"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardloom.functions.folds import fold_sorted
 from hazardloom.functions.text import row_hash
 
 
@@ -137,21 +136,3 @@ def budget_plan(groups: DataFrame, group: str, rows: str, budget: int, fresh: in
     summed = ranked.withColumns({"so_far": F.sum("old_rows").over(upto), "with_rows": F.sum((F.col("old_rows") > 0).cast("int")).over(upto)})
     taken = (F.col("rank") <= fresh) | (F.col("old_rows") == 0) | (F.col("so_far") <= budget) | (F.col("with_rows") == 1)
     return summed.withColumn("refused", F.max((~taken).cast("int")).over(upto)).select(group, rows, F.col("rank"), (taken & (F.col("refused") == 0)).alias("taken"))
-
-
-def statement_batches(rows: DataFrame, group: str, order: str, text: str, most: int) -> DataFrame:
-    """Rows of each group, in order, dealt into statements of at most ``most`` bytes (a longer row alone).
-
-    The fold goes over the lengths of one group, as each batch begins where the one before was full.
-    """
-    sizes = rows.select(group, order, F.octet_length(text).alias("__size"))
-    schema = sizes.drop("__size").withColumn("batch", F.lit(0)).schema
-
-    def step(state: list, row: dict) -> list[dict]:
-        batch, held = state
-        size = row["__size"]
-        fits = held is not None and (held == 0 or size is not None and held + size <= most)
-        state[:] = (batch, None if size is None else held + size) if fits else (batch + 1, size)
-        return [{group: row[group], order: row[order], "batch": state[0]}]
-
-    return fold_sorted(sizes, group, [order, "__size"], schema, lambda: [0, 0], step)

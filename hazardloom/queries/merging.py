@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from hazardloom.functions.text import row_hash, sql_literal
 from hazardloom.operators import aggregates as A
 from hazardloom.operators import merge as M
+from hazardloom.operators.batches import statement_batches as dealt_batches
 from hazardloom.operators.digests import changed_rows, digest_tree, group_digest, tree_diff
 from hazardloom.queries import query
 from hazardloom.sources.tables import table
@@ -171,7 +172,7 @@ select o_custkey, o_orderkey, batch::int as batch from f""")
 def statement_batches(spark, d):
     """Rows as SQL values, batched by bytes."""
     value = F.concat(F.lit("("), sql_literal(F.col("o_orderkey").cast("string"), True), F.lit(","), sql_literal(F.col("o_orderpriority"), False), F.lit(")"))
-    return M.statement_batches(table(spark, d, "orders").withColumn("value", value), "o_custkey", "o_orderkey", "value", 60)
+    return dealt_batches(table(spark, d, "orders").withColumn("value", value), "o_custkey", "o_orderkey", "value", 60)
 
 
 @query(f"with {_SPLIT} select event_id, user_id, event_type, value from n")
