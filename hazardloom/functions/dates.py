@@ -55,3 +55,8 @@ def add_month(month: Column, k: int) -> Column:
 
 def age_minutes(then: Column, now: Column) -> Column:
     return F.floor((F.unix_timestamp(now.cast("timestamp")) - F.unix_timestamp(then.cast("timestamp"))) / 60)
+
+
+def local_time(utc: Column, offset: str = "+08:00") -> Column:
+    """A UTC time as the local ISO text that row files hold, with its offset."""
+    return F.concat(F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(offset), utc.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss"), F.lit(offset))

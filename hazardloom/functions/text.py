@@ -27,11 +27,9 @@ def _ascii(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode(), na_action="ignore")
 
 
-def unescape(c: Column, usual_only: bool = False) -> Column:
-    """Every HTML entity decoded. Python sees only texts with others than the usual ones, and none at all with ``usual_only``."""
+def unescape(c: Column) -> Column:
+    """Every HTML entity decoded. Python sees only texts with others than the usual ones."""
     usual = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), ENTITIES, c)
-    if usual_only:
-        return usual
     others = c.rlike("&(?!(?:nbsp|lt|gt|quot|#39|amp);)#?[0-9A-Za-z]")
     return F.when(others, _all_entities(F.when(others, c))).otherwise(usual)
 
@@ -40,12 +38,9 @@ def _flat(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[\s\x{A0}]+", " "))
 
 
-def cell_text(html: Column, usual_only: bool = False) -> Column:
-    """Tags as spaces, entities decoded, white space as single spaces, none at the ends.
-
-    With ``usual_only`` (for lambda functions, where Python cannot go) only ``ENTITIES`` are decoded.
-    """
-    return _flat(unescape(F.regexp_replace(html, "<[^>]*>", " "), usual_only))
+def cell_text(html: Column) -> Column:
+    """Tags as spaces, entities decoded, white space as single spaces, none at the ends. For arrays see ``cell_texts``."""
+    return _flat(unescape(F.regexp_replace(html, "<[^>]*>", " ")))
 
 
 def cell_texts(cells: Column) -> Column:

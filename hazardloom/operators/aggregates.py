@@ -49,13 +49,14 @@ def dense_daily(df: DataFrame, at: str) -> DataFrame:
     return days.join(counts, "day", "left").select(F.date_format("day", "yyyy-MM-dd").alias("day"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def radius_rates(places: DataFrame, events: DataFrame, key: str, since: str, km: float = 50.0) -> DataFrame:
+def radius_rates(places: DataFrame, events: DataFrame, key: str, since: str, km: float = 50.0, today: Column | None = None) -> DataFrame:
     """Base rates around each place: counts of magnitude 3, 4 and 5, last of 4 and 5, Poisson chances, and counts of 4 by year.
 
-    ``by_year`` is a list ``year:count`` from ``since`` to the newest event, years without events with 0. Places without events are kept with zeros. Exposure runs from ``since`` to the newest event, half a year at least.
+    ``by_year`` is a list ``year:count`` from ``since`` to the newest event, years without events with 0. Places without events are kept with zeros. Exposure runs from ``since`` to the newest event, or to ``today`` if that is later, half a year at least.
     """
     sound = events.where((F.col("mag") >= 3) & (F.col("occurred_at") >= F.lit(since).cast("timestamp_ntz")))
-    until = events.agg(F.max("occurred_at")).scalar().cast("date")
+    newest_day = events.agg(F.max("occurred_at")).scalar().cast("date")
+    until = newest_day if today is None else F.greatest(newest_day, today)
     near = within(places.select(key, "lat", "lon"), sound.select("lat", "lon", "mag", "occurred_at"), km)
     m, at = F.col("mag"), F.col("occurred_at")
     last = lambda least: F.max(F.when(m >= least, at))
@@ -122,3 +123,15 @@ def per_key_first(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 def latest_per_key(df: DataFrame, keys: list[str], n: int, *order: Column) -> DataFrame:
     at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("rank", at).where(F.col("rank") <= n)
+
+
+def region_votes(votes: DataFrame, pages: DataFrame, keys: DataFrame, key: str, vote: str, seq: str) -> tuple[DataFrame, DataFrame]:
+    """``key, vote, n, page`` of keys: the majority's vote, or where nobody voted that of the last page; and the keys with neither.
+
+    ``n`` is null where a page decided. A vote that differs from the page's is a disagreement.
+    """
+    best = majority(votes, key, vote, seq)
+    last = pages.groupBy(key).agg(F.max_by(vote, seq).alias("page"))
+    both = keys.select(key).join(best, key, "left").join(last, key, "left")
+    told = F.coalesce(vote, "page")
+    return both.where(told.isNotNull()).select(key, told.alias(vote), "n", "page"), both.where(told.isNull()).select(key)

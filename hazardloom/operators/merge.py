@@ -28,6 +28,15 @@ def append_new(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return new.join(old.select(key).distinct(), key, "left_anti")
 
 
+def compact_texts(rows: DataFrame, text: str, order: str, *kept: str) -> DataFrame:
+    """Of rows with equal ``text`` the first in ``order``, with its ``kept`` columns, and how many there were as ``n``.
+
+    Texts are grouped by their SHA-256; compacting twice changes nothing but ``n``.
+    """
+    first = F.min_by(F.struct(text, order, *kept), order).alias("r")
+    return rows.groupBy(F.sha2(text, 256).alias("__digest")).agg(first, F.count(F.lit(1)).alias("n")).select("r.*", "n")
+
+
 def replace_guarded(old: DataFrame, new: DataFrame, group: str, least: float = 0.95) -> DataFrame:
     """Per group whether ``new`` may replace ``old`` (not with fewer than ``least`` of its rows), and how many rows change."""
     cols = old.columns

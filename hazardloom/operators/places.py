@@ -228,7 +228,7 @@ def advisory_summary(advisories: DataFrame, towns: DataFrame, id_col: str, gazet
     quoted = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
     rows = F.transform("towns", lambda t: F.concat(F.lit("["), F.concat_ws(",", number(t["lat"]), number(t["lon"]), quoted(t["code"]), quoted(F.substring(t["status"], 1, 1))), F.lit("]")))
     listed = F.transform(F.map_entries("provinces"), lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"].cast("string")))
-    out = out.withColumns({"towns": F.transform("items", lambda t: F.struct(t["lat"].alias("lat"), t["lon"].alias("lon"), t["code"].alias("code"), t["status"].alias("status"))), "status": F.element_at(F.array(*[F.lit(s) for s in STATUSES]), F.col("rank") + 1), "n_towns": F.coalesce("n", F.lit(0))})
+    out = out.withColumns({"towns": F.transform("items", lambda t: F.struct(t["lat"].alias("lat"), t["lon"].alias("lon"), t["code"].alias("code"), t["status"].alias("status"))), "status": F.get(F.array(*[F.lit(s) for s in STATUSES]), F.col("rank")), "n_towns": F.coalesce("n", F.lit(0))})
     text = {"towns_json": F.concat(F.lit("["), F.coalesce(F.array_join(rows, ","), F.lit("")), F.lit("]")), "provinces_json": F.concat(F.lit("{"), F.coalesce(F.array_join(listed, ","), F.lit("")), F.lit("}"))}
     return out.withColumns(text).drop("rank", "n", "items")
 

@@ -7,6 +7,10 @@ from hazardloom.operators import aggregates as A
 from hazardloom.operators import merge as M
 from hazardloom.operators.batches import statement_batches as dealt_batches
 from hazardloom.operators.digests import changed_rows, digest_tree, group_digest, tree_diff
+from hazardloom.operators import polling
+from hazardloom.functions import bulletins as B
+from hazardloom.functions.dates import local_time, stamp
+from hazardloom.functions.text import bulletin_text
 from hazardloom.queries import query
 from hazardloom.sources.tables import table
 
@@ -250,3 +254,70 @@ def poll_gates(spark, d):
     s = e.groupBy("event_type").agg(F.max("ts").alias("last_fetch"), F.max(F.when(F.col("event_id") % 4 != 0, F.col("ts"))).alias("last_ok"), F.max_by(F.col("event_id") % 4, "ts").alias("code"))
     cooling = (F.col("code") == 3) & (F.col("last_fetch") + F.expr("interval 6 hours") > now)
     return s.select("event_type", cooling.alias("cooling"), (F.col("last_ok") + F.expr("interval 29 minutes") <= now).alias("due"))
+
+
+def _polls(spark, d):
+    k = F.col("event_id")
+    status = F.when(k % 13 == 0, 403).when(k % 13 == 1, 429).when(k % 13 == 2, 304).when(k % 13 == 3, 500).otherwise(200)
+    return table(spark, d, "events").select(
+        F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("source"), F.col("ts").alias("at"), status.alias("status"), F.col("event_type").alias("note"),
+        (k % 5 != 0).alias("ok"), (k % 17 == 4).alias("challenge"), F.concat(F.lit("e"), k.cast("string")).alias("etag"), F.col("user_id").cast("string").alias("last_modified"),
+    )
+
+
+@query(f"""with p as (select user_id || '-' || event_type as source, ts as "at", case event_id % 13 when 0 then 403 when 1 then 429 when 2 then 304 when 3 then 500 else 200 end as status, event_type as note, event_id % 5 != 0 as ok, event_id, user_id,
+  case when event_id % 17 = 4 then 24 when event_id % 13 = 0 then 24 when event_id % 13 = 1 then 6 end as hours from events),
+old as (select * from p where "at" < timestamp '2024-01-10'), new as (select * from p where "at" >= timestamp '2024-01-10'),
+s as (select source, max("at") filter (hours is null) as lf, arg_max(status, "at") filter (hours is null) as ls, max("at") filter (hours is null and ok and status = 200) as lo, arg_max(event_id, "at") filter (hours is null and ok and status = 200) as e,
+  arg_max("at" + to_hours(hours), "at") filter (hours is not null) as c from p group by source)
+select source, strftime(lf, '%Y-%m-%d %H:%M:%S') as last_fetch, ls::int as last_status, strftime(lo, '%Y-%m-%d %H:%M:%S') as last_ok, 'e' || e as etag, strftime(c, '%Y-%m-%d %H:%M:%S') as cooldown_until,
+  coalesce(c > (select max("at") from p), false) as cooling, lf is null or lf + interval 59 minute <= (select max("at") from p) as due from s""")
+def poll_states(spark, d):
+    """The states of sources after two runs of polls, and which of them may be asked again."""
+    polls = _polls(spark, d)
+    states = spark.createDataFrame([], "source string, last_fetch timestamp_ntz, last_status int, last_note string, last_ok timestamp_ntz, etag string, last_modified string, cooldown_until timestamp_ntz")
+    for run in ("at < timestamp_ntz '2024-01-10'", "at >= timestamp_ntz '2024-01-10'"):
+        states = polling.states_after(states, polls.where(run))
+    may = polling.may_poll(states, polls.agg(F.max("at")).scalar(), F.lit(59))
+    return states.join(may, "source").select("source", stamp("last_fetch").alias("last_fetch"), "last_status", stamp("last_ok").alias("last_ok"), "etag", stamp("cooldown_until").alias("cooldown_until"), "cooling", "due")
+
+
+@query("select event_id, strftime(ts + interval 8 hour, '%Y-%m-%dT%H:%M:%S') || '+08:00' as at_local, strftime(ts + interval 8 hour, '%Y-%m') as month from events")
+def local_times(spark, d):
+    """UTC times as the local text of row files, and the month that they belong to there."""
+    local = local_time(F.col("ts"))
+    return table(spark, d, "events").select("event_id", local.alias("at_local"), F.substring(local, 1, 7).alias("month"))
+
+
+_LINES = """l as (select doc_id, list_transform(string_split(text, chr(10)), lambda x: case when regexp_matches(trim(x, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)), '^(TOS|Previous Next)$|-->$') then '' else trim(x, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) end) as a from documents),
+p as (select doc_id, a, list_filter(range(1, len(a) + 1), lambda i: a[i] != '') as p from l),
+j as (select doc_id, a, p, list_filter(range(1, len(p) + 1), lambda q: q = 1 or a[p[q]] != a[p[q - 1]]) as j from p),
+clean as (select doc_id, array_to_string(list_transform(j, lambda q: case when q = 1 then '' when p[q] - p[q - 1] > 1 then chr(10) || chr(10) else chr(10) end || a[p[q]]), '') as t from j)"""
+
+
+@query(f"with {_LINES} select doc_id, md5(t) as h, length(t) as n from clean")
+def clean_bulletins(spark, d):
+    """Texts without marks, blank runs and repeated lines."""
+    clean = bulletin_text(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", F.md5(clean).alias("h"), F.length(clean).alias("n"))
+
+
+@query(f"with {_LINES} select md5(t) as text_md5, min(doc_id) as doc_id, arg_min(substr(sha256(text), 1, 16), doc_id) as sha, count(*) as n from clean join documents using (doc_id) group by t")
+def compact_bulletins(spark, d):
+    """Of texts that are equal when cleaned the earliest, under the hash that it was stored by."""
+    rows = table(spark, d, "documents").select("doc_id", bulletin_text(F.col("text")).alias("t"), F.substring(F.sha2("text", 256), 1, 16).alias("sha"))
+    return M.compact_texts(rows, "t", "doc_id", "sha").select(F.md5("t").alias("text_md5"), "doc_id", "sha", "n")
+
+
+@query("""with d as (select doc_id, case when doc_id % 4 = 0 then '' else 'Typhoon "X' || doc_id % 40 || '"' || chr(10) end || case when doc_id % 7 = 0 then '' else 'Issued at 05:00 pm, ' || (1 + doc_id % 28) || ' September 2026' || chr(10) end || coalesce(lang, '') || doc_id % 300 as t from documents),
+good as (select * from d where doc_id % 4 != 0 and doc_id % 7 != 0 and doc_id % 3 != 0), stored as (select t, case when doc_id % 2 = 0 then substr(sha256(t), 1, 16) else 'old' || doc_id end as sha from d where doc_id % 3 = 0)
+select doc_id, substr(sha256(t), 1, 16) as sha from good where t not in (select t from stored) and substr(sha256(t), 1, 16) not in (select sha from stored)""")
+def append_checked_bulletins(spark, d):
+    """New bulletins: texts that are bulletins at all and that neither their text nor their hash says are stored."""
+    k, s = F.col("doc_id"), lambda c: c.cast("string")
+    title = F.when(k % 4 == 0, "").otherwise(F.concat(F.lit('Typhoon "X'), s(k % 40), F.lit('"\n')))
+    issued = F.when(k % 7 == 0, "").otherwise(F.concat(F.lit("Issued at 05:00 pm, "), s(k % 28 + 1), F.lit(" September 2026\n")))
+    rows = table(spark, d, "documents").select("doc_id", F.concat(title, issued, F.coalesce("lang", F.lit("")), s(k % 300)).alias("text"))
+    rows = rows.withColumn("sha", F.substring(F.sha2("text", 256), 1, 16))
+    stored = rows.where("doc_id % 3 = 0").withColumn("sha", F.when(k % 2 == 0, F.col("sha")).otherwise(F.concat(F.lit("old"), s(k))))
+    return B.append_new_bulletins(stored, rows.where("doc_id % 3 != 0"), "text", "sha").select("doc_id", "sha")

@@ -171,7 +171,7 @@ def signal_codes(spark, d):
     gazetteer = of_tables(spark, d)
     regions = spark.createDataFrame([("Metro Manila", 1300)], "name string, code int")
     islands = n.where("n_nationkey = 6").select(F.lit("Isla Verde").alias("name"), F.col("n_name").alias("province"))
-    return B.coded_signals(areas, "k", gazetteer, regions, islands)
+    return B.coded_signals(areas, "k", gazetteer, regions, islands, fuzzy=False)
 
 
 @query(f"""with {_G} select m.mention, min(round({_KM.format(a="m", b="g")}, 4))::double as km, min_by(g.code, ({_KM.format(a="m", b="g")}, g.code)) as code from m join g on m.name = g.name group by m.mention""")

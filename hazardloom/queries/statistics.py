@@ -174,3 +174,28 @@ def freshness(spark, d):
 def table_counts(spark, d):
     one = lambda name: table(spark, d, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("t"), "n")
     return one("orders").unionByName(one("lineitem")).unionByName(one("customer")).unionByName(one("events"))
+
+
+_VOTES = """v as (select o_custkey as k, o_orderpriority as vote, count(*) as n, min(o_orderkey) as first from orders where o_orderkey % 3 = 0 group by all),
+best as (select k, arg_max(vote, (n, -first)) as vote, max(n) as n from v group by k),
+last as (select o_custkey as k, arg_max(o_orderpriority, o_orderkey) as page from orders where o_orderkey % 3 = 1 group by k)"""
+
+
+def _region_votes(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority", "o_orderkey")
+    return A.region_votes(o.where("o_orderkey % 3 = 0"), o.where("o_orderkey % 3 = 1"), table(spark, d, "customer"), "c_custkey", "o_orderpriority", "o_orderkey")
+
+
+@query(f"""with {_VOTES} select c_custkey, coalesce(vote, page) as vote, n, page, page is not null and vote is not null and vote != page as disagrees
+from customer left join best on best.k = c_custkey left join last on last.k = c_custkey where coalesce(vote, page) is not null""")
+def vote_disagreements(spark, d):
+    """The vote of most documents per key, filled from pages, and where both disagree."""
+    found, _ = _region_votes(spark, d)
+    disagrees = F.coalesce(F.col("n").isNotNull() & (F.col("page") != F.col("o_orderpriority")), F.lit(False))
+    return found.select("c_custkey", F.col("o_orderpriority").alias("vote"), "n", "page", disagrees.alias("disagrees"))
+
+
+@query(f"with {_VOTES} select c_custkey from customer where c_custkey not in (select k from best) and c_custkey not in (select k from last)")
+def vote_missing(spark, d):
+    """Keys that no document and no page tells anything about."""
+    return _region_votes(spark, d)[1]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardloom.functions.dates import loose_date
-from hazardloom.functions.text import cell_text
+from hazardloom.functions.text import cell_text, cell_texts
 from hazardloom.sources.pages import embedded_json
 
 # The page format of forecasts - head, end and extent (where no end is found) of the block, and the patterns of its values.
@@ -27,8 +27,12 @@ def _found(c: Column, pattern: str) -> Column:
     return F.regexp_extract(c, pattern, 1)
 
 
-def _labelled(item: Column, label: str) -> Column:
-    return cell_text(_found(item, rf"(?is)<div>\s*<span>[^<]*{label}[^<]*</span>\s*<span>(.*?)</span>\s*</div>"), usual_only=True)
+def _labelled(label: str) -> str:
+    return rf"(?is)<div>\s*<span>[^<]*{label}[^<]*</span>\s*<span>(.*?)</span>\s*</div>"
+
+
+#: The texts of a day and where they stand in its item.
+TEXTS = {"name": DAY_NAME, "wind": _labelled(r"(?i:wind\s*speed)"), "direction": _labelled("(?i:direction)"), "coastal": _labelled("(?i:coastal)"), "sky": SKY}
 
 
 def region_days(pages: DataFrame, html: str) -> DataFrame:
@@ -44,15 +48,13 @@ def region_days(pages: DataFrame, html: str) -> DataFrame:
     ordered = F.regexp_replace(said, r"([A-Za-z]{3,})\.? (\d{1,2}),? (\d{4})$", "$2 $1 $3")
     items = F.filter(F.split(block, ITEM), lambda _, i: i > 0)
     rows = pages.select(*kept, loose_date(ordered).alias("issued_at"), items.alias("items")).where("issued_at is not null and size(items) > 0")
-    name = lambda x: cell_text(_found(x, DAY_NAME), usual_only=True)
-    days = rows.where(F.forall("items", lambda x: name(x) != "")).select(*kept, "issued_at", F.posexplode("items").alias("day_index", "item"))
-    item = F.col("item")
-    return days.select(
-        *kept, "issued_at", "day_index", name(item).alias("name"),
-        _found(item, LOW).try_cast("int").alias("tmin"), _found(item, HIGH).try_cast("int").alias("tmax"),
-        _labelled(item, r"(?i:wind\s*speed)").alias("wind"), _labelled(item, "(?i:direction)").alias("direction"), _labelled(item, "(?i:coastal)").alias("coastal"),
-        cell_text(_found(item, SKY), usual_only=True).alias("sky"),
-    )
+    # The texts of a page's days are decoded together, one array for each of them.
+    each = lambda pattern: F.transform("items", lambda x: _found(x, pattern))
+    texts = {c: cell_texts(each(pattern)) for c, pattern in TEXTS.items()}
+    read = rows.withColumns(texts | {c: F.transform(each(pattern), lambda x: x.try_cast("int")) for c, pattern in (("tmin", LOW), ("tmax", HIGH))})
+    order = ("name", "tmin", "tmax", "wind", "direction", "coastal", "sky")
+    days = read.where(F.forall("name", lambda x: x != "")).select(*kept, "issued_at", F.posexplode(F.arrays_zip(*order)).alias("day_index", "day"))
+    return days.select(*kept, "issued_at", "day_index", *[F.col(f"day.{c}").alias(c) for c in order])
 
 
 def province_days(pages: DataFrame, html: str, days: DataFrame, key: str) -> DataFrame:

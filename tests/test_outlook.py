@@ -2,7 +2,7 @@ import json
 
 from hazardloom.sources import outlook
 
-ITEM = '<div class="outlook-item"><span style="font-weight: bold">{day}</span><img src="x" title="Cloudy &amp; calm"><span class="low"> 24</span><span class="high">32</span><div><span>Wind Speed:</span><span>Light</span></div><div> <span>Direction</span> <span>South&nbsp;West</span> </div><div><span>Coastal Condition</span><span>Slight</span></div></div>'
+ITEM = '<div class="outlook-item"><span style="font-weight: bold">{day}</span><img src="x" title="Cloudy &amp; calm"><span class="low"> 24</span><span class="high">32</span><div><span>Wind Speed:</span><span>Light</span></div><div> <span>Direction</span> <span>South&nbsp;West &mdash; &ntilde;</span> </div><div><span>Coastal Condition</span><span>Slight</span></div></div>'
 DATA = {"default": "1", "provincial": {"data": {"1": {"name": "North", "psgc_code": "0100", "outlook": [{"day_low": n, "day_high": n + 5, "day_wind_speed": "w"} for n in (20, 21, 22, 23)]}}}}
 
 
@@ -16,7 +16,7 @@ def test_outlook_pages(spark):
     pages = spark.createDataFrame(rows, "region string, html string")
     days = outlook.region_days(pages, "html")
     got = [(r.region, str(r.issued_at), r.day_index, r.name, r.tmin, r.tmax, r.wind, r.direction, r.coastal, r.sky) for r in days.orderBy("region", "day_index").collect()]
-    day = (24, 32, "Light", "South West", "Slight", "Cloudy & calm")
+    day = (24, 32, "Light", "South West — ñ", "Slight", "Cloudy & calm")
     assert got == [("a", "2026-09-26 09:00:00", 0, "Sunday", *day), ("a", "2026-09-26 09:00:00", 1, "Monday", *day), ("b", "2026-09-26 17:00:00", 0, "Sunday", *day)]
     provinces = outlook.province_days(pages, "html", days, "region").where("region = 'a'").orderBy("day_index").collect()
     assert [(r.province, r.province_name, r.day, r.tmin, r.tmax) for r in provinces] == [("0100", "North", "Sunday", 21, 26), ("0100", "North", "Monday", 22, 27), ("0100", "North", "", 23, 28)]

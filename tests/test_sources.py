@@ -256,3 +256,38 @@ def test_bulletin_pages(spark):
     assert got == [(1, "Typhoon A\n", False, 1, 16), (1, "Typhoon B\n", False, 1, 16), (4, "Typhoon A\n", False, 1, 16)]
     clean = lambda t: one(spark, text.bulletin_text(F.lit(t)))
     assert clean("a\n\n\na\nb\nx -->\nb\n\n\nc\nTOS\nTropical cyclone bulletin archive\nd") == "a\nb\n\nc"
+
+
+def test_states_after_polls(spark):
+    from datetime import datetime
+
+    from hazardloom.operators import polling
+
+    t = lambda h: datetime(2026, 1, 1, h)
+    none = (None,) * 7
+    states = spark.createDataFrame([("a", t(1), 200, "old", t(1), "e0", "m0", None), ("b", *none), ("same", t(2), 304, "n", t(1), "e", "m", t(3))], "source string, last_fetch timestamp, last_status int, last_note string, last_ok timestamp, etag string, last_modified string, cooldown_until timestamp")
+    polls = [
+        ("a", t(2), 200, "unreadable", False, False, "e1", "m1"), ("a", t(3), 304, "304", True, False, "e2", "m2"),  # neither moves the marks
+        ("b", t(2), 200, "fine", True, False, "e3", None), ("b", t(4), 200, "wall", True, True, "e4", "m4"),
+        ("new", t(5), 429, "slow", None, None, None, None), ("new", t(4), 403, "no", None, None, None, None),
+    ]
+    df = spark.createDataFrame(polls, "source string, at timestamp, status int, note string, ok boolean, challenge boolean, etag string, last_modified string")
+    after = polling.states_after(states, df)
+    got = {r.source: tuple(r)[1:] for r in after.collect()}
+    assert got["a"] == (t(3), 304, "304", t(1), "e0", "m0", None)
+    assert got["b"] == (t(2), 200, "fine", t(2), "e3", None, datetime(2026, 1, 2, 4))
+    assert got["new"] == (None, None, None, None, None, None, t(11)) and got["same"] == (t(2), 304, "n", t(1), "e", "m", t(3))
+    may = {r.source: (r.cooling, r.due) for r in polling.may_poll(after, F.lit(t(4)), F.lit(60)).collect()}
+    assert may == {"a": (False, True), "b": (True, True), "new": (True, True), "same": (False, True)}
+
+
+def test_exposure_runs_to_today(spark):
+    places = spark.createDataFrame([(1, 14.0, 121.0)], "town_id long, lat double, lon double")
+    events = spark.sql("select 14.0D as lat, 121.0D as lon, 4.5D as mag, timestamp_ntz'2024-07-01 00:00:00' as occurred_at")
+    years = lambda today: aggregates.radius_rates(places, events, "town_id", "2024-01-01", today=today).first().years
+    assert years(None) == 0.5 and years(F.lit("2024-02-01").cast("date")) == 0.5 and years(F.lit("2026-01-01").cast("date")) == round(731 / 365.25, 6)
+
+
+def test_basin_names_with_any_entity(spark):
+    page = "<tr><td>Las Pi&ntilde;as Sub-basin</td><td><a href='#'>Alert &mdash; x</a></td></tr><tr><td>other</td></tr>"
+    assert one(spark, pages.basin_status(F.lit(page))) == [("Las Piñas Sub-basin", "Alert — x")] and one(spark, pages.basin_status(F.lit("none"))) == []
