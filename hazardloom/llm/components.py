@@ -12,7 +12,7 @@ def _is_stars(edges: DataFrame) -> bool:
     """Whether every node is either a root or has one edge, to a root."""
     one, none = F.lit(1), F.lit(0)
     ends = edges.select(F.col("u").alias("node"), one.alias("up"), none.alias("down")).unionByName(edges.select(F.col("v").alias("node"), none.alias("up"), one.alias("down")))
-    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up + down > 1").coalesce(1).isEmpty()
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up + down > 1").limit(1).count() == 0
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
