@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardloom.llm.common import WHITE, cut
@@ -228,10 +228,14 @@ def _walk(group: pd.DataFrame) -> pd.DataFrame:
     return group[["conv", "part", "piece"]].assign(start=starts)
 
 
+def _key(conv_col: str) -> Column:
+    """A conversation's id as text, which tells the null id from every other."""
+    return F.coalesce(F.concat(F.lit("="), F.col(conv_col).cast("string")), F.lit("-")).alias("conv")
+
+
 def _turns(rows: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
     given = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
-    conv = F.coalesce(F.concat(F.lit("="), F.col(conv_col).cast("string")), F.lit("-"))
-    turns = rows.select(conv.alias("conv"), F.col(turn_col).cast("long").alias("turn"), given(role_col).alias("role"), given(text_col).alias("text"))
+    turns = rows.select(_key(conv_col), F.col(turn_col).cast("long").alias("turn"), given(role_col).alias("role"), given(text_col).alias("text"))
     return turns.withColumn("digest", F.unhex(F.sha2("text", 256)))
 
 
@@ -279,8 +283,7 @@ def plan_repairs(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
     split = chosen.groupBy("conv").agg(*(F.sum(c).alias(c) for c in counts), F.max("total").alias("cost"), F.array_join(F.transform(parts, lambda p: p.audit), "").alias("audit"))
     solved = pieces.where("symbols is null").select("conv", *counts, "cost", "audit").unionByName(split)
 
-    key = _turns(rows, conv_col, turn_col, role_col, text_col).columns[0]
-    facts = rows.select(F.col(conv_col).alias("id"), F.coalesce(F.concat(F.lit("="), F.col(conv_col).cast("string")), F.lit("-")).alias(key), F.col(turn_col).cast("long").alias("turn"))
+    facts = rows.select(F.col(conv_col).alias("id"), _key(conv_col), F.col(turn_col).cast("long").alias("turn"))
     wide = lambda c: c.cast("decimal(20,0)")
     gaps = F.least(wide(F.max("turn")) - wide(F.min("turn")) + 1 - F.count_distinct("turn"), wide(F.lit((1 << 63) - 1)))
     facts = facts.groupBy("conv").agg(F.min("id").alias(conv_col), F.when(F.max("turn").isNull(), 0).otherwise(gaps).cast("long").alias("gaps"))
