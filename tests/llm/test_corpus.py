@@ -210,6 +210,43 @@ def test_lm_scores(spark):
     assert all(r.score < 0 for r in got)
 
 
+def test_lm_scores_match_plain_python(spark, monkeypatch):
+    flats, plain = [], lm._averaged
+    monkeypatch.setattr(lm, "_averaged", lambda *a: (flats.append(plain(*a)), flats[-1])[1])
+    monkeypatch.setattr(lm, "HEAD", 40)  # most words meet their counts in the join
+    rows = [(i, t, s) for i, t, s in _lm_rows() if i is None or i < 120 or i >= 1000]
+    got = {(r.doc_id, r.n_tokens): r.score for r in lm.score_texts(_docs(spark, rows), fold("doc_id", 10) == 0).collect()}
+    model = lm.Model.of(flats[-1])
+    texts = [(i, re.findall("[^\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) + ["\n"]) for i, t, _ in rows]
+    counts = Counter(w for i, words in texts if i is None or zlib.crc32(str(i).encode()) % 10 for w in words)
+    total, times = sum(counts.values()), Counter(counts.values())
+    least, held = 1 << 62, 0
+    for c in sorted(times, reverse=True):
+        held += times[c]
+        if held > 40:
+            break
+        least = c
+    head = sorted((w for w in counts if counts[w] >= least), key=lambda w: (-counts[w], w))
+    own = {w: k for k, w in enumerate(["\n", *[w for w in head if w != "\n"]][: lm.OWN])}
+    kind = lambda w: own[w] if w in own else lm.suffix_class(w.encode())
+    sizes = Counter()
+    for w, c in counts.items():
+        sizes[kind(w)] += c + 0.1
+    unseen = (times[1] + 0.5) / (total + 1)
+    each_unseen = unseen / max(1, times[1] ** 2 / (2 * max(1, times[2])))
+    for i, words in texts:
+        classes, want = [0] * lm.CONTEXT + [kind(w) for w in words], 0.0
+        for at, w in enumerate(words):
+            if w not in counts:
+                want += math.log10(each_unseen)
+                continue
+            h = sum(model.r[classes[at + lm.CONTEXT - 1 - k]].astype(float) @ model.c[k].astype(float) for k in range(lm.CONTEXT))
+            z = model.q.astype(float) @ h + model.b
+            share = math.exp(z[kind(w)] - z.max()) / np.exp(z - z.max()).sum()
+            want += math.log10(share * (counts[w] + 0.1) / sizes[kind(w)] * (1 - unseen))
+        assert got[i, len(words)] == pytest.approx(want, rel=1e-4, abs=1e-3), i
+
+
 def test_lm_probabilities_add_up(spark):
     rng = np.random.default_rng(1)
     model = lm.Model(*(rng.normal(0, 0.5, s).astype(np.float32) for s in ((lm.CLASSES, lm.DIM), (lm.CONTEXT, lm.DIM, lm.DIM), (lm.CLASSES, lm.DIM), (lm.CLASSES,))))
