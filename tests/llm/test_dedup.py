@@ -297,7 +297,10 @@ def test_block_hashes_are_majorities(spark):
     rng = random.Random(3)
     hashes = [[rng.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (3, 7, 2, 0)]
     got = [r.b for r in spark.createDataFrame([(i, h) for i, h in enumerate(hashes)], "i int, h array<long>").orderBy("i").select(line_dedup.block_hashes(F.col("h")).alias("b")).collect()]
-    assert got == [[(x & y) | (y & z) | (x & z) for x, y, z in zip(h, h[1:], h[2:])] for h in hashes]
+    second, third = line_dedup._PLACES
+    runs = lambda h: [(x, y ^ second, z ^ third) for x, y, z in zip(h, h[1:], h[2:])]
+    assert got == [[(x & y) | (y & z) | (x & z) for x, y, z in runs(h)] for h in hashes]
+    assert line_dedup.block_hashes(F.array(*[F.lit(x) for x in (5, 9, 5)])) is not None and len(set(sum([[(x & y) | (y & z) | (x & z) for x, y, z in runs([7, w, 7])] for w in range(1 << 40, (1 << 40) + 50)], []))) > 10
 
 
 def test_sketches_bound_the_edit_distance(spark):
