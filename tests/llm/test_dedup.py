@@ -4,6 +4,7 @@ import re
 import string
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from hazardloom.llm import line_dedup
@@ -294,13 +295,24 @@ def test_near_lines_of_other_word_counts_and_of_any_length_meet(spark, few, more
 
 
 def test_block_hashes_are_majorities(spark):
-    rng = random.Random(3)
-    hashes = [[rng.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (3, 7, 2, 0)]
-    got = [r.b for r in spark.createDataFrame([(i, h) for i, h in enumerate(hashes)], "i int, h array<long>").orderBy("i").select(line_dedup.block_hashes(F.col("h")).alias("b")).collect()]
-    second, third = line_dedup._PLACES
-    runs = lambda h: [(x, y ^ second, z ^ third) for x, y, z in zip(h, h[1:], h[2:])]
-    assert got == [[(x & y) | (y & z) | (x & z) for x, y, z in runs(h)] for h in hashes]
-    assert line_dedup.block_hashes(F.array(*[F.lit(x) for x in (5, 9, 5)])) is not None and len(set(sum([[(x & y) | (y & z) | (x & z) for x, y, z in runs([7, w, 7])] for w in range(1 << 40, (1 << 40) + 50)], []))) > 10
+    """Blocks of the telling words with the smallest hashes, from plain Python."""
+    low, top = (1 << line_dedup._PLACE_BITS) - 1, 1 << 63
+    signed = lambda x: (x + top) % (2 * top) - top
+    number = lambda w, i: signed((xxhash.xxh64_intdigest(w.encode(), 42) & (top - 1) & ~low) | (top if len(w.encode()) >= line_dedup.TELLING else 0) | i)
+    lines = ["of the rain in the hills of the north and of the sea", "storm signal over the northern portion", "a b", "é été storm storm storm storm storm storm storm storm storm", ""]
+    table = spark.createDataFrame([(i, line.split()) for i, line in enumerate(lines)], "i int, w array<string>")
+    got = [r.b for r in table.select("i", line_dedup.block_hashes(line_dedup.word_hashes(F.col("w"))).alias("b")).orderBy("i").collect()]
+    for line, blocks in zip(lines, got):
+        words = line.split()
+        h = [number(w, i) for i, w in enumerate(words)]
+        want = []
+        for a in sorted(h)[: line_dedup.KEYS]:
+            at = a & low
+            x = (h[at - 1] if at else 0) ^ line_dedup._PLACES[0]
+            z = (h[at + 1] if at + 1 < len(h) else 0) ^ line_dedup._PLACES[1]
+            want.append(signed(((x & a) | (z & (x | a))) & ~low & (2 * top - 1)))
+        assert blocks == want
+    assert sorted(h for h in [number("the", 0), number("storm", 1)])[0] == number("storm", 1)
 
 
 def test_sketches_bound_the_edit_distance(spark):
