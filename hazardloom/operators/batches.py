@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardloom.functions.stored import cut
+from hazardloom.functions.text import sql_literal
 
 CHUNK = 8_192
 
@@ -147,3 +148,30 @@ def statement_batches(rows: DataFrame, group: str, order: str, text: str, most:
     through = summaries.repartition("key").sortWithinPartitions(*place).mapInPandas(_through(most), "key string, part int, number int, batch int, held long")
     numbered = chunks.select(*place, "orders", "sizes").join(through, place).mapInPandas(_number(most), f"key string, at {at}, batch int")
     return numbered.select(F.when(F.col("key") != "-", F.substring("key", 2, 1 << 30)).cast(kind).alias(group), F.col("at").alias(order), "batch")
+
+
+def insert_statements(rows: DataFrame, table: str, columns: list[str], numeric: list[str], group: str, order: str, most: int = 90_000, chunk: int = CHUNK) -> DataFrame:
+    """``group, batch, rows, statement``: SQL that puts the rows of each group, in order, at most ``most`` bytes a statement.
+
+    Values are text, or null; those of ``numeric`` columns that are numbers stand bare. A row that is longer than
+    ``most`` is a statement alone. A statement is put together from its own rows, which its size bounds.
+    """
+    head = f"INSERT OR REPLACE INTO {table} ({', '.join(columns)}) VALUES\n"
+    value = F.concat(F.lit("("), F.concat_ws(", ", *[sql_literal(F.col(c).cast("string"), c in numeric) for c in columns]), F.lit(")"))
+    texts = cut(rows.select(F.col(group).alias("g"), F.col(order).alias("o"), value.alias("value")))
+    # Between two rows of a statement stand two more bytes.
+    batches = statement_batches(texts.withColumn("sized", F.concat("value", F.lit("  "))), "g", "o", "sized", most - len(head.encode()), chunk)
+    met = texts.join(batches.withColumnsRenamed({"g": "b_g", "o": "b_o"}), F.col("g").eqNullSafe(F.col("b_g")) & (F.col("o") == F.col("b_o")))
+    listed = F.array_sort(F.collect_list(F.struct("o", "value")))
+    text = F.concat(F.lit(head), F.array_join(F.transform(listed, lambda r: r["value"]), ",\n"), F.lit(";"))
+    return met.groupBy("g", "batch").agg(F.count(F.lit(1)).alias("rows"), text.alias("statement")).withColumnRenamed("g", group)
+
+
+def delete_statements(keys: DataFrame, table: str, columns: list[str], numeric: list[str], order: str, most: int = 200, chunk: int = CHUNK) -> DataFrame:
+    """``batch, rows, statement``: SQL that deletes the rows of the keys, at most ``most`` of them a statement, by equality on the key."""
+    one = F.concat(F.lit("("), F.concat_ws(" AND ", *[F.concat(F.lit(f"{c} = "), sql_literal(F.col(c).cast("string"), c in numeric)) for c in columns]), F.lit(")"))
+    texts = cut(keys.select(F.lit("").alias("g"), F.col(order).alias("o"), one.alias("value")))
+    batches = statement_batches(texts.withColumn("sized", F.lit("x")), "g", "o", "sized", most, chunk).select("o", "batch")
+    listed = F.array_sort(F.collect_list(F.struct("o", "value")))
+    text = F.concat(F.lit(f"DELETE FROM {table} WHERE "), F.array_join(F.transform(listed, lambda r: r["value"]), " OR "), F.lit(";"))
+    return texts.join(batches, "o").groupBy("batch").agg(F.count(F.lit(1)).alias("rows"), text.alias("statement"))

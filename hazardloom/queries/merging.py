@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from hazardloom.functions.text import row_hash, sql_literal
 from hazardloom.operators import aggregates as A
 from hazardloom.operators import merge as M
+from hazardloom.operators.batches import delete_statements as delete_texts
+from hazardloom.operators.batches import insert_statements as insert_texts
 from hazardloom.operators.batches import statement_batches as dealt_batches
 from hazardloom.operators.digests import changed_rows, digest_tree, group_digest, tree_diff
 from hazardloom.operators import polling
@@ -217,6 +219,31 @@ def newest_hashes(spark, d):
     return o.join(newest, "group", "left_semi")
 
 
+_VALUES = """r as (select strftime(o_orderdate, '%Y-%m') as month, o_orderkey, '(' || o_orderkey || ', ' || '''' || o_orderpriority || '''' || ', ' || case when o_orderkey % 7 = 0 then 'NULL' else '''it''''s ' || o_custkey || '''' end || ')' as v from orders),
+s as (select *, octet_length(encode(v)) + 2 as size, row_number() over (partition by month order by o_orderkey) as k from r)"""
+
+
+@query(f"""with {_VALUES},
+f as (with recursive f as (select month, o_orderkey, v, k, size as held, 0 as batch from s where k = 1
+  union all select s.month, s.o_orderkey, s.v, s.k, case when held + size <= 900 - 62 then held + size else size end, case when held + size <= 900 - 62 then batch else batch + 1 end
+  from f join s on s.month = f.month and s.k = f.k + 1) select * from f)
+select month, batch::int as batch, count(*) as rows, md5('INSERT OR REPLACE INTO sent (o_orderkey, priority, note) VALUES' || chr(10) || string_agg(v, ',' || chr(10) order by o_orderkey) || ';') as h from f group by month, batch""")
+def insert_statements(spark, d):
+    """The SQL text of each month's rows, statements of at most 900 bytes."""
+    k = F.col("o_orderkey")
+    note = F.when(k % 7 == 0, "").otherwise(F.concat(F.lit("it's "), F.col("o_custkey").cast("string")))
+    rows = table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey", F.col("o_orderpriority").alias("priority"), note.alias("note"))
+    return insert_texts(rows, "sent", ["o_orderkey", "priority", "note"], ["o_orderkey"], "month", "o_orderkey", 900).select("month", "batch", "rows", F.md5("statement").alias("h"))
+
+
+@query("""with g as (select o_orderkey, '(o_orderkey = ' || o_orderkey || ' AND o_orderstatus = ''' || o_orderstatus || ''')' as v, (row_number() over (order by o_orderkey) - 1) // 200 as batch from orders where o_orderkey % 3 = 0)
+select batch::int as batch, count(*) as rows, md5('DELETE FROM sent WHERE ' || string_agg(v, ' OR ' order by o_orderkey) || ';') as h from g group by batch""")
+def delete_statements(spark, d):
+    """The SQL text that deletes vanished rows by their keys, 200 a statement."""
+    gone = table(spark, d, "orders").where("o_orderkey % 3 = 0").select("o_orderkey", "o_orderstatus")
+    return delete_texts(gone, "sent", ["o_orderkey", "o_orderstatus"], ["o_orderkey"], "o_orderkey").select("batch", "rows", F.md5("statement").alias("h"))
+
+
 @query("""select strftime(o_orderdate, '%Y-%m') as month, count(*) as n from orders where o_orderdate < date_trunc('month', (select max(o_orderdate) from orders)) - interval 23 month group by 1""")
 def retention_deletes(spark, d):
     """Months that the sliding window of 24 months has left behind."""

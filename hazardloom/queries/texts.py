@@ -243,3 +243,47 @@ def basin_statuses(spark, d):
     page = F.concat(F.lit("<table><tr> <td>"), "n_name", kind, F.lit('</td> <td class="s"><a href="#">'), status, F.lit("</a></td></tr><tr><td>x</td></tr></table>"))
     rows = table(spark, d, "nation").select("n_nationkey", F.explode(basin_status(page)).alias("b"))
     return rows.select("n_nationkey", "b.*")
+
+
+def _bulletins(spark, d):
+    """A bulletin for each customer: titles with or without a class, every way to tell the next issue, and headlines, centres and outlooks of each status."""
+    s, k = lambda c: c.cast("string"), F.col("c_custkey")
+    pick = lambda at, *texts: F.get(F.array(*[F.lit(t) if isinstance(t, str) else t for t in texts]), at.cast("int"))
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    category, day = pick(k % 5, "Super Typhoon", "Severe Tropical Storm", "Tropical Storm", "Tropical Depression", "Typhoon"), F.make_date(F.lit(2026), (k % 12 + 1).cast("int"), (k % 28 + 1).cast("int"))
+    name = F.concat(F.lit("X"), s(k))
+    title = F.when(k % 11 == 0, F.lit("A bulletin")).otherwise(F.concat(F.when(k % 2 == 0, F.upper(category)).otherwise(category), F.lit(" “"), name, F.lit("”")))
+    issued = F.concat(F.lit("Issued at "), F.lpad(s(k % 12 + 1), 2, "0"), F.lit(":05 "), pick(k % 3, "am,", "p.m.", "PM"), F.lit(" "), F.date_format(day, "d MMMM yyyy"))
+    until = F.concat(F.lit("(Valid for broadcast until the next advisory to be issued at 5:30 "), pick(k % 4, "PM today", "A.M. , tomorrow", "PM tonight", F.concat(F.lit("AM "), F.date_format(F.date_add(day, 9), "d MMM yyyy"))), F.lit(")"))
+    head = pick(k % 7, F.concat(name, F.lit(" IS ABOUT TO EXIT THE AREA.")), F.concat(name, F.lit(" HAS EXITED THE AREA OF RESPONSIBILITY.")), "Not in capitals at all", "TOO SHORT", F.concat(name, F.lit(" MAINTAINS ITS STRENGTH.")), F.concat(name, F.lit(" LEFT AND IS LIKELY TO RE-ENTER IT.")), "HAZARDS AFFECTING LAND AREAS")
+    beyond = F.when(k % 2 == 0, " (OUTSIDE  PAR)").otherwise("")
+    center = F.when(k % 3 == 0, F.concat(F.lit("The center of the eye of "), category, F.lit(" "), name, F.lit(" at 100 km ("), s(k % 30), F.lit(". °N, 1"), s(k % 10 + 20), F.lit(".5 ° E )"), beyond))
+    outlook = F.when(k % 4 == 0, F.concat(name, F.lit(" is forecast to enter the area."))).otherwise(F.concat(name, F.lit(" moves on.")))
+    winds = F.concat(F.lit("Maximum sustained winds of "), s(k % 200), F.lit(" km/h near the center and gustiness of up to "), s(k % 250), F.lit(" km/h"))
+    forecast = F.concat(F.date_format(day, "MMM d, yyyy"), F.lit(" 08:00 PM - 925 km East (OUTSIDE PAR)\n\n"), F.date_format(F.date_add(day, 1), "MMM d, yyyy"), F.lit(" 08:00 AM – near "), "n_name", F.lit("\nlater"))
+    parts = [
+        title, "", issued, "", until, "", head, "HAZARDS AFFECTING COASTAL WATERS  ", F.concat(F.lit("Seas off "), F.col("n_name")), "TRACK AND INTENSITY OUTLOOK", outlook, "\nLocation of Eye/center\n", F.coalesce(center, F.lit("")),
+        "\nMovement\n\nMoving West at 10 km/h\nStrength", winds, "Forecast Position", forecast, "Wind Signal\n\nTCWS No. 1\nNowhere\nConsidering these developments, act.",
+    ]
+    return c.select(k.alias("k"), F.concat_ws("\n", *[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("text"))
+
+
+@query("""with b as (select c_custkey as k, c_custkey % 7 as v, ['Super Typhoon', 'Severe Tropical Storm', 'Tropical Storm', 'Tropical Depression', 'Typhoon'][c_custkey % 5 + 1] as category,
+  make_date(2026::bigint, 1 + c_custkey % 12, 1 + c_custkey % 28) as day, c_custkey % 12 + 1 as hour, n_name, c_custkey % 3 = 0 as located, c_custkey % 6 = 0 as beyond from customer join nation on n_nationkey = c_nationkey)
+select k, case when k % 11 != 0 or located then category end as category, case when k % 11 != 0 then 'X' || k end as name,
+  strftime(day + to_hours((hour % 12 + case when k % 3 = 0 then 0 else 12 end)::int) + interval 5 minute, '%Y-%m-%d %H:%M:%S') as issued_at,
+  case k % 4 when 0 then strftime(day, '%Y-%m-%d') || ' 17:30:00' when 1 then strftime(day + interval 1 day, '%Y-%m-%d') || ' 05:30:00' when 2 then strftime(day, '%Y-%m-%d') || ' 17:30:00' else strftime(day + interval 9 day, '%Y-%m-%d') || ' 05:30:00' end as next_at,
+  case v when 0 then 'X' || k || ' IS ABOUT TO EXIT THE AREA.' when 1 then 'X' || k || ' HAS EXITED THE AREA OF RESPONSIBILITY.' when 4 then 'X' || k || ' MAINTAINS ITS STRENGTH.' when 5 then 'X' || k || ' LEFT AND IS LIKELY TO RE-ENTER IT.' end as headline,
+  'Seas off ' || n_name as coast, case when located then (k % 30)::double end as lat, case when located then 120.5 + k % 10 end::double as lon, 'Moving West at 10 km/h' as movement, (k % 200)::int as wind_kmh, (k % 250)::int as gust_kmh,
+  2 as n_forecasts, strftime(day + interval 1 day, '%Y-%m-%d') || ' 08:00:00' as last_forecast_at, false as last_outside,
+  case when (beyond or v in (1, 5)) and (k % 4 = 0 or v = 5) then 'entering' when beyond or v in (1, 5) then 'outside' when v = 0 then 'exiting' when located then 'inside' else 'unknown' end as status,
+  case when k % 11 = 0 then 'no name' end as reason from b""")
+def bulletin_fields(spark, d):
+    """What bulletins tell: class, name, times, headline, sections, centre, winds, forecasts and where the cyclone is."""
+    from hazardloom.functions.bulletins import fields
+
+    last, found = F.get("forecasts", 1), fields(_bulletins(spark, d), "text")
+    return found.select(
+        "k", "category", "name", D.stamp("issued_at").alias("issued_at"), D.stamp("next_at").alias("next_at"), "headline", "coast", "lat", "lon", "movement", "wind_kmh", "gust_kmh",
+        F.size("forecasts").alias("n_forecasts"), D.stamp(last["at"]).alias("last_forecast_at"), last["outside"].alias("last_outside"), "status", "reason",
+    )
