@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK, QUERY_BLOCK = 8_192, 4_096
-LINES, WIDEN, REACH, LEAST, SEED = 32, 1.15, 1.1, 0.6, 5
+LINES, WIDEN, REACH, LEAST, SEED = 128, 1.15, 1.1, 0.68, 5
+#: Queries whose windows are counted together.
+TOGETHER = 64
 #: Vectors of a block whose k-th neighbour tells where its searches begin.
 PROBES = 16
 _FOUND = "query_id long, query string, vec_id long, score double, copies long"
@@ -51,10 +53,12 @@ class Block:
         spots = vectors @ self.lines[:d] + more[:, None] * self.lines[d]
         self.sorted = np.sort(spots, axis=0).T.copy()
         order = np.argsort(spots, axis=0, kind="stable")
-        self.places = np.empty((lines, n), dtype=np.uint16)  # a vector's place on each line
-        np.put_along_axis(self.places, order.T, np.arange(n, dtype=np.uint16)[None, :], axis=1)
+        # A vector's place on each line, in 256 steps of as many vectors each: a byte is counted fast.
+        self.places = np.empty((lines, n), dtype=np.uint8)
+        np.put_along_axis(self.places, order.T, (np.arange(n) * 256 // n).astype(np.uint8)[None, :], axis=1)
         self.least = int(np.ceil(LEAST * lines))
         self.starts: dict[int, float] = {}
+        self.searched = self.verified = 0  # searches, and vectors verified in them
 
     def _start(self, k: int) -> float:
         """Nine tenths of the median distance at which sampled vectors have their ``k``-th neighbour in the block."""
@@ -65,33 +69,52 @@ class Block:
             self.starts[k] = max(0.05 * self.top, 0.9 * float(np.median(np.sqrt(np.maximum(2 * self.top**2 - 2 * best, 0)))))
         return self.starts[k]
 
-    def _collisions(self, spots: np.ndarray, half: float) -> np.ndarray:
-        counts = np.zeros(len(self.ids), dtype=np.uint8)
-        for line, spot, places in zip(self.sorted, spots, self.places, strict=True):
-            low, high = np.searchsorted(line, (spot - half, spot + half))
-            counts += (places - np.uint16(low)) < np.uint16(high - low) if high - low < len(line) else np.uint8(1)
+    def _collisions(self, spots: np.ndarray, halves: np.ndarray) -> np.ndarray:
+        """For each query (a row of ``spots``) in how many of its windows each vector lies."""
+        n = len(self.ids)
+        counts = np.zeros((len(spots), n), dtype=np.uint8)
+        for line, spot, places in zip(self.sorted, spots.T, self.places, strict=True):
+            low, high = np.searchsorted(line, spot - halves), np.searchsorted(line, spot + halves)
+            first, last = low * 256 // n, -(-high * 256 // n)
+            inside = (places[None, :] - first.astype(np.uint8)[:, None]) < np.minimum(last - first, 255).astype(np.uint8)[:, None]
+            inside[last - first > 255] = True
+            inside[high <= low] = False
+            counts += inside
         return counts
 
-    def nearest(self, query_id: int, asked: np.ndarray, k: int) -> list[tuple[int, float, int]]:
-        """Id, score and copies of the ``k`` nearest found, nearest first, equal scores by id; the query's own row does not count."""
-        peak = np.abs(asked).max()
-        query = asked / 2.0 ** np.clip(np.frexp(peak)[1], -1000, 1000)  # a query's length does not change what is near
-        norm = np.sqrt(query @ query)
-        spots = (query * (self.top / norm)) @ self.lines[: len(query)]
-        scores = np.full(len(self.ids), -np.inf)
-        left = self.copies - ((self.ids == query_id) & (self.given == asked).all(axis=1))
-        todo = left > 0
-        wanted = min(k, int(todo.sum()))
-        radius = self._start(wanted) if wanted else 0.0
-        while wanted:
-            new = np.flatnonzero(todo & (self._collisions(spots, REACH * radius) >= self.least))
-            scores[new] = self.vectors[new] @ query
-            todo[new] = False
-            best = np.partition(scores, len(scores) - wanted)[-wanted]
-            # Squared distance of the k-th best, from its inner product with the scaled query.
-            if best > -np.inf and 2 * self.top**2 - 2 * best * self.top / norm <= radius**2 or not todo.any():
-                break
-            radius *= WIDEN
+    def nearest(self, ids: np.ndarray, asked: np.ndarray, k: int) -> list[list[tuple[int, float, int]]]:
+        """For each query id, score and copies of the ``k`` nearest found, nearest first, equal scores by id; its own row does not count."""
+        out = []
+        for at in range(0, len(ids), TOGETHER):
+            out += self._nearest(ids[at : at + TOGETHER], asked[at : at + TOGETHER], k)
+        return out
+
+    def _nearest(self, ids: np.ndarray, asked: np.ndarray, k: int) -> list[list[tuple[int, float, int]]]:
+        peaks = np.frexp(np.abs(asked).max(axis=1))[1]
+        queries = asked / (2.0 ** np.clip(peaks, -1000, 1000))[:, None]  # a query's length does not change what is near
+        norms = np.sqrt((queries**2).sum(axis=1))
+        spots = (queries * (self.top / norms)[:, None]) @ self.lines[: queries.shape[1]]
+        left = np.stack([self.copies - ((self.ids == i) & (self.given == q).all(axis=1)) for i, q in zip(ids, asked, strict=True)])
+        todo, scores = left > 0, np.full(left.shape, -np.inf)
+        wanted = np.minimum(k, todo.sum(axis=1))
+        radius = np.array([self._start(int(w)) if w else 0.0 for w in wanted])
+        active = np.flatnonzero(wanted)
+        while len(active):
+            near = self._collisions(spots[active], REACH * radius[active]) >= self.least
+            done = np.zeros(len(active), dtype=bool)
+            for row, q in enumerate(active):
+                new = np.flatnonzero(todo[q] & near[row])
+                scores[q, new] = self.vectors[new] @ queries[q]
+                todo[q, new] = False
+                best = np.partition(scores[q], len(self.ids) - wanted[q])[-wanted[q]]
+                # Squared distance of the k-th best, from its inner product with the scaled query.
+                done[row] = best > -np.inf and 2 * self.top**2 - 2 * best * self.top / norms[q] <= radius[q] ** 2 or not todo[q].any()
+            active = active[~done]
+            radius[active] *= WIDEN
+        self.searched, self.verified = self.searched + len(ids), self.verified + int((scores > -np.inf).sum())
+        return [self._exact(scores[q], asked[q], norms[q], left[q], int(wanted[q])) for q in range(len(ids))]
+
+    def _exact(self, scores: np.ndarray, asked: np.ndarray, norm: float, left: np.ndarray, wanted: int) -> list[tuple[int, float, int]]:
         if not wanted:
             return []
         close = np.flatnonzero(scores >= np.partition(scores, len(scores) - wanted)[-wanted] - 1e-9 * self.top * norm)
@@ -106,8 +129,9 @@ def _search(top: float, scale: float, k: int, width: int):
         found = []
         if len(data) and len(queries):
             block = Block(data["vec_id"].to_numpy(), _stack(data["vector"], width), data["copies"].to_numpy(), top, scale)
-            for query_id, name, vector in zip(queries["vec_id"].tolist(), queries["query"].tolist(), _stack(queries["vector"], width), strict=True):
-                found += [(query_id, name, *row) for row in block.nearest(query_id, vector, k)]
+            asked = queries["vec_id"].to_numpy(), queries["query"].tolist()
+            for query_id, name, rows in zip(asked[0].tolist(), asked[1], block.nearest(asked[0], _stack(queries["vector"], width), k), strict=True):
+                found += [(query_id, name, *row) for row in rows]
         return pd.DataFrame(found, columns=["query_id", "query", "vec_id", "score", "copies"])
 
     return search

@@ -225,7 +225,7 @@ s as (select *, octet_length(encode(v)) + 2 as size, row_number() over (partitio
 
 @query(f"""with {_VALUES},
 f as (with recursive f as (select month, o_orderkey, v, k, size as held, 0 as batch from s where k = 1
-  union all select s.month, s.o_orderkey, s.v, s.k, case when held + size <= 900 - 62 then held + size else size end, case when held + size <= 900 - 62 then batch else batch + 1 end
+  union all select s.month, s.o_orderkey, s.v, s.k, case when held + size <= 900 - 64 then held + size else size end, case when held + size <= 900 - 64 then batch else batch + 1 end
   from f join s on s.month = f.month and s.k = f.k + 1) select * from f)
 select month, batch::int as batch, count(*) as rows, md5('INSERT OR REPLACE INTO sent (o_orderkey, priority, note) VALUES' || chr(10) || string_agg(v, ',' || chr(10) order by o_orderkey) || ';') as h from f group by month, batch""")
 def insert_statements(spark, d):

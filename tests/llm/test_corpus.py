@@ -179,6 +179,20 @@ def test_nearest_of_any_finite_size_and_over_several_blocks(spark, size, monkeyp
     assert size != 1.0 or hit / total >= 0.9
 
 
+def test_collisions_leave_most_vectors_unverified():
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(4000, 64))
+    top = float(np.sqrt((vectors**2).sum(axis=1).max()))
+    block = ann.Block(np.arange(4000), vectors, np.ones(4000, dtype=np.int64), top)
+    ids = np.arange(0, 4000, 100)
+    hit = 0
+    for q, found in zip(ids, block.nearest(ids, vectors[ids], 20)):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hit += len({i for i, _, _ in found} & set(np.argsort(-scores)[:20].tolist()))
+    assert hit >= 0.9 * 20 * len(ids) and block.verified < 0.3 * 4000 * block.searched
+
+
 def test_nearest_counts_the_rows_of_an_id(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.9, 0.1])], "vec_id long, embedding array<double>")
     assert [(r["rank"], r.vec_id, r.score) for r in ann.nearest(table, F.col("vec_id") % 20 == 0).orderBy("rank").collect()] == [(1, 1, 0.9), (2, 1, 0.5)]
