@@ -325,7 +325,7 @@ def test_sketches_bound_the_edit_distance(spark):
                 at = rng.randrange(len(other))
                 other[at : at + rng.randrange(2)] = [chr(0x80 + rng.randrange(1920))] * rng.randrange(2)
             codes.append("".join(other))
-    got = {r.code: [r[f"s{k}"] for k in range(4)] for r in spark.createDataFrame([(c,) for c in codes], "code string").select("code", *line_dedup._sketch(F.col("code"))).collect()}
+    got = {r.code: [r[f"s{k}"] for k in range(4)] for r in line_dedup._sketches(spark.createDataFrame([(c, c) for c in codes], "id string, code string")).withColumnRenamed("id", "code").collect()}
     for a in codes[:3]:
         for b in codes:
             assert sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(got[a], got[b])) <= 2 * _edit(a, b)
