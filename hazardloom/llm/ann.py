@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK, QUERY_BLOCK = 8_192, 4_096
-LINES, WIDEN, REACH, LEAST, SEED = 128, 1.15, 1.1, 0.68, 5
+LINES, WIDEN, REACH, LEAST, SEED = 240, 1.15, 1.1, 0.7, 5
 #: Queries whose windows are counted together.
 TOGETHER = 64
 #: Vectors of a block whose k-th neighbour tells where its searches begin.
