@@ -68,3 +68,22 @@ def province_days(pages: DataFrame, html: str, days: DataFrame, key: str) -> Dat
     named = days.select(key, "day_index", F.col("name").alias("day"))
     out = rows.join(named, [key, "day_index"], "left")
     return out.select(key, "province", "province_name", "day_index", F.coalesce("day", F.lit("")).alias("day"), F.col("d.day_low").alias("tmin"), F.col("d.day_high").alias("tmax"), F.col("d.day_wind_speed").alias("wind"), F.col("d.day_wind_direction").alias("direction"), F.col("d.day_coastal_condition").alias("coastal"))
+
+
+def default_provinces(pages: DataFrame, html: str) -> DataFrame:
+    """The page's other columns, and ``province, province_code`` of the province that its script names as the default; empty where it names none."""
+    kept = [c for c in pages.columns if c != html]
+    data = F.from_json(embedded_json(F.col(html), "regional"), _PROVINCES)
+    entry = F.try_element_at(data["provincial"]["data"], F.coalesce(data["default"], F.lit("")))
+    text = lambda c: F.coalesce(c, F.lit(""))
+    return pages.select(*kept, text(entry["name"]).alias("province"), text(entry["psgc_code"]).alias("province_code"))
+
+
+def append_outlooks(stored: DataFrame, days: DataFrame, key: str) -> DataFrame:
+    """The ``days`` (of ``region_days``) of outlooks that ``stored`` (with ``id``) does not have, with their ``id``.
+
+    An outlook's id is its region and issue time. Pages that could not be read have no days, so one of them never keeps
+    the others from being stored.
+    """
+    named = days.withColumn("id", F.concat_ws(":", F.col(key), F.date_format("issued_at", "yyyy-MM-dd'T'HH:mm:ss")))
+    return named.join(stored.select("id").distinct(), "id", "left_anti").select("id", *days.columns)

@@ -186,3 +186,13 @@ def test_split_areas(spark):
     rows = spark.createDataFrame([("A (x, y and z), B [c, d] and C; island and sea and the End.",), (None,)], "text string")
     got = areas.register(spark).sql("select s.* from {rows} t, lateral split_areas(t.text) s order by pos", rows=rows).collect()
     assert [(r.part, r.towns) for r in got] == [("A (x, y and z)", ["x", "y", "z"]), ("B [c, d]", []), ("C", []), ("island and sea", []), ("the End", [])]
+
+
+def test_active_cyclones(spark):
+    from datetime import datetime
+
+    t = lambda d, h=0: datetime(2026, 9, d, h)
+    rows = spark.createDataFrame([("X", t(1), t(1, 6)), ("X", t(2), t(2, 6)), ("Y", t(2), None), ("Z", t(1), t(1, 6)), ("W", t(3), t(4))], "name string, issued_at timestamp, next_at timestamp")
+    states = lambda note: spark.createDataFrame([("tcb", note), ("other", "none issued")], "source string, last_note string")
+    active = lambda note: sorted(r.name for r in bulletins.active_cyclones(rows, states(note), "tcb", "none issued", F.lit(t(2, 5))).collect())
+    assert active("2 bulletins") == ["X", "Y"] and active("none issued today") == [] and active(None) == ["X", "Y"]

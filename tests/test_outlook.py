@@ -28,3 +28,13 @@ def test_long_blocks_end_at_their_mark(spark):
     pages = spark.createDataFrame([("marked", f'{head}{body}<ul class="nav">{day.format("Later", "")}'), ("unmarked", head + body)], "region string, html string")
     got = {(r.region, r.name, r.tmin) for r in outlook.region_days(pages, "html").collect()}
     assert got == {("marked", "Monday", 20), ("marked", "Tuesday", 20), ("unmarked", "Monday", 20)}
+
+
+def test_default_provinces_and_appends(spark):
+    rows = [("a", page("09:00 AM, 26 September, 2026", ["Sunday", "Monday"])), ("b", page("5:00 PM, Sept. 26, 2026", ["Sunday"])), ("c", page("soon", ["Sunday"]).replace('"default": "1"', '"default": "9"')), ("d", "nothing"), ("e", None)]
+    pages = spark.createDataFrame(rows, "region string, html string")
+    got = {r.region: (r.province, r.province_code) for r in outlook.default_provinces(pages, "html").collect()}
+    assert got == {"a": ("North", "0100"), "b": ("North", "0100"), "c": ("", ""), "d": ("", ""), "e": ("", "")}
+    days = outlook.region_days(pages, "html")
+    stored = spark.createDataFrame([("a:2026-09-26T09:00:00",)], "id string")
+    assert [(r.id, r.day_index) for r in outlook.append_outlooks(stored, days, "region").collect()] == [("b:2026-09-26T17:00:00", 0)]
