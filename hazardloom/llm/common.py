@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -60,6 +61,12 @@ def discard(kept: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of tables that nothing refers to any more; otherwise they stay until the driver happens to collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
     """Arrow batches of whole texts of at most ``rows`` rows, so that Python workers stay small, unless the session has its own limit."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
