@@ -41,6 +41,14 @@ def test_url_filter_repeated_and_empty(spark):
     assert filter_urls(spark.createDataFrame([(1, "http://a.com/en/")], schema), rules.where("false")).first().verdict == "allow"
 
 
+def test_url_filter_keeps_long_ids(spark):
+    rules = spark.createDataFrame(RULES, "action string, host string, path string")
+    ids = [(1 << 60) + 1, -(1 << 62) - 1, (1 << 63) - 1, (1 << 53) + 1, None, 0, None]
+    pages = spark.createDataFrame([(i, f"http://x{k}.com/{('en', 'de')[k % 2]}/") for k, i in enumerate(ids)], "page_id long, url string").coalesce(1)
+    got = [(r.page_id, r.host, r.verdict) for r in filter_urls(pages, rules).collect()]
+    assert sorted(got, key=str) == sorted(((i, f"x{k}.com", ("block", "allow")[k % 2]) for k, i in enumerate(ids)), key=str)
+
+
 def _zip(force64, comment=b"", method=zipfile.ZIP_STORED):
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", method) as z:
