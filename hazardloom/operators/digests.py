@@ -8,6 +8,10 @@ stays in its leaf. Two trees are compared level by level, only below nodes that
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +33,31 @@ def group_digest(df: DataFrame, group: Column, row_hash: Column) -> DataFrame:
     return df.groupBy(group.alias("group")).agg(*_sums(row_hash)).select("group", "n", _digest())
 
 
+def _streamed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    now, n, digest = None, 0, None
+    row = lambda: pd.DataFrame({"group": pd.Series([now[0]], dtype=object), "n": [n], "digest": [digest.hexdigest()[:16]]})
+    for batch in batches:
+        for group, part in batch.groupby("group", dropna=False, sort=False)["hash"]:
+            at = (None if pd.isna(group) else group,)
+            if at != now:
+                if now is not None:
+                    yield row()
+                now, n, digest = at, 0, hashlib.sha256()
+            n += len(part)
+            digest.update("".join(part.dropna()).encode())
+    if now is not None:
+        yield row()
+
+
+def ordered_digest(df: DataFrame, group: Column, row_hash: Column) -> DataFrame:
+    """``group, n, digest``: of all the rows' hashes in order, one behind the other; null hashes count as rows alone.
+
+    A digest of a sequence cannot be merged, so the sorted hashes of a group stream through one task, a batch at a time.
+    """
+    rows = df.select(group.cast("string").alias("group"), row_hash.alias("hash"))
+    return rows.repartition("group").sortWithinPartitions("group", "hash").mapInPandas(_streamed, "group string, n long, digest string")
+
+
 def leaf(key: Column, depth: int = DEPTH) -> Column:
     """The leaf of a key: the first digits of its MD5."""
     return F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, depth)

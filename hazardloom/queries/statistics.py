@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from hazardloom.functions.dates import stamp
 from hazardloom.functions.text import row_hash
 from hazardloom.operators import aggregates as A
-from hazardloom.operators.digests import group_digest
+from hazardloom.operators.digests import ordered_digest
 from hazardloom.queries import query
 from hazardloom.sources.tables import QUAKES_SQL, quakes, spot, table
 
@@ -119,10 +119,10 @@ _ORDER_HASH = _HASH.format("coalesce(o_orderkey::varchar, chr(0)), coalesce(o_cu
 
 
 @query(f"""with h as (select strftime(o_orderdate, '%Y-%m') as g, {_ORDER_HASH} as h from orders)
-select g as "group", count(*) as n, substr(sha256(count(*) || ':' || sum(('0x' || substr(h, 1, 8))::bigint) || ':' || sum(('0x' || substr(h, 9, 8))::bigint)), 1, 16) as digest from h group by g""")
+select g as "group", count(*) as n, substr(sha256(string_agg(h, '' order by h)), 1, 16) as digest from h group by g""")
 def month_digest(spark, d):
     hashed = row_hash(*map(F.col, ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")))
-    return group_digest(table(spark, d, "orders"), F.date_format("o_orderdate", "yyyy-MM"), hashed)
+    return ordered_digest(table(spark, d, "orders"), F.date_format("o_orderdate", "yyyy-MM"), hashed)
 
 
 @query("""select count(*) as n_rows, count(*) filter (l_returnflag not in ('A', 'N', 'R')) as bad_flag, count(*) filter (l_discount + l_tax > 0.15) as over_sum,

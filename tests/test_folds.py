@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardloom.operators.batches import statement_batches
-from hazardloom.operators.digests import changed_rows, digest_tree, group_digest, tree_diff
+from hazardloom.operators.digests import changed_rows, digest_tree, group_digest, ordered_digest, tree_diff
 from hazardloom.streaming.change_only import emitted
 
 
@@ -70,6 +70,14 @@ def test_batches_of_nothing_and_of_text_keys(small):
     assert sorted(map(str, got.collect())) == sorted(map(str, small.createDataFrame([("", 1, 0), ("", 2, 1), (None, 1, 0), ("=", 1, 0)], "k string, i int, batch int").collect()))
 
 
+def test_ordered_digests_hash_the_sorted_hashes(small):
+    rows = [(g, hashlib.sha256(f"{g}{i}".encode()).hexdigest()[:16]) for g, n in (("2024-01", 50), ("2024-02", 1), (None, 20)) for i in range(n)] + [("2024-02", None)]
+    got = ordered_digest(small.createDataFrame(rows, "group string, hash string").repartition(5), F.col("group"), F.col("hash")).collect()
+    want = {g: [h for x, h in rows if x == g] for g, _ in rows}
+    assert {(r.group, r.n, r.digest) for r in got} == {(g, len(h), hashlib.sha256("".join(sorted(filter(None, h))).encode()).hexdigest()[:16]) for g, h in want.items()}
+    assert len(got) == 3
+
+
 def test_digests_merge_and_tell_sets_apart(spark):
     rng = random.Random(2)
     rows = [(k, i, hashlib.sha256(f"{k}{i}".encode()).hexdigest()[:16]) for k in ("2024-01", "2024-02", None) for i in range(300)]
