@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -294,3 +295,27 @@ def test_exposure_runs_to_today(spark):
 def test_basin_names_with_any_entity(spark):
     page = "<tr><td>Las Pi&ntilde;as Sub-basin</td><td><a href='#'>Alert &mdash; x</a></td></tr><tr><td>other</td></tr>"
     assert one(spark, pages.basin_status(F.lit(page))) == [("Las Piñas Sub-basin", "Alert — x")] and one(spark, pages.basin_status(F.lit("none"))) == []
+
+
+def test_nearest_places_match_brute_force(spark):
+    from hazardloom.functions.geo import FAR, haversine, nearest
+
+    rng = random.Random(4)
+    spot = lambda: rng.choice([(rng.uniform(-90, 90), rng.uniform(-180, 180)), (10 + rng.random() / 50, 120 + rng.random() / 50), (10.0, 179.999 * rng.choice([-1, 1])), (89.9, rng.uniform(-180, 180)), (None, 5.0)])
+    places = spark.createDataFrame([(k, *spot(), c) for c in range(300) for k in ("a", "b")] + [("c", None, None, 7), ("a", 10.0, 120.0, 900), ("a", 10.0, 120.0, 800)], "key string, lat double, lon double, code long")
+    points = spark.createDataFrame([(rng.choice("abcd"), *spot()) for _ in range(200)] + [("a", 10.0, 120.0)] * 3, "key string, lat double, lon double")
+    pairs = points.distinct().join(places.withColumnsRenamed({"lat": "p_lat", "lon": "p_lon"}), "key").withColumn("km", haversine(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon")))
+    for km in (None, 120.0):
+        got = {(r.key, r.lat, r.lon): tuple(r.near) for r in nearest(points, places, ["key"], km).collect()}
+        near = pairs.where(F.col("km") < (km or 2 * FAR)).groupBy("key", "lat", "lon").agg(F.min(F.struct("km", "code")).alias("near"))
+        assert got == {(r.key, r.lat, r.lon): tuple(r.near) for r in near.collect()}
+
+
+def test_mentions_do_not_meet_every_town_of_their_name(spark):
+    n = 60_000  # squared, far more pairs than a test can make
+    towns = spark.range(n).selectExpr("id as code", "'x' as key", "'City' as level", "id % 5 as province", "id % 5 as region", "id / 6000.0D as lat", "120.0D as lon")
+    homes = spark.range(5, 8).selectExpr("-id as code", "concat('p', id) as key", "'Prov' as level", "id as province", "id - 5 as region", "10.0D as lat", "120.0D as lon").withColumn("code", F.col("province"))
+    asks = spark.range(n).selectExpr("id as mention", "'x' as name", "if(id % 2 = 0, id % 8, null) as province", "if(id % 2 = 1, id % 5, null) as region")
+    found = resolve(asks, towns.unionByName(homes), fuzzy=False).groupBy("how").agg(F.count("code").alias("n"), F.min("code").alias("least"), F.max("code").alias("most")).collect()
+    # A province of its own has the town; province 6 lies in region 1, whose last town is the nearest; of a region the first town counts.
+    assert {r.how: (r.n, r.least, r.most) for r in found} == {"province": (n // 8 * 3, 0, 4), "near": (n // 8, 59996, 59996), "region": (n // 2, 0, 4)}
