@@ -8,7 +8,7 @@ from hazardloom.functions.areas import register
 from hazardloom.functions.bulletins import signal_areas as signal_rows
 from hazardloom.queries import query
 from hazardloom.sources.pages import basin_status
-from hazardloom.sources.tables import table
+from hazardloom.sources.tables import spread, table
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
 # The entities that the pages hold.
@@ -137,8 +137,8 @@ def json_fields(spark, d):
 
 
 def _homes(spark, d):
-    """Customers with the names of their nation and region."""
-    c, n, r = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "region")
+    """Customers with the names of their nation and region, spread over the tasks that read texts made of them."""
+    c, n, r = spread(table(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_custkey"), table(spark, d, "nation"), table(spark, d, "region")
     return c.join(n, F.col("n_nationkey") == F.col("c_nationkey")).join(r, F.col("r_regionkey") == F.col("n_regionkey")).select("c_custkey", "n_name", "n_regionkey", "r_name")
 
 
@@ -249,7 +249,7 @@ def _bulletins(spark, d):
     """A bulletin for each customer: titles with or without a class, every way to tell the next issue, and headlines, centres and outlooks of each status."""
     s, k = lambda c: c.cast("string"), F.col("c_custkey")
     pick = lambda at, *texts: F.get(F.array(*[F.lit(t) if isinstance(t, str) else t for t in texts]), at.cast("int"))
-    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    c = spread(table(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_custkey").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
     category, day = pick(k % 5, "Super Typhoon", "Severe Tropical Storm", "Tropical Storm", "Tropical Depression", "Typhoon"), F.make_date(F.lit(2026), (k % 12 + 1).cast("int"), (k % 28 + 1).cast("int"))
     name = F.concat(F.lit("X"), s(k))
     title = F.when(k % 11 == 0, F.lit("A bulletin")).otherwise(F.concat(F.when(k % 2 == 0, F.upper(category)).otherwise(category), F.lit(" “"), name, F.lit("”")))

@@ -10,6 +10,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over four tasks a core, by its key: a table in one small file is otherwise read, and all that is made of it worked off, by one task."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def spot(df: DataFrame, id_col: str) -> DataFrame:
     """Adds ``lat`` and ``lon``, spread over the archipelago's box by the id."""
     n = F.col(id_col)

@@ -70,3 +70,8 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_radius_join_is_an_equi_join(spark):
     plan = _plan(registry.QUERIES["radius_rates"](spark, SF))
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("name", ["area_entries", "area_sentences", "signal_areas", "top_split", "bulletin_fields"])
+def test_texts_made_of_one_small_file_are_read_in_many_tasks(spark, name):
+    assert registry.QUERIES[name](spark, SF).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
