@@ -39,12 +39,29 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
+#: Words that need no Unicode rules: of ASCII and letters of Latin-1, whose lower case is one letter and whose form is composed.
+_PLAIN = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
+#: Where the vocabulary splits such a word, in lower case.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[!-/:-`{-~]+").findall
+#: The letters by which the vocabulary writes bytes.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTES = dict(zip([b for b in range(256) if b not in _SHOWN], range(256, 512), strict=False))
+
+
 class _WordIds(dict):
     """Ids of white-space-separated words as little-endian bytes, filled on demand.
 
     A word never shares a token with its neighbour, so a text's ids are those of its words in a row.
     """
 
+    _made: dict[str, _WordIds] = {}  # a worker's tasks go on with what the tasks before them have found
+
+    @classmethod
+    def of(cls, path: str) -> _WordIds:
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -56,11 +73,18 @@ class _WordIds(dict):
     def encode(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _part(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(_BYTES)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.bare(part)])
+
     def __missing__(self, word: str) -> bytes:
         if word.isascii() and word.isalpha():
-            ids = b"".join(t.id.to_bytes(4, "little") for t in self.bare(word.lower()))
-        elif word[-1] in self.marks and word[:-1].isalpha():
+            ids = self._part(word.lower())
+        elif word[-1] in self.marks and word[:-1].isalpha() and "\u0130" not in word:  # whose lower case ends in a mark of its own
             ids = self[word[:-1]] + self.marks[word[-1]]
+        elif _PLAIN(word) and "<|" not in word:
+            ids = b"".join(map(self._part, _PARTS(word.lower())))
         else:
             ids = self.encode(word)
         if len(self) < CACHED_WORDS:
@@ -79,7 +103,7 @@ def document_pieces(path: str, window: int = WINDOW, rest_piece: int = REST_PIEC
     end = end_id.to_bytes(4, "little")
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _WordIds(path)
+        words = _WordIds.of(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):

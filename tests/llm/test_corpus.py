@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,24 @@ def test_packing(spark):
     assert packing.pack(_docs(spark, []), tokenizer_path()).count() == 0
 
 
+def test_word_ids_equal_the_tokenizers_and_stay_for_later_tasks(monkeypatch):
+    from hazardloom.llm.queries import tokenizer_path
+
+    path, rng = tokenizer_path(), random.Random(15)
+    letters = [*map(chr, range(0x21, 0x180)), "'s", "'LL", "don't", "\u03a3", "\u0130", "e\u0301", "<|endoftext|>", "\u2028x", "$$$", "42"]
+    texts = [" ".join("".join(rng.choices(letters[:94] if k % 2 else letters, k=rng.randrange(1, 6))) for _ in range(40)) for k in range(400)]
+    texts += ["Straße ÀÉÎÕÜ ÿþ× aª²µ don'T we'LL x.&&& A1b22 it's' naïve, ÑANDÚ. réf%%%"]
+    ids = packing._WordIds(path)
+    for t in texts:
+        for w in packing.split_words(t):
+            assert ids[w] == ids.encode(w), w
+    tried = []
+    plain = packing._WordIds.encode
+    monkeypatch.setattr(packing._WordIds, "encode", lambda self, w: (tried.append(w), plain(self, w))[1])
+    runs = [pd.concat(packing.document_pieces(path)(iter([pd.DataFrame({"doc_id": [1], "text": ["\u65e5\u672c naïve caf\xe9s x\u2028y"]})]))) for _ in range(2)]
+    assert runs[0].equals(runs[1]) and not [w for w in tried if "v" in w] and tried.count("\u65e5\u672c") == 1
+
+
 # ---- nearest neighbours
 
 
