@@ -406,6 +406,27 @@ def test_a_labelled_row_beyond_the_bound_costs_no_other_its_place(spark):
     assert alone.constant is None
 
 
+def test_rows_beyond_the_start_are_learned_from(spark, monkeypatch):
+    """Twenty bad words in 800 rows, of which the common start sees eight; several copies are trained and averaged."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(rng.sample([*rng.choices(words, k=15), *([f"vile{i // 2 % 20}"] if i % 2 else [])], 15 + i % 2))) for i in range(800)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    table = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "COPY_ROWS", 100, raising=False)
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        models = [toxicity.fit(docs, table, F.lit(True), sample=4) for _ in range(2)]
+    finally:
+        spark.conf.set(name, before)
+    tried = [" ".join(words[k : k + 6]) for k in range(20)]
+    scores = [m.scores(tried + [f"{t} vile{k}" for k, t in enumerate(tried)]) for m in models]
+    assert scores[0][:20].max() < models[0].threshold <= scores[0][20:].min()
+    assert np.allclose(*scores, atol=1e-6)
+
+
 def test_samples_take_what_fits():
     rows = [{"doc_id": i, "y": 1, "chars": c, "code": 7} for i, c in enumerate([90, 5, 60, 40, 5, 1])]
     assert [i for i, _, _ in toxicity._fitting(rows, 50, 100)] == [0, 1, 3, 4]
