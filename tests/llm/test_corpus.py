@@ -427,6 +427,17 @@ def test_rows_beyond_the_start_are_learned_from(spark, monkeypatch):
     assert np.allclose(*scores, atol=1e-6)
 
 
+def test_labelled_texts_are_not_read_on_the_driver(spark, monkeypatch):
+    rows = [(i, f"fine words {'vile' if i % 2 else 'here'} {i}", "en") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = spark.createDataFrame([(i, i % 2) for i, _, _ in rows], "doc_id long, toxic int")
+    with monkeypatch.context() as patch:  # workers have modules of their own
+        patch.setattr(toxicity, "_codes", lambda text: pytest.fail("a text came to the driver"))
+        model = toxicity.fit(docs, table, F.lit(True))
+    scores = model.scores(["fine words here", "fine words vile"])
+    assert scores[1] > 0.5 > scores[0]
+
+
 def test_samples_take_what_fits():
     rows = [{"doc_id": i, "y": 1, "chars": c, "code": 7} for i, c in enumerate([90, 5, 60, 40, 5, 1])]
     assert [i for i, _, _ in toxicity._fitting(rows, 50, 100)] == [0, 1, 3, 4]
