@@ -279,6 +279,22 @@ def test_many_different_lines_that_share_a_passage(spark, monkeypatch):
     assert len(rows) - len(kept) >= near - 1 and kept >= _brute_lines(rows)
 
 
+def test_shuffles_of_earlier_steps_go_before_lines_of_open_places_meet(spark, monkeypatch):
+    done = []
+    for name in ("free_shuffles", "keep"):
+        plain = getattr(line_dedup, name)
+        monkeypatch.setattr(line_dedup, name, lambda *a, plain=plain, name=name: (done.append(name), plain(*a))[1])
+    lines = spark.createDataFrame([], "id long, n int, code string")
+    rooted = spark.createDataFrame([(1, i, 5, i) for i in (1, 2, 3)], "key long, id long, n int, root long")
+    known = spark.createDataFrame([(1, "abcde"), (2, "abcdf"), (3, "vwxyz")], "id long, code string")
+    found = line_dedup._open_links(known, rooted, spark.createDataFrame([(1, 3)], "key long, lines long"), 3)
+    assert [tuple(r) for r in found.collect()] == [(1, 2)]
+    assert done == ["keep", "free_shuffles", "keep"]
+    done.clear()
+    lines = lines.select("*", *[F.lit(None).cast("long").alias(k) for k in line_dedup._KEYS])
+    assert line_dedup.line_groups(lines).count() == 0 and done[:3] == ["keep", "free_shuffles", "keep"]
+
+
 def test_awkward_tables_of_lines(spark):
     rows = [(5, "alpha beta gamma\nzeta unique here"), (5, "x y z\nthe line of one"), (1, "the line of one"), (101, None), (102, "\n\n"), (None, "")]
     docs = spark.createDataFrame([(i, t, "x", 2, "y") for i, t in rows], "doc_id long, text string, id string, row long, keep string")
