@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardloom.llm.common import cut, small_batches
+from hazardloom.llm.common import cut, free_shuffles, small_batches
 
 #: Most labelled rows of each class for the common start, the most characters that they may have together, and the share of
 #: those that one row may have: of a longer text the start sees that much, in ``WINDOWS`` windows over its whole length.
@@ -314,12 +314,12 @@ def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
-    """The sums of arrays of doubles, by ``part``."""
+    """The sums of arrays of doubles, by ``part``: as many bytes as the model's, in one job whatever the number of partitions."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"part": rows["part"][:1], "v": [sum(np.frombuffer(v) for v in rows["v"]).tobytes()]})
 
-    return {r["part"]: np.frombuffer(r["v"]) for r in parts.groupBy("part").applyInPandas(add, "part int, v binary").toLocalIterator()}
+    return {r["part"]: np.frombuffer(r["v"]) for r in parts.groupBy("part").applyInPandas(add, "part int, v binary").collect()}
 
 
 def _dense(m: ToxicityModel) -> np.ndarray:
@@ -371,7 +371,7 @@ def _averaged(rows: DataFrame, m: ToxicityModel, share: np.ndarray, epochs: int)
     for s, v in sums.items():
         v = v.reshape(-1, DIM + 1)
         emb[s : s + SLAB] += v[:, :DIM] / np.maximum(v[:, DIM:], 1)
-    shared.unpersist()
+    shared.destroy()
 
 
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", label_col: str = "toxic", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> ToxicityModel:
@@ -402,6 +402,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
     large = [y for y, n in by_class.items() if n >= 40]
     aside = F.col("y").isin(large) & (F.pmod(F.xxhash64(F.lit("aside"), "id"), F.lit(5)) == 4)
     own, tried = rows.where(~aside), rows.where(aside)
+    free_shuffles(spark)
     totals = np.zeros(2)
     for r in own.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect():
         totals[r["y"]] = r["n"]
@@ -409,12 +410,13 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
 
     counts = cut(own.mapInPandas(_doc_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS))
     least, found = LEAST_DOCS, 0
-    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+    # A job for each partition would leave more on the driver than these rows: KNOWN + 1 decide, and a distinct count is one.
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(KNOWN + 1).collect():
         found += r["words"]
         if found > KNOWN:
             least = r["n"] + 1
             break
-    packed = counts.where(F.col("n") >= least).select("word").mapInPandas(_packed, "words binary").toLocalIterator()
+    packed = counts.where(F.col("n") >= least).select("word").mapInPandas(_packed, "words binary").collect()
     known = np.sort(np.concatenate([np.zeros(0, dtype=np.uint32), *(np.frombuffer(r["words"], dtype=np.uint32) for r in packed)]))
     held = spark.sparkContext.broadcast(known)
 
@@ -445,9 +447,12 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
     first = own.join(F.broadcast(chosen), F.col("id") == F.col("first")).select("id", "y", "words").coalesce(1).sortWithinPartitions("id")
     model = pickle.loads(first.mapInPandas(start, "model binary").first()["model"])
     model.known = known
+    held.destroy()
     for _ in range(ROUNDS):
+        free_shuffles(spark)
         _averaged(own.sortWithinPartitions("id").select("y", "words"), model, share, EPOCHS // ROUNDS)
     model = model.frozen()
+    free_shuffles(spark)
 
     shared = spark.sparkContext.broadcast(model)
 
@@ -467,6 +472,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
         return pd.DataFrame({"lang": [lang[0]], "limit": [_best_cut(*(rows[c].to_numpy() for c in ("score", "clean", "toxic")), default)]})
 
     model.thresholds = {r["lang"]: r["limit"] for r in tally.groupBy("lang").applyInPandas(best, "lang string, limit double").collect()}
+    shared.destroy()
+    free_shuffles(spark)
     return model
 
 

@@ -438,6 +438,15 @@ def test_labelled_texts_are_not_read_on_the_driver(spark, monkeypatch):
     assert scores[1] > 0.5 > scores[0]
 
 
+def test_training_runs_no_job_for_each_partition(spark, monkeypatch):
+    """Each job leaves its stages, tasks and broadcasts on the driver, and local iterators run one for each partition."""
+    rows = [(i, f"fine words {'vile' if i % 2 else 'here'} {i}", "en") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = spark.createDataFrame([(i, i % 2) for i, _, _ in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(type(docs), "toLocalIterator", lambda *a, **how: pytest.fail("a job for each partition"))
+    assert toxicity.fit(docs, table, F.lit(True)).constant is None
+
+
 def test_samples_take_what_fits():
     rows = [{"doc_id": i, "y": 1, "chars": c, "code": 7} for i, c in enumerate([90, 5, 60, 40, 5, 1])]
     assert [i for i, _, _ in toxicity._fitting(rows, 50, 100)] == [0, 1, 3, 4]
