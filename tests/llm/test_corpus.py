@@ -287,6 +287,26 @@ def test_lm_probabilities_add_up(spark):
     assert (10 ** model.log10(context, np.arange(lm.CLASSES))).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_lm_tree_shares_are_those_of_counts():
+    rng = np.random.default_rng(2)
+    mass, kinds = np.append(rng.integers(0, 50, 300) + 0.0, [7.0, 0.0]), np.append(rng.integers(5, 9, 300), [50, 60])
+    starts, nodes, sides, bias = lm.tree(mass, kinds)
+    share = [np.prod(1 / (1 + np.exp(-sides[a:b] * bias[nodes[a:b]].astype(float)))) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    assert len(starts) == 303 and starts[301] - starts[300] == starts[302] - starts[301] == 0  # alone in its kind, without mass
+    assert all(m == 0 or s == pytest.approx(m / mass[kinds == k].sum(), rel=1e-4) for m, k, s in zip(mass, kinds, share, strict=True))
+
+
+def test_lm_context_tells_words_of_one_class_apart(spark):
+    rng = random.Random(3)
+    filler = [f"w{i}" for i in range(lm.OWN)]
+    pairs = [("left", "xab"), ("right", "yab")]  # the second words have one class, and equal counts
+    rows = [(i, " ".join(rng.choices(filler, k=150) + [w for _ in range(3) for w in pairs[i % 2]] + rng.choices(filler, k=150)), "s") for i in range(600)]
+    texts = {-1: "left xab", -2: "left yab", -3: "right xab", -4: "right yab"}
+    got = {r.doc_id: r.score for r in lm.score_texts(_docs(spark, [*rows, *((i, t, "s") for i, t in texts.items())]), F.col("doc_id") < 0).collect()}
+    assert lm.suffix_class(b"xab") == lm.suffix_class(b"yab")
+    assert got[-1] > got[-2] + 0.3 and got[-4] > got[-3] + 0.3
+
+
 def test_lm_start_sample_is_picked_in_parallel_whatever_the_ids(spark, monkeypatch):
     taken = []
     monkeypatch.setattr(lm, "START_DOCS", 10)
