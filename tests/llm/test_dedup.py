@@ -295,6 +295,14 @@ def test_shuffles_of_earlier_steps_go_before_lines_of_open_places_meet(spark, mo
     assert line_dedup.line_groups(lines).count() == 0 and done[:3] == ["keep", "free_shuffles", "keep"]
 
 
+def test_keys_and_letters_of_all_lines_are_gone_before_lines_are_compared(spark, monkeypatch):
+    done, near, discard = [], line_dedup._near, line_dedup.discard
+    monkeypatch.setattr(line_dedup, "_near", lambda *a: (done.append("near"), near(*a))[1])
+    monkeypatch.setattr(line_dedup, "discard", lambda kept: (done.append("k0" in kept.columns), discard(kept)))
+    assert line_dedup.line_decisions(_docs(spark, [(1, "a b c d e f"), (2, "a b c d e f\na b c d e")])).where("not keep").count() == 2
+    assert done[:2] == [True, "near"]
+
+
 def test_awkward_tables_of_lines(spark):
     rows = [(5, "alpha beta gamma\nzeta unique here"), (5, "x y z\nthe line of one"), (1, "the line of one"), (101, None), (102, "\n\n"), (None, "")]
     docs = spark.createDataFrame([(i, t, "x", 2, "y") for i, t in rows], "doc_id long, text string, id string, row long, keep string")
